@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -44,8 +44,12 @@ def f_tail(statistic: float, d1: float, d2: float) -> float:
     return 1.0 - math.exp(log_front) * _beta_fraction(b, a, 1.0 - x) / b
 
 
-@F.pandas_udf("double")
-def f_upper_tail(statistic: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
+def f_upper_tail(statistic: Column, d1: Column, d2: Column) -> Column:
     """``f_tail`` over aggregated rows: one call per experiment group, never per reading."""
-    tails = [f_tail(w, a, b) for w, a, b in zip(statistic, d1.astype(float), d2.astype(float))]
-    return pd.Series(np.array(tails, dtype=float)).where(lambda s: s.notna(), None)
+
+    @F.pandas_udf("double")
+    def tail(w: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        tails = [f_tail(x, y, z) for x, y, z in zip(w.astype(float), a.astype(float), b.astype(float))]
+        return pd.Series([None if math.isnan(t) else t for t in tails], dtype=object)
+
+    return tail(statistic, d1, d2)

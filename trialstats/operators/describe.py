@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import SLICE_ROWS, frequencies, ranked, with_group_totals
+from trialstats.operators.ranking import SLICE, SLICE_ROWS, frequencies, ranked, with_part_totals
 
 # Tied modes listed in a result row. Groups with more ties have a null list and the full
 # set of ties, one row each, in ``mode_rows``.
@@ -128,7 +128,7 @@ def summarise(rows: DataFrame, modes: bool = False, integral: bool = False) -> D
 
 
 def _mode_number() -> Column:
-    window = Window.partitionBy("g", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    window = Window.partitionBy(*SLICE).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return F.count_if(_is_mode()).over(window)
 
 
@@ -201,7 +201,7 @@ def mode_rows(
     """
     freq = frequencies(df, keys, value, total_of=total_of).where(F.col("v").isNotNull())
     freq = freq.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(256)))
-    rows = with_group_totals(
+    rows = with_part_totals(
         freq,
         "part",
         [F.max("cnt").alias("part_max")],

@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialstats.functions.fdist import f_upper_tail
-from trialstats.operators.ranking import SLICE_ROWS, ranked, with_group_totals
+from trialstats.operators.ranking import SLICE_ROWS, ranked, with_totals
 
 # The centres of the test, and the share cut from both ends for "trimmed".
 CENTRES = ["mean", "median", "trimmed"]
 TRIM = 0.05
 
 
-def _share_of(total: Column) -> tuple[Column, Column]:
-    """Readings of a value that survive the trimming, and the number cut at each end."""
-    cut = F.floor(F.lit(TRIM) * total)
-    upto = F.least(F.col("below") + F.col("cnt"), total - cut)
-    return F.greatest(F.lit(0), upto - F.greatest(F.col("below"), cut)), cut
+def _kept() -> Column:
+    """Readings of a value that are left after cutting the share from both ends."""
+    cut = F.floor(F.lit(TRIM) * F.col("n"))
+    upto = F.least(F.col("below") + F.col("cnt"), F.col("n") - cut)
+    return F.greatest(F.lit(0), upto - F.greatest(F.col("below"), cut))
 
 
 def _at_rank(rank: Column) -> Column:
@@ -34,26 +34,20 @@ def trial_deviations(
     The trimmed centre works on the trimmed sample throughout, so its count is smaller.
     Missing readings are skipped and a trial without readings is left out.
     """
-    rows = ranked(df, [*keys, trial], value, slice_rows=slice_rows).where(
-        F.col("v").isNotNull()
-    ).select("g", "slice", "v", "cnt", "below", "n", "mean")
-    kept, _ = _share_of(F.col("n"))
-    rows = with_group_totals(
-        rows.withColumn("kept", kept),
-        "slice",
-        [
-            F.max("mean").alias("s_mean"),
-            F.max(_at_rank(F.floor((F.col("n") - 1) / 2))).alias("mid_low"),
-            F.max(_at_rank(F.floor(F.col("n") / 2))).alias("mid_high"),
-            F.sum(F.col("kept") * F.col("v")).alias("kept_sum"),
-            F.sum("kept").alias("kept_cnt"),
-        ],
-        lambda group: [
-            F.max("s_mean").over(group).alias("c_mean"),
-            ((F.max("mid_low").over(group) + F.max("mid_high").over(group)) / 2).alias("c_median"),
-            (F.sum("kept_sum").over(group) / F.sum("kept_cnt").over(group)).alias("c_trimmed"),
-        ],
-    )
+    rows = ranked(df, [*keys, trial], value, slice_rows=slice_rows).where(F.col("v").isNotNull())
+    rows = with_totals(
+        rows.withColumn("kept", _kept()),
+        {
+            "mid_low": (F.max, _at_rank(F.floor((F.col("n") - 1) / 2))),
+            "mid_high": (F.max, _at_rank(F.floor(F.col("n") / 2))),
+            "kept_sum": (F.sum, F.col("kept") * F.col("v")),
+            "kept_cnt": (F.sum, F.col("kept")),
+        },
+    ).withColumns({
+        "c_mean": F.col("mean"),
+        "c_median": (F.col("mid_low") + F.col("mid_high")) / 2,
+        "c_trimmed": F.col("kept_sum") / F.col("kept_cnt"),
+    })
     sums = []
     for c in CENTRES:
         weight = F.col("kept") if c == "trimmed" else F.col("cnt")

@@ -12,15 +12,15 @@ task, and a group may hold a third of all rows. The plan here never does that:
    that about ``MAX_SPLITTERS`` exist in total whatever the data is: that bound is what
    makes the broadcast safe. A group too small to own a splitter stays whole.
    Splitters depend on the values only, so a recomputed task cuts at the same places.
-3. *Ranks.* Running counts are taken inside a slice; a directory with one row per slice
-   supplies the count of everything before it.
+3. *Ranks.* Running counts are taken inside a slice; for the groups that are cut, a small
+   directory with one row per slice supplies the count of everything before it.
 
 No row is dropped anywhere: splitters only decide which task does the counting.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 MAX_SPLITTERS = 1 << 14
 # A slice holds about this many distinct values, or more once the bound above is met.
 SLICE_ROWS = 1 << 18
+# Window key of a slice. ``big`` follows from the group; naming it lets a filter on it pass
+# the window, so that plans for cut groups touch nothing else.
+SLICE = ["g", "slice", "big"]
 # Binary search steps: enough for twice the expected number of splitters.
 _STEPS = [1 << k for k in range(15, -1, -1)]
 
@@ -125,15 +128,50 @@ def _slice_of(value: Column, splitters: Column) -> Column:
 
 
 def sliced(freq: DataFrame, source: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Add ``slice``: the value range, inside the group, that a frequency row belongs to."""
+    """Add ``slice``, the value range inside its group that a frequency row belongs to, and
+    ``big``, whether the group is cut at all."""
     cut = _splitters(freq, source, slice_rows)
     return (
         freq.join(F.broadcast(cut), "g", "left")
         .withColumn("slice", _slice_of(F.col("v"), F.col("splitters")))
+        .withColumn("big", F.col("splitters").isNotNull())
         .drop("splitters")
     )
 
 
+Totals = Mapping[str, tuple[Callable[[Column], Column], Column]]
+
+
+def with_totals(rows: DataFrame, totals: Totals, before: Totals | None = None) -> DataFrame:
+    """Attach totals of the group ``g`` to sliced rows without gathering a group.
+
+    ``totals`` maps a name to a mergeable aggregate (``F.sum``, ``F.min``, ``F.max``) and
+    its argument; ``before`` does the same for everything in earlier slices of the group.
+    A group in one slice gets them from a window over the slice. For the groups that are
+    cut, slices are reduced to one row each and combined over the group; at most
+    ``MAX_SPLITTERS`` groups and twice as many slices are expected, so that table is
+    broadcast.
+    """
+    before = before or {}
+    directory = rows.where("big").groupBy("g", "slice").agg(
+        *[fn(arg).alias(name) for name, (fn, arg) in {**totals, **before}.items()]
+    )
+    group = Window.partitionBy("g")
+    earlier = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    directory = directory.select(
+        "g",
+        "slice",
+        *[fn(F.col(name)).over(group).alias(f"big_{name}") for name, (fn, _) in totals.items()],
+        *[fn(F.col(name)).over(earlier).alias(name) for name, (fn, _) in before.items()],
+    )
+    one = Window.partitionBy(*SLICE)
+    local = rows.withColumns({name: fn(arg).over(one) for name, (fn, arg) in totals.items()})
+    joined = local.join(F.broadcast(directory), ["g", "slice"], "left")
+    return joined.withColumns(
+        {name: F.when(F.col("big"), F.col(f"big_{name}")).otherwise(F.col(name)) for name in totals}
+    ).drop(*[f"big_{name}" for name in totals])
+
+
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
@@ -144,57 +182,44 @@ def ranked(
 ) -> DataFrame:
     """One row per (group, value) with its rank and the totals of its group.
 
-    Columns: ``g`` (keys as a struct), ``slice``, ``v``, ``cnt``, ``below`` (readings of
-    the group before this value), ``n``, ``mean``, ``max_cnt``, ``n_values`` and, with
-    ``order``, ``is_first`` / ``is_last`` (the value was read first / last; when several
-    values were, all are marked).
+    Columns: ``g`` (keys as a struct), ``slice``, ``big``, ``v``, ``cnt``, ``below``
+    (readings of the group before this value), ``n``, ``mean``, ``max_cnt``, ``n_values``
+    and, with ``order``, ``is_first`` / ``is_last`` (the value was read first / last; when
+    several values were, all are marked).
     """
-    ordered = order is not None
     freq = sliced(frequencies(df, keys, value, order, total_of), df, slice_rows)
-    # Both uses of ``freq`` below read the same columns, so that Spark runs it once.
-    partial = [
-        F.sum("cnt").alias("s_cnt"),
-        F.sum(F.col("v") * F.col("cnt")).alias("s_sum"),
-        F.max("cnt").alias("s_max_cnt"),
-        F.count("v").alias("s_values"),
-    ]
-    if ordered:
-        partial += [F.min("first_at").alias("s_first"), F.max("last_at").alias("s_last")]
-
-    def totals(group: WindowSpec) -> list[Column]:
-        before = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        n = F.sum("s_cnt").over(group)
-        out = [
-            F.coalesce(F.sum("s_cnt").over(before), F.lit(0)).alias("base"),
-            n.alias("n"),
-            (F.sum("s_sum").over(group) / F.nullif(n, F.lit(0))).alias("mean"),
-            F.max("s_max_cnt").over(group).alias("max_cnt"),
-            F.sum("s_values").over(group).alias("n_values"),
-        ]
-        if ordered:
-            out += [F.min("s_first").over(group).alias("g_first"), F.max("s_last").over(group).alias("g_last")]
-        return out
-
-    inside = Window.partitionBy("g", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    rows = with_group_totals(freq, "slice", partial, totals).withColumn(
-        "below", F.col("base") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
-    )
+    totals = {
+        "n": (F.sum, F.col("cnt")),
+        "total": (F.sum, F.col("v") * F.col("cnt")),
+        "max_cnt": (F.max, F.col("cnt")),
+        "n_values": (F.sum, F.col("v").isNotNull().cast("long")),
+    }
     ends = []
-    if ordered:
+    if order is not None:
+        totals |= {"g_first": (F.min, F.col("first_at")), "g_last": (F.max, F.col("last_at"))}
         ends = [
             (F.col("first_at") == F.col("g_first")).alias("is_first"),
             (F.col("last_at") == F.col("g_last")).alias("is_last"),
         ]
-    return rows.select("g", "slice", "v", "cnt", "below", "n", "mean", "max_cnt", "n_values", *ends)
+    inside = Window.partitionBy(*SLICE).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    freq = freq.withColumn("below", F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
+    rows = with_totals(freq, totals, {"base": (F.sum, F.col("cnt"))})
+    return rows.select(
+        "g", "slice", "big", "v", "cnt",
+        (F.col("below") + F.coalesce(F.col("base"), F.lit(0))).alias("below"),
+        "n",
+        (F.col("total") / F.nullif("n", F.lit(0))).alias("mean"),
+        "max_cnt", "n_values", *ends,
+    )
 
 
-def with_group_totals(
+def with_part_totals(
     rows: DataFrame,
     part: str,
     partial: Sequence[Column],
     total: Callable[[WindowSpec], Sequence[Column]],
 ) -> DataFrame:
-    """Attach statistics of the group ``g`` to every row without gathering the group.
+    """Attach statistics of the group ``g`` to rows that are spread over hashed parts.
 
     ``partial`` reduces each (group, part) to one row; ``total`` combines those few rows
     over the group's window; the result is joined back on (group, part), so a large group

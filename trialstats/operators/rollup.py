@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import pack, with_group_totals
+from trialstats.operators.ranking import pack, with_part_totals
 
 # Trials listed in a result row; a longer tie is null there and complete in ``trial_ranking``.
 TRIAL_LIST_LIMIT = 1000
@@ -87,7 +87,7 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
         "m": mean,
         "rounded": F.round(mean, MEAN_DIGITS),
     })
-    rows = with_group_totals(
+    rows = with_part_totals(
         rows,
         "part",
         [F.count("m").alias("c"), F.sum("m").alias("s"), F.min("m").alias("lo"), F.max("m").alias("hi")],
@@ -99,7 +99,7 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
             ).alias("centre"),
         ],
     )
-    rows = with_group_totals(
+    rows = with_part_totals(
         rows,
         "part",
         [

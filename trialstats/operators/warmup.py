@@ -11,6 +11,8 @@ from trialstats.operators.ranking import SLICE_ROWS, ranked
 
 # Up to this many instances per definition a limited window beats a full ranking.
 WINDOW_LIMIT = 1000
+# Instances of one trial are spread over this many parts.
+PARTS = 64
 
 
 def _nth_starts(
@@ -55,15 +57,20 @@ def trim_warmup(
     nth = _nth_starts(df, keys, definition, time, n, slice_rows)
     latest = nth.groupBy(*keys).agg(F.max("nth").alias("cut_time"))
     last_definitions = nth.join(latest, list(keys)).where(F.col("nth") == F.col("cut_time"))
+    # Joining on the instant as well spreads a definition that owns most instances.
+    started = df.select(*keys, definition, instance, time.alias("cut_time"))
     cuts = (
-        df.join(last_definitions.drop("nth"), [*keys, definition])
-        .where(time == F.col("cut_time"))
+        started.join(last_definitions.select(*keys, definition, "cut_time"), [*keys, definition, "cut_time"])
         .groupBy(*keys)
         .agg(F.max("cut_time").alias("cut_time"), F.min(instance).alias("cut_id"))
     )
+    # One copy of the cut per part of the trial, so that a large trial is not gathered.
+    parts = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    cuts = cuts.withColumn("part", F.explode(parts))
     later = (time > F.col("cut_time")) | ((time == F.col("cut_time")) & (F.col(instance) > F.col("cut_id")))
     return (
-        df.join(cuts, list(keys), "left")
+        df.withColumn("part", F.pmod(F.xxhash64(instance), F.lit(PARTS)).cast("int"))
+        .join(cuts, [*keys, "part"], "left")
         .where(F.col("cut_time").isNull() | later)
-        .drop("cut_time", "cut_id")
+        .select(*df.columns)
     )
