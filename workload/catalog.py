@@ -180,7 +180,7 @@ def active_cores(spark, sf):
 # Jobs.
 
 def job_trial_cpu(spark, sf):
-    return report(_trial_cpu(spark, sf))
+    return report(_trial_cpu(spark, sf), 9)
 
 
 def job_trial_cpu_core(spark, sf):
@@ -261,7 +261,7 @@ def job_exp_byte_size(spark, sf):
 
 
 def job_exp_execution_time(spark, sf):
-    return report(experiment.exp_execution_time(settle(trial.trial_execution_time(b.process(spark, sf)))), 5)
+    return report(experiment.exp_execution_time(settle(trial.trial_execution_time(b.process(spark, sf)))).drop("execution_time_variance"))
 
 
 def job_exp_throughput(spark, sf):
@@ -291,7 +291,7 @@ def job_exp_driver_total_ops(spark, sf):
 
 
 def job_exp_driver_mix(spark, sf):
-    return report(driver.operation_mix(b.faban_driver_mix(spark, sf)))
+    return report(driver.operation_mix(b.faban_driver_mix(spark, sf)), 8)
 
 
 def job_exp_driver_delay_times(spark, sf):
