@@ -180,7 +180,10 @@ def active_cores(spark, sf):
 # Jobs.
 
 def job_trial_cpu(spark, sf):
-    return report(_trial_cpu(spark, sf), 9)
+    shares = {c: F.round(c, 12).cast("decimal(20,12)") for c in ("relative_efficency", "absolute_efficency")}
+    return report(_trial_cpu(spark, sf).withColumns(shares), 8).withColumns(
+        {c: F.col(c).cast("double") for c in shares}
+    )
 
 
 def job_trial_cpu_core(spark, sf):

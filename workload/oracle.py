@@ -395,10 +395,10 @@ WHERE c.id IS NULL OR p.started > c.started OR (p.started = c.started AND p.id >
   container_id, host_id, CAST(coalesce(set_size, n_cpu) AS BIGINT) AS cores,
   coalesce(limit_bytes, mem_total) AS bytes FROM containers LEFT JOIN hosts USING (host_id)""",
         "trial_cpu": _with(ENVIRONMENT, CORES, HOSTS, CONTAINERS, summary("s", "environment", CONTAINER, order="at_time"))
-        + f"""SELECT {_list(CONTAINER)}, {shown("cpu", 9, integral=True)},
+        + f"""SELECT {_list(CONTAINER)}, {shown("cpu", 8, integral=True)},
   CAST(coalesce(set_size, n_cpu) AS BIGINT) AS cpu_cores,
-  round(integral / nullif(max * num_data_points, 0), 9) AS relative_efficency,
-  round(integral / (100.0 * num_data_points), 9) AS absolute_efficency
+  round(integral / nullif(max * num_data_points, 0), 12) AS relative_efficency,
+  round(integral / (100.0 * num_data_points), 12) AS absolute_efficency
 FROM s LEFT JOIN containers USING (experiment_id, trial_id, container_id, host_id) LEFT JOIN hosts USING (host_id)""",
         "trial_cpu_core": _with(CORE_TRIAL) + f"""SELECT {_list(CONTAINER, "g.")}, CAST(g.cpu_cores AS BIGINT) AS cpu_cores,
   g.readings AS cpu_num_data_points, g.core, {shown("cpu", integral=True, n=False, alias="r.")}
