@@ -35,32 +35,31 @@ def describe_cores(
 
 
 def assemble_cores(
-    cores: DataFrame, keys: Sequence[str], names: dict[str, str], width: Column | None = None
+    cores: DataFrame, keys: Sequence[str], names: dict[str, str], width: str | None = None
 ) -> DataFrame:
     """One row per ``keys`` with an array per statistic, in core order.
 
     ``names`` maps source to result columns. ``width`` (a column constant per group) pads
     the arrays with nulls or cuts them, so that they have one entry per core of the host.
     """
-    grouped = cores.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("core", *names))).alias("cells"),
-        *([F.max(width).alias("width")] if width is not None else []),
-    )
+    cells = f"array_sort(collect_list(struct({', '.join(['core', *names])}))) AS cells"
+    size = [] if width is None else [F.expr(f"max({width}) AS width")]
+    grouped = cores.groupBy(*keys).agg(F.expr(cells), *size)
 
-    def column(source: str) -> Column:
-        values = F.transform("cells", lambda cell: cell[source])
+    def column(source: str) -> str:
+        values = f"transform(cells, cell -> cell.{source})"
         if width is None:
             return values
-        padded = F.concat(values, F.array_repeat(F.lit(None).cast("double"), F.col("width")))
-        return F.when(F.col("width").isNull(), values).otherwise(F.slice(padded, 1, F.col("width")))
+        padded = f"concat({values}, array_repeat(CAST(NULL AS double), width))"
+        return f"IF(width IS NULL, {values}, slice({padded}, 1, width))"
 
-    return grouped.select(*keys, *[column(s).alias(t) for s, t in names.items()])
+    return grouped.selectExpr(*keys, *[f"{column(s)} AS {t}" for s, t in names.items()])
 
 
 def explode_cores(trials: DataFrame, keep: Sequence[str], prefix: str) -> DataFrame:
     """Trial rows with one array per statistic as rows per ``core``."""
-    zipped = F.arrays_zip(*[F.col(f"{prefix}_{s}").alias(f"{prefix}_{s}") for s in ROLLED_CORE])
-    cells = trials.select(*keep, F.posexplode(zipped).alias("core", "cell"))
+    zipped = ", ".join(f"{prefix}_{s}" for s in ROLLED_CORE)
+    cells = trials.selectExpr(*keep, f"posexplode(arrays_zip({zipped})) AS (core, cell)")
     return cells.select(*keep, "core", "cell.*")
 
 
@@ -69,14 +68,11 @@ def rollup_cores(trials: DataFrame, keys: Sequence[str], prefix: str, carry: Seq
 
     The weighted mean is null as soon as one trial has no mean for the core.
     """
-    n = F.col(f"{prefix}_num_data_points")
-    mean, variance = F.col(f"{prefix}_mean"), F.col(f"{prefix}_variance")
     cells = explode_cores(trials, [*keys, "trial_id", f"{prefix}_num_data_points", *carry], prefix)
-    complete = F.count(mean) == F.count(F.lit(1))
+    complete = F.expr(f"count({prefix}_mean) = count(1)")
     return cells.groupBy(*keys, "core").agg(
         *extremes(prefix),
-        F.when(complete, weighted_mean(mean, n)).alias(f"{prefix}_weighted_avg"),
-        F.when(complete, combined_variance(n, mean, variance)).alias(f"{prefix}_combined_variance"),
+        F.when(complete, weighted_mean(prefix)).alias(f"{prefix}_weighted_avg"),
+        F.when(complete, combined_variance(prefix)).alias(f"{prefix}_combined_variance"),
         *[F.min(c).alias(c) for c in carry],
     )
-

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialstats.operators.ranking import SLICE, SLICE_ROWS, frequencies, ranked, with_part_totals
@@ -24,112 +24,89 @@ SUMMARY = [
 MODES = ["mode", "mode_freq", "mode_min", "mode_max", "mode_ties"]
 
 
-def _is_mode() -> Column:
-    return F.col("v").isNotNull() & (F.col("cnt") == F.col("max_cnt"))
+_IS_MODE = "(v IS NOT NULL AND cnt = max_cnt)"
 
 
-def _percentile_hits() -> Column:
+def _percentile_hits() -> str:
     """How many of the 101 percentiles start / end at this value, as ``(below, v, lo, hi)``.
 
     Percentile p of n readings lies between the readings with 0-based rank
     floor((n-1)p/100) and ceil((n-1)p/100). Ranks grow with p, so the percentiles that
     start at one value are consecutive and their number is a difference of two bounds.
     """
-    last = F.greatest(F.col("n") - 1, F.lit(1))
-    upto = F.col("below") + F.col("cnt")
+    last = "greatest(n - 1, 1)"
 
-    def first_p_from(rank: Column) -> Column:
+    def first_p_from(rank: str) -> str:
         # Smallest p whose lower rank is at least ``rank``.
-        return F.least(F.lit(101), F.ceil(100 * rank / last))
+        return f"least(101, ceil(100 * ({rank}) / {last}))"
 
-    def last_p_to(rank: Column) -> Column:
+    def last_p_to(rank: str) -> str:
         # Largest p whose upper rank is at most ``rank``.
-        return F.when(rank < 0, -1).otherwise(F.least(F.lit(100), F.floor(100 * rank / last)))
-
-    lo = F.when(F.col("n") == 1, 101).otherwise(first_p_from(upto) - first_p_from(F.col("below")))
-    hi = F.when(F.col("n") == 1, 101).otherwise(last_p_to(upto - 1) - last_p_to(F.col("below") - 1))
-    is_value = F.col("v").isNotNull()
-    return F.when(
-        is_value & ((lo > 0) | (hi > 0)),
-        F.struct("below", "v", lo.cast("int").alias("lo"), hi.cast("int").alias("hi")),
-    )
+        return f"IF({rank} < 0, -1, least(100, floor(100 * ({rank}) / {last})))"
+
+    lo = f"IF(n = 1, 101, {first_p_from('below + cnt')} - {first_p_from('below')})"
+    hi = f"IF(n = 1, 101, {last_p_to('below + cnt - 1')} - {last_p_to('below - 1')})"
+    return f"named_struct('below', below, 'v', v, 'lo', CAST({lo} AS INT), 'hi', CAST({hi} AS INT))"
 
 
-def percentiles_from_hits(hits: Column, n: Column) -> Column:
-    """The 101 linearly interpolated percentiles; null for an empty group."""
-    ordered = F.array_sort(hits)
-    lower = F.flatten(F.transform(ordered, lambda h: F.array_repeat(h["v"], h["lo"])))
-    upper = F.flatten(F.transform(ordered, lambda h: F.array_repeat(h["v"], h["hi"])))
-    curve = F.transform(
-        F.arrays_zip(lower.alias("a"), upper.alias("b")),
-        lambda e, p: e["a"] + (e["b"] - e["a"]) * (((n - 1) * p) % 100) / 100.0,
+def _curve() -> str:
+    """The 101 linearly interpolated percentiles from the ``hits``; null for an empty group."""
+    lower = "flatten(transform(array_sort(hits), h -> array_repeat(h.v, h.lo)))"
+    upper = "flatten(transform(array_sort(hits), h -> array_repeat(h.v, h.hi)))"
+    share = "(((num_data_points - 1) * p) % 100) / 100"
+    return (
+        f"IF(num_data_points > 0, transform("
+        f"zip_with({lower}, {upper}, (a, b) -> named_struct('a', a, 'b', b)), (e, p) -> e.a + (e.b - e.a) * {share}), NULL)"
     )
-    return F.when(n > 0, curve)
 
 
 def summarise(rows: DataFrame, modes: bool = False, integral: bool = False) -> DataFrame:
     """Reduce ``ranked`` rows to one summary row per group (``g`` plus the statistics)."""
-    deviation = F.col("v") - F.col("mean")
+    extra = [f"{_percentile_hits()} AS hit"]
+    # At most two hits per percentile, so the list is short whatever the group holds.
     aggs = [
-        F.max("n").alias("num_data_points"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.max("mean").alias("mean"),
-        F.sum(F.col("cnt") * deviation * deviation).alias("m2"),
-        # At most two hits per percentile, so the list is short whatever the group holds.
-        F.collect_list(_percentile_hits()).alias("hits"),
+        "max(n) AS num_data_points", "min(v) AS min", "max(v) AS max", "max(mean) AS mean",
+        "sum(cnt * (v - mean) * (v - mean)) AS m2",
+        "collect_list(hit) FILTER (WHERE v IS NOT NULL AND (hit.lo > 0 OR hit.hi > 0)) AS hits",
     ]
     if modes:
-        listed = _is_mode() & ~(
-            (F.col("max_cnt") == 1) & (F.col("n_values") > MODE_LIST_LIMIT)
-        ) & (F.col("mode_no") <= MODE_LIST_LIMIT)
-        rows = rows.withColumn("mode_no", _mode_number())
+        extra.append(
+            f"count_if({_IS_MODE}) OVER (PARTITION BY {SLICE} ORDER BY v "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mode_no"
+        )
+        listed = (
+            f"{_IS_MODE} AND mode_no <= {MODE_LIST_LIMIT} "
+            f"AND NOT (max_cnt = 1 AND n_values > {MODE_LIST_LIMIT})"
+        )
         aggs += [
-            F.when(F.max("max_cnt") > 0, F.max("max_cnt")).alias("mode_freq"),
-            F.min(F.when(_is_mode(), F.col("v"))).alias("mode_min"),
-            F.max(F.when(_is_mode(), F.col("v"))).alias("mode_max"),
-            F.count_if(_is_mode()).alias("mode_ties"),
-            F.collect_list(F.when(listed, F.col("v"))).alias("listed"),
+            "nullif(max(max_cnt), 0) AS mode_freq",
+            f"min(v) FILTER (WHERE {_IS_MODE}) AS mode_min",
+            f"max(v) FILTER (WHERE {_IS_MODE}) AS mode_max",
+            f"count_if({_IS_MODE}) AS mode_ties",
+            f"collect_list(v) FILTER (WHERE {listed}) AS listed",
         ]
     if integral:
         aggs += [
-            F.min(F.when(F.col("is_first"), F.col("v"))).alias("first_value"),
-            F.max(F.when(F.col("is_last"), F.col("v"))).alias("last_value"),
+            "min(v) FILTER (WHERE is_first) AS first_value",
+            "max(v) FILTER (WHERE is_last) AS last_value",
         ]
-    n = F.col("num_data_points")
-    out = rows.groupBy("g").agg(*aggs).select(
+    out = rows.selectExpr("*", *extra).groupBy("g").agg(*[F.expr(a) for a in aggs])
+    out = out.selectExpr(
         "*",
-        (F.col("m2") / F.nullif(n, F.lit(0))).alias("variance"),
-        percentiles_from_hits(F.col("hits"), n).alias("percentiles"),
+        "m2 / nullif(num_data_points, 0) AS variance",
+        "sqrt(m2 / nullif(num_data_points, 0)) AS sd",
+        "2 * sqrt(m2 / nullif(num_data_points, 0)) / sqrt(nullif(num_data_points, 0)) AS me",
+        f"{_curve()} AS percentiles",
     )
-    out = out.withColumn("sd", F.sqrt("variance")).withColumn(
-        "me", 2 * F.col("sd") / F.sqrt(F.nullif(n, F.lit(0)))
-    )
-    out = out.withColumn("ci095_min", F.col("mean") - F.col("me")).withColumn(
-        "ci095_max", F.col("mean") + F.col("me")
-    )
-    columns = ["g"] + [
-        F.get("percentiles", F.lit(QUANTILES[s])).alias(s) if s in QUANTILES else F.col(s)
-        for s in SUMMARY
-    ]
-    if modes:
-        columns += [
-            F.when(
-                F.col("mode_ties").between(1, MODE_LIST_LIMIT), F.array_sort("listed")
-            ).alias("mode"),
-            *MODES[1:],
-        ]
-    if integral:
+    derived = {
+        **{name: f"get(percentiles, {p})" for name, p in QUANTILES.items()},
+        "ci095_min": "mean - me",
+        "ci095_max": "mean + me",
+        "mode": f"IF(mode_ties BETWEEN 1 AND {MODE_LIST_LIMIT}, array_sort(listed), NULL)",
         # Trapezoids of unit width: every reading once, the two end readings half.
-        columns.append(
-            (F.col("mean") * n - (F.col("first_value") + F.col("last_value")) / 2).alias("integral")
-        )
-    return out.select(*columns)
-
-
-def _mode_number() -> Column:
-    window = Window.partitionBy(*SLICE).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return F.count_if(_is_mode()).over(window)
+        "integral": "mean * num_data_points - (first_value + last_value) / 2",
+    }
+    return out.selectExpr("g", *[f"{derived.get(c, c)} AS {c}" for c in _names(modes, integral)])
 
 
 def describe(
@@ -173,7 +150,7 @@ def describe_measures(
     )
     stats = describe(long, [*keys, "measure_no"], "x", modes=modes, slice_rows=slice_rows)
     wide = [
-        F.max_by(F.col(s), F.when(F.col("measure_no") == i, F.lit(1))).alias(f"{prefix}_{s}")
+        F.expr(f"max_by({s}, 1) FILTER (WHERE measure_no = {i}) AS {prefix}_{s}")
         for i, prefix in enumerate(prefixes)
         for s in _names(modes, False)
     ]
@@ -200,18 +177,11 @@ def mode_rows(
     group, so a group in which every value ties is never gathered.
     """
     freq = frequencies(df, keys, value, total_of=total_of).where(F.col("v").isNotNull())
-    freq = freq.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(256)))
-    rows = with_part_totals(
-        freq,
-        "part",
-        [F.max("cnt").alias("part_max")],
-        lambda group: [F.max("part_max").over(group).alias("max_cnt")],
-    )
-    return rows.where(_is_mode()).select("g.*", F.col("v").alias("mode"), F.col("cnt").alias("mode_freq"))
+    freq = freq.withColumn("part", F.expr("pmod(xxhash64(v), 256)"))
+    rows = with_part_totals(freq, ["max(cnt) AS part_max"], {"max_cnt": "max(part_max) OVER w"})
+    return rows.where(_IS_MODE).selectExpr("g.*", "v AS mode", "cnt AS mode_freq")
 
 
 def prefixed(stats: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     """Rename the statistics of a summary to ``<prefix>_<statistic>``."""
-    return stats.select(
-        *keys, *[F.col(c).alias(f"{prefix}_{c}") for c in stats.columns if c not in keys]
-    )
+    return stats.selectExpr(*keys, *[f"{c} AS {prefix}_{c}" for c in stats.columns if c not in keys])

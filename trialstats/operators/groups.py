@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import keep_total_label, total_or
+from trialstats.operators.ranking import TOTAL, keep_total_label, total_or
 
-# Labels that stand for "every group" and for a missing type or name.
-TOTAL = "all"
+# Fixed value: the label of a missing type or name.
 UNSPECIFIED = "Unspecified"
 
 
@@ -25,9 +24,9 @@ def with_total(
     grouped = df.groupingSets([[*keys, *labels], [*keys]], *keys, *labels).agg(
         F.grouping(labels[0]).alias("is_total"), *aggs
     )
-    return grouped.where(keep_total_label(labels, TOTAL)).select(
+    return grouped.where(keep_total_label(labels)).selectExpr(
         *keys,
-        *[total_or(label, TOTAL) for label in labels],
+        *[f"{total_or(label)} AS {label}" for label in labels],
         *grouped.columns[len(keys) + len(labels) + 1:],
     )
 

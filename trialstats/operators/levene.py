@@ -15,15 +15,13 @@ CENTRES = ["mean", "median", "trimmed"]
 TRIM = 0.05
 
 
-def _kept() -> Column:
-    """Readings of a value that are left after cutting the share from both ends."""
-    cut = F.floor(F.lit(TRIM) * F.col("n"))
-    upto = F.least(F.col("below") + F.col("cnt"), F.col("n") - cut)
-    return F.greatest(F.lit(0), upto - F.greatest(F.col("below"), cut))
+# Readings of a value that are left after cutting the share from both ends.
+_CUT = f"floor({TRIM}D * n)"
+_KEPT = f"greatest(0, least(below + cnt, n - {_CUT}) - greatest(below, {_CUT}))"
 
 
-def _at_rank(rank: Column) -> Column:
-    return F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("cnt")), F.col("v"))
+def _at_rank(rank: str) -> str:
+    return f"IF(below <= {rank} AND {rank} < below + cnt, v, NULL)"
 
 
 def trial_deviations(
@@ -34,36 +32,35 @@ def trial_deviations(
     The trimmed centre works on the trimmed sample throughout, so its count is smaller.
     Missing readings are skipped and a trial without readings is left out.
     """
-    rows = ranked(df, [*keys, trial], value, slice_rows=slice_rows).where(F.col("v").isNotNull())
+    rows = ranked(df, [*keys, trial], value, slice_rows=slice_rows).where("v IS NOT NULL")
     rows = with_totals(
-        rows.withColumn("kept", _kept()),
+        rows.selectExpr("*", f"{_KEPT} AS kept"),
         {
-            "mid_low": (F.max, _at_rank(F.floor((F.col("n") - 1) / 2))),
-            "mid_high": (F.max, _at_rank(F.floor(F.col("n") / 2))),
-            "kept_sum": (F.sum, F.col("kept") * F.col("v")),
-            "kept_cnt": (F.sum, F.col("kept")),
+            "mid_low": ("max", _at_rank("floor((n - 1) / 2)")),
+            "mid_high": ("max", _at_rank("floor(n / 2)")),
+            "kept_sum": ("sum", "kept * v"),
+            "kept_cnt": ("sum", "kept"),
         },
-    ).withColumns({
-        "c_mean": F.col("mean"),
-        "c_median": (F.col("mid_low") + F.col("mid_high")) / 2,
-        "c_trimmed": F.col("kept_sum") / F.col("kept_cnt"),
-    })
-    sums = []
-    for c in CENTRES:
-        weight = F.col("kept") if c == "trimmed" else F.col("cnt")
-        distance = F.abs(F.col("v") - F.col(f"c_{c}"))
-        sums += [
-            F.sum(weight).alias(f"n_{c}"),
-            (F.sum(weight * distance) / F.sum(weight)).alias(f"z_{c}"),
-            F.sum(weight * distance * distance).alias(f"square_{c}"),
-        ]
-    return rows.groupBy("g").agg(*sums).select(
+    ).selectExpr(
+        "*",
+        "abs(v - mean) AS d_mean",
+        "abs(v - (mid_low + mid_high) / 2) AS d_median",
+        "abs(v - kept_sum / kept_cnt) AS d_trimmed",
+    )
+    weights = {c: "kept" if c == "trimmed" else "cnt" for c in CENTRES}
+    sums = [
+        F.expr(e)
+        for c, w in weights.items()
+        for e in (
+            f"sum({w}) AS n_{c}",
+            f"sum({w} * d_{c}) / sum({w}) AS z_{c}",
+            f"sum({w} * d_{c} * d_{c}) AS square_{c}",
+        )
+    ]
+    return rows.groupBy("g").agg(*sums).selectExpr(
         "g.*",
-        *[F.col(f"{p}_{c}") for c in CENTRES for p in ("n", "z")],
-        *[
-            (F.col(f"square_{c}") - F.col(f"n_{c}") * F.col(f"z_{c}") * F.col(f"z_{c}")).alias(f"ss_{c}")
-            for c in CENTRES
-        ],
+        *[f"{p}_{c}" for c in CENTRES for p in ("n", "z")],
+        *[f"square_{c} - n_{c} * z_{c} * z_{c} AS ss_{c}" for c in CENTRES],
     )
 
 
@@ -81,26 +78,16 @@ def levene(
     Fewer than two trials with readings, or no spread at all, gives null.
     """
     trials = trial_deviations(df, keys, trial, value, slice_rows)
-    aggs = [F.count(F.lit(1)).alias("k")]
+    aggs = ["count(1) AS k"]
     for c in CENTRES:
-        n, z = F.col(f"n_{c}"), F.col(f"z_{c}")
-        aggs += [
-            F.sum(n).alias(f"N_{c}"),
-            F.greatest(F.lit(0.0), F.sum(n * z * z) - F.sum(n * z) * F.sum(n * z) / F.sum(n)).alias(f"between_{c}"),
-            F.sum(f"ss_{c}").alias(f"within_{c}"),
-        ]
-    groups = trials.groupBy(*keys).agg(*aggs)
-    k = F.col("k")
-    stats = groups.select(
+        between = f"sum(n_{c} * z_{c} * z_{c}) - sum(n_{c} * z_{c}) * sum(n_{c} * z_{c}) / sum(n_{c})"
+        aggs += [f"sum(n_{c}) AS N_{c}", f"greatest(0, {between}) AS between_{c}", f"sum(ss_{c}) AS within_{c}"]
+    stats = trials.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(
         *keys,
         "k",
         *[f"N_{c}" for c in CENTRES],
         *[
-            F.when(
-                k > 1,
-                (F.col(f"N_{c}") - k) * F.col(f"between_{c}")
-                / F.nullif((k - 1) * F.col(f"within_{c}"), F.lit(0.0)),
-            ).alias(f"{c}_stat")
+            f"IF(k > 1, (N_{c} - k) * between_{c} / nullif((k - 1) * within_{c}, 0), NULL) AS {c}_stat"
             for c in CENTRES
         ],
     )
@@ -110,5 +97,8 @@ def levene(
     return stats.select(
         *keys,
         *names,
-        *[f_upper_tail(F.col(f"{c}_stat"), k - 1, F.col(f"N_{c}") - k).alias(c) for c in CENTRES],
+        *[
+            f_upper_tail(F.col(f"{c}_stat"), F.col("k") - 1, F.col(f"N_{c}") - F.col("k")).alias(c)
+            for c in CENTRES
+        ],
     )

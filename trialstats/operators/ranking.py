@@ -20,25 +20,27 @@ No row is dropped anywhere: splitters only decide which task does the counting.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the label of a grand total.
+TOTAL = "all"
 # Expected number of splitters over all groups together (the broadcast bound).
 MAX_SPLITTERS = 1 << 14
 # A slice holds about this many distinct values, or more once the bound above is met.
 SLICE_ROWS = 1 << 18
 # Window key of a slice. ``big`` follows from the group; naming it lets a filter on it pass
 # the window, so that plans for cut groups touch nothing else.
-SLICE = ["g", "slice", "big"]
+SLICE = "g, slice, big"
 # Binary search steps: enough for twice the expected number of splitters.
 _STEPS = [1 << k for k in range(15, -1, -1)]
 
 
-def pack(keys: Sequence[str]) -> Column:
+def pack(keys: Sequence[str]) -> str:
     """Group keys as one struct, so that a null key equals itself in joins as in groupBy."""
-    return F.struct(*[F.col(k) for k in keys]).alias("g")
+    return f"struct({', '.join(keys)}) AS g"
 
 
 def frequencies(
@@ -47,7 +49,6 @@ def frequencies(
     value: str | Column,
     order: Column | None = None,
     total_of: Sequence[str] = (),
-    total_label: str = "all",
 ) -> DataFrame:
     """Count readings per (group, value).
 
@@ -55,121 +56,101 @@ def frequencies(
     group without any reading is still there. With ``order`` (one number or timestamp, so
     that the aggregation stays hash based), ``first_at`` and ``last_at`` are the ends of the
     value in that order. With ``total_of`` (the keys that a grand total runs over) each
-    reading is also counted in the group where those keys read ``total_label``. That label
-    is reserved: a real group of the same name is part of the total and of nothing else.
+    reading is also counted in the group where those keys read ``all``. That label is
+    reserved: a real group of the same name is part of the total and of nothing else.
     """
     measure = F.col(value) if isinstance(value, str) else value
-    source = df.select(
-        *keys,
-        measure.cast("double").alias("v"),
-        *([order.alias("at")] if order is not None else []),
-    )
+    columns = [*keys, measure.cast("double").alias("v")]
     # The measure is a grouping column too, so the counts look at a second copy of it.
-    source = source.withColumn("x", F.col("v"))
-    counted = [F.count("x").alias("cnt")]
+    counted = [F.expr("count(x) AS cnt")]
     kept = ["cnt"]
     if order is not None:
-        at = F.when(F.col("x").isNotNull(), F.col("at"))
-        counted += [F.min(at).alias("first_at"), F.max(at).alias("last_at")]
+        columns.append(order.alias("at"))
+        counted += [
+            F.expr("min(at) FILTER (WHERE x IS NOT NULL) AS first_at"),
+            F.expr("max(at) FILTER (WHERE x IS NOT NULL) AS last_at"),
+        ]
         kept += ["first_at", "last_at"]
+    source = df.select(*columns).selectExpr("*", "v AS x")
 
     if not total_of:
-        return source.groupBy(pack(keys), "v").agg(*counted).select("g", "v", *kept)
+        return source.groupBy(F.expr(pack(keys)), "v").agg(*counted).select("g", "v", *kept)
 
     labels = list(total_of)
     outer = [k for k in keys if k not in labels]
-    counted.append(F.grouping(labels[0]).alias("is_total"))
     grouped = source.groupingSets(
         [[*outer, *labels, "v"], [*outer, "v"]], *outer, *labels, "v"
-    ).agg(*counted)
-    return grouped.where(keep_total_label(labels, total_label)).select(
-        F.struct(*[total_or(k, total_label) if k in labels else F.col(k) for k in keys]).alias("g"),
-        "v",
-        *kept,
-    )
+    ).agg(*counted, F.expr(f"grouping({labels[0]}) AS is_total"))
+    named = ", ".join(f"'{k}', {total_or(k) if k in labels else k}" for k in keys)
+    return grouped.where(keep_total_label(labels)).selectExpr(f"named_struct({named}) AS g", "v", *kept)
 
 
-def total_or(label: str, total_label: str = "all") -> Column:
+def total_or(label: str) -> str:
     """The key of a grouping-sets row, or the label of the total."""
-    return F.when(F.col("is_total") == 1, F.lit(total_label)).otherwise(F.col(label)).alias(label)
+    return f"CASE WHEN is_total = 1 THEN '{TOTAL}' ELSE {label} END"
 
 
-def keep_total_label(labels: Sequence[str], total_label: str = "all") -> Column:
+def keep_total_label(labels: Sequence[str]) -> str:
     """True for the total row and for every group not named like it."""
-    reserved = F.lit(True)
-    for label in labels:
-        reserved = reserved & F.col(label).eqNullSafe(total_label)
-    return (F.col("is_total") == 1) | ~reserved
+    return "is_total = 1 OR NOT (" + " AND ".join(f"{label} <=> '{TOTAL}'" for label in labels) + ")"
 
 
 def _splitters(freq: DataFrame, source: DataFrame, slice_rows: int) -> DataFrame:
     """About one value in ``step`` per group, sorted: at most ``MAX_SPLITTERS`` expected."""
     step = source.select(
-        F.greatest(
-            F.lit(slice_rows).cast("long"), F.ceil(F.count(F.lit(1)) * 2 / MAX_SPLITTERS).cast("long")
-        )
+        F.expr(f"greatest({slice_rows}L, ceil(count(1) * 2 / {MAX_SPLITTERS}))")
     ).scalar()
-    picked = freq.where(
-        F.col("v").isNotNull() & (F.pmod(F.xxhash64("g", "v"), step) == 0)
-    )
-    return picked.groupBy("g").agg(F.array_sort(F.collect_set("v")).alias("splitters"))
-
+    picked = freq.where(F.pmod(F.xxhash64("g", "v"), step) == 0).where("v IS NOT NULL")
+    return picked.groupBy("g").agg(F.expr("array_sort(collect_set(v)) AS splitters"))
 
-def _slice_of(value: Column, splitters: Column) -> Column:
-    """Number of splitters not above the value, by binary search."""
-    def move(pos: Column, step: Column) -> Column:
-        nxt = pos + step
-        fits = (nxt <= F.size(splitters)) & (F.get(splitters, nxt - 1) <= value)
-        return F.when(fits, nxt).otherwise(pos)
 
-    steps = F.array(*[F.lit(s) for s in _STEPS])
-    found = F.when(splitters.isNotNull(), F.aggregate(steps, F.lit(0), move))
-    return F.coalesce(found, F.lit(0))
+def _slice_of() -> str:
+    """Number of splitters not above ``v``, by binary search."""
+    steps = ", ".join(str(s) for s in _STEPS)
+    fits = "pos + step <= size(splitters) AND get(splitters, pos + step - 1) <= v"
+    search = f"aggregate(array({steps}), 0, (pos, step) -> IF({fits}, pos + step, pos))"
+    return f"coalesce(IF(splitters IS NULL, 0, {search}), 0)"
 
 
 def sliced(freq: DataFrame, source: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``slice``, the value range inside its group that a frequency row belongs to, and
     ``big``, whether the group is cut at all."""
     cut = _splitters(freq, source, slice_rows)
-    return (
-        freq.join(F.broadcast(cut), "g", "left")
-        .withColumn("slice", _slice_of(F.col("v"), F.col("splitters")))
-        .withColumn("big", F.col("splitters").isNotNull())
-        .drop("splitters")
+    return freq.join(F.broadcast(cut), "g", "left").selectExpr(
+        *freq.columns, f"{_slice_of()} AS slice", "splitters IS NOT NULL AS big"
     )
 
 
-Totals = Mapping[str, tuple[Callable[[Column], Column], Column]]
+# Name of a total: a mergeable aggregate (sum, min, max) and its argument.
+Totals = Mapping[str, tuple[str, str]]
 
 
 def with_totals(rows: DataFrame, totals: Totals, before: Totals | None = None) -> DataFrame:
     """Attach totals of the group ``g`` to sliced rows without gathering a group.
 
-    ``totals`` maps a name to a mergeable aggregate (``F.sum``, ``F.min``, ``F.max``) and
-    its argument; ``before`` does the same for everything in earlier slices of the group.
-    A group in one slice gets them from a window over the slice. For the groups that are
-    cut, slices are reduced to one row each and combined over the group; at most
+    ``totals`` runs over the group, ``before`` over the earlier slices of the group. A group
+    in one slice gets them from a window over the slice. For the groups that are cut,
+    slices are reduced to one row each and combined over the group; at most
     ``MAX_SPLITTERS`` groups and twice as many slices are expected, so that table is
     broadcast.
     """
     before = before or {}
-    directory = rows.where("big").groupBy("g", "slice").agg(
-        *[fn(arg).alias(name) for name, (fn, arg) in {**totals, **before}.items()]
-    )
-    group = Window.partitionBy("g")
-    earlier = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    directory = directory.select(
+    parts = [F.expr(f"{fn}({arg}) AS {name}") for name, (fn, arg) in {**totals, **before}.items()]
+    group = "OVER (PARTITION BY g)"
+    earlier = "OVER (PARTITION BY g ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    directory = rows.where("big").groupBy("g", "slice").agg(*parts).selectExpr(
         "g",
         "slice",
-        *[fn(F.col(name)).over(group).alias(f"big_{name}") for name, (fn, _) in totals.items()],
-        *[fn(F.col(name)).over(earlier).alias(name) for name, (fn, _) in before.items()],
+        *[f"{fn}({name}) {group} AS big_{name}" for name, (fn, _) in totals.items()],
+        *[f"{fn}({name}) {earlier} AS {name}" for name, (fn, _) in before.items()],
+    )
+    one = f"OVER (PARTITION BY {SLICE})"
+    local = rows.selectExpr("*", *[f"{fn}({arg}) {one} AS own_{name}" for name, (fn, arg) in totals.items()])
+    return local.join(F.broadcast(directory), ["g", "slice"], "left").selectExpr(
+        *rows.columns,
+        *[f"IF(big, big_{name}, own_{name}) AS {name}" for name in totals],
+        *before,
     )
-    one = Window.partitionBy(*SLICE)
-    local = rows.withColumns({name: fn(arg).over(one) for name, (fn, arg) in totals.items()})
-    joined = local.join(F.broadcast(directory), ["g", "slice"], "left")
-    return joined.withColumns(
-        {name: F.when(F.col("big"), F.col(f"big_{name}")).otherwise(F.col(name)) for name in totals}
-    ).drop(*[f"big_{name}" for name in totals])
 
 
 def ranked(
@@ -189,41 +170,32 @@ def ranked(
     """
     freq = sliced(frequencies(df, keys, value, order, total_of), df, slice_rows)
     totals = {
-        "n": (F.sum, F.col("cnt")),
-        "total": (F.sum, F.col("v") * F.col("cnt")),
-        "max_cnt": (F.max, F.col("cnt")),
-        "n_values": (F.sum, F.col("v").isNotNull().cast("long")),
+        "n": ("sum", "cnt"),
+        "total": ("sum", "v * cnt"),
+        "max_cnt": ("max", "cnt"),
+        "n_values": ("sum", "IF(v IS NULL, 0, 1)"),
     }
     ends = []
     if order is not None:
-        totals |= {"g_first": (F.min, F.col("first_at")), "g_last": (F.max, F.col("last_at"))}
-        ends = [
-            (F.col("first_at") == F.col("g_first")).alias("is_first"),
-            (F.col("last_at") == F.col("g_last")).alias("is_last"),
-        ]
-    inside = Window.partitionBy(*SLICE).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    freq = freq.withColumn("below", F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
-    rows = with_totals(freq, totals, {"base": (F.sum, F.col("cnt"))})
-    return rows.select(
-        "g", "slice", "big", "v", "cnt",
-        (F.col("below") + F.coalesce(F.col("base"), F.lit(0))).alias("below"),
-        "n",
-        (F.col("total") / F.nullif("n", F.lit(0))).alias("mean"),
-        "max_cnt", "n_values", *ends,
+        totals |= {"g_first": ("min", "first_at"), "g_last": ("max", "last_at")}
+        ends = ["first_at = g_first AS is_first", "last_at = g_last AS is_last"]
+    running = f"sum(cnt) OVER (PARTITION BY {SLICE} ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    rows = with_totals(freq.selectExpr("*", f"{running} AS inside"), totals, {"base": ("sum", "cnt")})
+    return rows.selectExpr(
+        "g", "slice", "big", "v", "cnt", "coalesce(inside, 0) + coalesce(base, 0) AS below", "n",
+        "total / nullif(n, 0) AS mean", "max_cnt", "n_values", *ends,
     )
 
 
-def with_part_totals(
-    rows: DataFrame,
-    part: str,
-    partial: Sequence[Column],
-    total: Callable[[WindowSpec], Sequence[Column]],
-) -> DataFrame:
+def with_part_totals(rows: DataFrame, partial: Sequence[str], total: Mapping[str, str]) -> DataFrame:
     """Attach statistics of the group ``g`` to rows that are spread over hashed parts.
 
-    ``partial`` reduces each (group, part) to one row; ``total`` combines those few rows
-    over the group's window; the result is joined back on (group, part), so a large group
-    stays spread over its parts.
+    ``partial`` reduces each (group, ``part``) to one row; ``total`` combines those few rows
+    over ``w``, the window of the group; the result is joined back on (group, part), so a
+    large group stays spread over its parts.
     """
-    directory = rows.groupBy("g", part).agg(*partial).select("g", part, *total(Window.partitionBy("g")))
-    return rows.join(directory, ["g", part])
+    window = "(PARTITION BY g)"
+    directory = rows.groupBy("g", "part").agg(*[F.expr(p) for p in partial]).selectExpr(
+        "g", "part", *[f"{e.replace('OVER w', f'OVER {window}')} AS {name}" for name, e in total.items()]
+    )
+    return rows.join(directory, ["g", "part"])

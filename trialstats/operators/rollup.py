@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialstats.operators.ranking import pack, with_part_totals
@@ -23,54 +23,46 @@ RANKINGS = ["best", "worst", "average"]
 
 def extremes(prefix: str, statistics: Sequence[str] = EXTREMES) -> list[Column]:
     """Overall min / max and the min / max over trials of each statistic; nulls are ignored."""
-    out = [
-        F.min(f"{prefix}_min").alias(f"{prefix}_min"),
-        F.max(f"{prefix}_max").alias(f"{prefix}_max"),
-    ]
+    ends = {f"{prefix}_min": f"min({prefix}_min)", f"{prefix}_max": f"max({prefix}_max)"}
     for s in statistics:
-        out.append(F.min(f"{prefix}_{s}").alias(f"{prefix}_{s}_min"))
-        out.append(F.max(f"{prefix}_{s}").alias(f"{prefix}_{s}_max"))
-    return out
+        ends |= {f"{prefix}_{s}_{end}": f"{end}({prefix}_{s})" for end in ("min", "max")}
+    return [F.expr(f"{aggregate} AS {name}") for name, aggregate in ends.items()]
 
 
-def weighted_mean(mean: Column, n: Column) -> Column:
+def weighted_mean(prefix: str) -> Column:
     """Mean of all readings from the trial means."""
-    weight = F.sum(F.when(mean.isNotNull(), n))
-    return F.sum(mean * n) / F.nullif(weight, F.lit(0))
+    n, mean = f"{prefix}_num_data_points", f"{prefix}_mean"
+    return F.expr(f"sum({mean} * {n}) / nullif(sum({n}) FILTER (WHERE {mean} IS NOT NULL), 0)")
 
 
-def variation_coefficient(mean: Column) -> Column:
+def variation_coefficient(prefix: str) -> Column:
     """Population deviation of the trial means relative to their mean, in percent."""
-    return F.stddev_pop(mean) / F.nullif(F.avg(mean), F.lit(0.0)) * 100
+    return F.expr(f"stddev_pop({prefix}_mean) / nullif(avg({prefix}_mean), 0) * 100")
 
 
-def combined_variance(n: Column, mean: Column, variance: Column) -> Column:
+def combined_variance(prefix: str) -> Column:
     """Variance of all readings from the trial summaries.
 
     (sum((n_i - 1) v_i + n_i m_i^2) - N M^2) / (N - 1), with the variances as they are
     stored, that is population variances. A single reading gives NaN, none gives null.
     """
-    total = F.sum(n)
-    squares = F.sum((n - 1) * variance + n * mean * mean)
-    grand = F.sum(n * mean) / F.nullif(total, F.lit(0))
-    return F.when(total == 1, F.lit(float("nan"))).otherwise(
-        (squares - total * grand * grand) / F.nullif(total - 1, F.lit(-1))
+    n, m, v = f"{prefix}_num_data_points", f"{prefix}_mean", f"{prefix}_variance"
+    grand = f"sum({n} * {m}) / nullif(sum({n}), 0)"
+    squares = f"sum(({n} - 1) * {v} + {n} * {m} * {m})"
+    return F.expr(
+        f"IF(sum({n}) = 1, double('NaN'), "
+        f"({squares} - sum({n}) * ({grand}) * ({grand})) / nullif(sum({n}) - 1, 0))"
     )
 
 
 def mode_extremes(prefix: str) -> list[Column]:
     """Smallest and largest mode over the trials, each with its frequency."""
-    def pair(end: str) -> Column:
-        mode = F.col(f"{prefix}_mode_{end}")
-        return F.when(mode.isNotNull(), F.struct(mode.alias("v"), F.col(f"{prefix}_mode_freq").alias("f")))
-
-    low, high = F.min(pair("min")), F.max(pair("max"))
-    return [
-        low["v"].alias(f"{prefix}_mode_min"),
-        high["v"].alias(f"{prefix}_mode_max"),
-        low["f"].alias(f"{prefix}_mode_min_freq"),
-        high["f"].alias(f"{prefix}_mode_max_freq"),
-    ]
+    out = []
+    for end in ("min", "max"):
+        mode = f"{prefix}_mode_{end}"
+        pair = f"{end}(struct({mode} AS v, {prefix}_mode_freq AS f)) FILTER (WHERE {mode} IS NOT NULL)"
+        out += [F.expr(f"({pair}).v AS {mode}"), F.expr(f"({pair}).f AS {mode}_freq")]
+    return out
 
 
 def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: str) -> DataFrame:
@@ -80,47 +72,44 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
     Average: the means nearest to the mean of means from above and from below. All ties
     count. Statistics of the experiment reach the trials through parts of the experiment.
     """
-    mean, me = F.col(f"{prefix}_mean"), F.col(f"{prefix}_me")
-    rows = trials.withColumns({
-        "g": pack(keys),
-        "part": F.pmod(F.xxhash64(trial), F.lit(PARTS)),
-        "m": mean,
-        "rounded": F.round(mean, MEAN_DIGITS),
-    })
+    me = f"{prefix}_me"
+    rows = trials.selectExpr(
+        "*",
+        pack(keys),
+        f"pmod(xxhash64({trial}), {PARTS}) AS part",
+        f"{prefix}_mean AS m",
+        f"round({prefix}_mean, {MEAN_DIGITS}) AS rounded",
+    )
     rows = with_part_totals(
         rows,
-        "part",
-        [F.count("m").alias("c"), F.sum("m").alias("s"), F.min("m").alias("lo"), F.max("m").alias("hi")],
-        lambda group: [
-            F.min("lo").over(group).alias("lowest"),
-            F.max("hi").over(group).alias("highest"),
-            F.round(
-                F.sum("s").over(group) / F.nullif(F.sum("c").over(group), F.lit(0)), MEAN_DIGITS
-            ).alias("centre"),
-        ],
+        ["count(m) AS c", "sum(m) AS s", "min(m) AS lo", "max(m) AS hi"],
+        {
+            "lowest": "min(lo) OVER w",
+            "highest": "max(hi) OVER w",
+            "centre": f"round(sum(s) OVER w / nullif(sum(c) OVER w, 0), {MEAN_DIGITS})",
+        },
     )
     rows = with_part_totals(
         rows,
-        "part",
         [
-            F.min(F.when(F.col("m") == F.col("lowest"), me)).alias("b"),
-            F.max(F.when(F.col("m") == F.col("highest"), me)).alias("w"),
-            F.min(F.when(F.col("rounded") >= F.col("centre"), F.col("rounded"))).alias("u"),
-            F.max(F.when(F.col("rounded") <= F.col("centre"), F.col("rounded"))).alias("l"),
-        ],
-        lambda group: [
-            F.min("b").over(group).alias("best_me"),
-            F.max("w").over(group).alias("worst_me"),
-            F.min("u").over(group).alias("upper"),
-            F.max("l").over(group).alias("lower"),
+            f"min({me}) FILTER (WHERE m = lowest) AS b",
+            f"max({me}) FILTER (WHERE m = highest) AS w",
+            "min(rounded) FILTER (WHERE rounded >= centre) AS u",
+            "max(rounded) FILTER (WHERE rounded <= centre) AS l",
         ],
+        {
+            "best_me": "min(b) OVER w",
+            "worst_me": "max(w) OVER w",
+            "upper": "min(u) OVER w",
+            "lower": "max(l) OVER w",
+        },
+    )
+    return rows.selectExpr(
+        "*",
+        f"coalesce(m = lowest AND {me} = best_me, false) AS is_best",
+        f"coalesce(m = highest AND {me} = worst_me, false) AS is_worst",
+        "coalesce(rounded = upper OR rounded = lower, false) AS is_average",
     )
-    flags = {
-        "best": (F.col("m") == F.col("lowest")) & (me == F.col("best_me")),
-        "worst": (F.col("m") == F.col("highest")) & (me == F.col("worst_me")),
-        "average": (F.col("rounded") == F.col("upper")) | (F.col("rounded") == F.col("lower")),
-    }
-    return rows.withColumns({f"is_{k}": F.coalesce(v, F.lit(False)) for k, v in flags.items()})
 
 
 def trial_ranking(
@@ -128,8 +117,8 @@ def trial_ranking(
 ) -> DataFrame:
     """Best, worst and average trials as rows ``(keys, ranking, trial)``, with all ties."""
     rows = _ranked_trials(trials, keys, prefix, trial)
-    kinds = F.array_compact(F.array(*[F.when(F.col(f"is_{k}"), F.lit(k)) for k in RANKINGS]))
-    return rows.select("g.*", F.explode(kinds).alias("ranking"), trial)
+    kinds = ", ".join(f"IF(is_{k}, '{k}', NULL)" for k in RANKINGS)
+    return rows.selectExpr("g.*", f"explode(array_compact(array({kinds}))) AS ranking", trial)
 
 
 def rollup(
@@ -145,30 +134,32 @@ def rollup(
     Extremes, weighted mean, variation coefficient, combined variance, trial rankings and,
     with ``modes``, the extreme modes. ``carry`` adds further aggregates of the trial rows.
     """
-    n, mean = F.col(f"{prefix}_num_data_points"), F.col(f"{prefix}_mean")
-    rows = _ranked_trials(trials, keys, prefix, trial)
-    in_order = Window.partitionBy("g", "part").orderBy(trial).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({f"{k}_no": F.count_if(F.col(f"is_{k}")).over(in_order) for k in RANKINGS})
-    lists, ties = [], []
+    in_order = f"OVER (PARTITION BY g, part ORDER BY {trial} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    rows = _ranked_trials(trials, keys, prefix, trial).selectExpr(
+        "*", *[f"count_if(is_{k}) {in_order} AS no_{k}" for k in RANKINGS]
+    )
+    lists = []
     for k in RANKINGS:
-        listed = F.col(f"is_{k}") & (F.col(f"{k}_no") <= TRIAL_LIST_LIMIT)
-        lists.append(F.collect_list(F.when(listed, F.col(trial))).alias(f"list_{k}"))
-        ties.append(F.count_if(F.col(f"is_{k}")).alias(f"ties_{k}"))
+        listed = f"is_{k} AND no_{k} <= {TRIAL_LIST_LIMIT}"
+        lists += [
+            F.expr(f"collect_list({trial}) FILTER (WHERE {listed}) AS list_{k}"),
+            F.expr(f"count_if(is_{k}) AS ties_{k}"),
+        ]
     stats = [
         *extremes(prefix),
-        weighted_mean(mean, n).alias(f"{prefix}_weighted_avg"),
-        variation_coefficient(mean).alias(f"{prefix}_variation_coefficient"),
-        combined_variance(n, mean, F.col(f"{prefix}_variance")).alias(f"{prefix}_combined_variance"),
+        weighted_mean(prefix).alias(f"{prefix}_weighted_avg"),
+        variation_coefficient(prefix).alias(f"{prefix}_variation_coefficient"),
+        combined_variance(prefix).alias(f"{prefix}_combined_variance"),
         *(mode_extremes(prefix) if modes else []),
         *carry,
     ]
-    out = rows.groupBy("g").agg(*stats, *lists, *ties)
+    out = rows.groupBy("g").agg(*stats, *lists)
     kept = [c for c in out.columns if c != "g" and not c.startswith(("list_", "ties_"))]
-    return out.select(
+    return out.selectExpr(
         "g.*",
         *kept,
         *[
-            F.when(F.col(f"ties_{k}").between(1, TRIAL_LIST_LIMIT), F.array_sort(f"list_{k}")).alias(f"{prefix}_{k}")
+            f"IF(ties_{k} BETWEEN 1 AND {TRIAL_LIST_LIMIT}, array_sort(list_{k}), NULL) AS {prefix}_{k}"
             for k in RANKINGS
         ],
     )

@@ -53,7 +53,7 @@ def exp_cpu_core(trial_cpu_core: DataFrame, hosts: DataFrame) -> DataFrame:
     cores = rollup_cores(trial_cpu_core, CONTAINER, "cpu", carry=["cpu_cores"])
     sized = cores.join(hosts.select("host_id", "n_cpu"), "host_id", "left")
     names = {f"cpu_{s}": f"cpu_{s}" for s in CORE_RESULTS}
-    wide = assemble_cores(sized, CONTAINER, names, F.col("n_cpu"))
+    wide = assemble_cores(sized, CONTAINER, names, "n_cpu")
     active = cores.groupBy(*CONTAINER).agg(F.min("cpu_cores").alias("cpu_cores"))
     return wide.join(active, CONTAINER).select(*CONTAINER, "cpu_cores", *names)
 

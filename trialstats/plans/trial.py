@@ -45,7 +45,7 @@ def _with_properties(trials: DataFrame, containers: DataFrame, hosts: DataFrame)
 
 def active_cores() -> Column:
     """Cores the container may use: its CPU set, else all cores of the host."""
-    return F.coalesce(cpu_set_size(F.col("cpu_set_cpus")), F.col("n_cpu"))
+    return F.coalesce(cpu_set_size(F.col("cpu_set_cpus")), "n_cpu")
 
 
 def memory_capacity() -> Column:
@@ -93,7 +93,7 @@ def trial_cpu_core(environment: DataFrame, containers: DataFrame, hosts: DataFra
     cores = describe_cores(present, CONTAINER, array, order)
     counts = present.groupBy(*CONTAINER).agg(F.count(F.lit(1)).alias("cpu_num_data_points"))
     sized = cores.join(hosts.select("host_id", "n_cpu"), "host_id", "left")
-    wide = assemble_cores(sized, CONTAINER, {s: f"cpu_{s}" for s in TRIAL_CORE}, F.col("n_cpu"))
+    wide = assemble_cores(sized, CONTAINER, {s: f"cpu_{s}" for s in TRIAL_CORE}, "n_cpu")
     return _with_properties(wide.join(counts, CONTAINER), containers, hosts).select(
         *CONTAINER,
         active_cores().alias("cpu_cores"),

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trialstats.functions.parsing import reading_order
 from trialstats.operators import arrays, describe, groups, levene, rollup, warmup
@@ -23,36 +22,36 @@ MEBI = 1048576
 
 def report(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Rounded numbers, lists as text, curves left out: the form that SQL can compare."""
-    out: list[Column] = []
-    for field in df.schema.fields:
-        column = F.col(field.name)
-        if field.name.endswith("percentiles"):
+    out = []
+    for name, kind in df.dtypes:
+        if name.endswith("percentiles"):
             continue
-        if isinstance(field.dataType, T.ArrayType):
-            element = field.dataType.elementType
-            if isinstance(element, T.DoubleType):
-                column = F.transform(column, lambda x: F.round(x, digits).cast("decimal(30,6)").cast("string"))
-            out.append(F.array_join(column, ",").alias(field.name))
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(column, digits).alias(field.name))
-        elif isinstance(field.dataType, (T.IntegerType, T.LongType, T.ShortType)):
-            out.append(column.cast("long").alias(field.name))
+        if kind == "array<double>":
+            text = f"transform({name}, x -> CAST(CAST(round(x, {digits}) AS decimal(30,6)) AS string))"
+            out.append(f"array_join({text}, ',') AS {name}")
+        elif kind == "array<string>":
+            out.append(f"array_join({name}, ',') AS {name}")
+        elif kind == "double":
+            out.append(f"round({name}, {digits}) AS {name}")
+        elif kind == "int":
+            out.append(f"CAST({name} AS bigint) AS {name}")
         else:
-            out.append(column)
-    return df.select(*out)
+            out.append(name)
+    return df.selectExpr(*out)
 
 
 def _scaled(df: DataFrame, prefix: str, unit: float) -> DataFrame:
     """Report byte statistics in mebibytes, variances in their square."""
-    changed = {}
-    for field in df.schema.fields:
-        name = field.name
-        if not name.startswith(prefix) or not isinstance(field.dataType, T.DoubleType):
+    out = []
+    for name, kind in df.dtypes:
+        unscaled = not name.startswith(prefix) or "coefficient" in name or "levene" in name
+        if name == f"{prefix}_mode":
             continue
-        if "coefficient" in name or "levene" in name:
-            continue
-        changed[name] = F.col(name) / (unit * unit if "variance" in name else unit)
-    return df.withColumns(changed).drop(f"{prefix}_mode")
+        if kind != "double" or unscaled:
+            out.append(name)
+        else:
+            out.append(f"{name} / {unit * unit if 'variance' in name else unit}D AS {name}")
+    return df.selectExpr(*out)
 
 
 # Trial tables, composed in one plan from the readings.
@@ -133,8 +132,8 @@ def experiment_rollup(spark, sf):
 
 def combined_variance(spark, sf):
     stats = describe.describe(b.environment_data(spark, sf), USAGE, "cpu_percent_usage")
-    combined = rollup.combined_variance(F.col("num_data_points"), F.col("mean"), F.col("variance"))
-    return report(stats.groupBy("experiment_id").agg(combined.alias("combined_variance")))
+    named = describe.prefixed(stats, USAGE, "cpu")
+    return report(named.groupBy("experiment_id").agg(rollup.combined_variance("cpu").alias("combined_variance")))
 
 
 def integral_describe(spark, sf):
@@ -194,7 +193,7 @@ def job_trial_cpu_core(spark, sf):
 
 
 def job_trial_ram(spark, sf):
-    return report(_scaled(_trial_ram(spark, sf), "ram", MEBI))
+    return report(_scaled(_trial_ram(spark, sf), "ram", MEBI), 8)
 
 
 def job_trial_io(spark, sf):

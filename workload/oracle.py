@@ -405,9 +405,9 @@ FROM s LEFT JOIN containers USING (experiment_id, trial_id, container_id, host_i
 FROM core_grid g LEFT JOIN core_rows r ON r.experiment_id = g.experiment_id AND r.trial_id = g.trial_id
   AND r.container_id = g.container_id AND r.host_id = g.host_id AND r.core = g.core""",
         "trial_ram": _with(ENVIRONMENT, CORES, HOSTS, CONTAINERS, summary("s", "environment", CONTAINER, order="at_time"))
-        + f"""SELECT {_list(CONTAINER)}, {shown("ram", modes=True, integral=True, drop=("mode",))},
-  round(integral / nullif(max * num_data_points, 0), 6) AS relative_efficency,
-  round(integral * 1048576 / (coalesce(limit_bytes, mem_total) * CAST(num_data_points AS DOUBLE)), 6) AS absolute_efficency
+        + f"""SELECT {_list(CONTAINER)}, {shown("ram", 8, modes=True, integral=True, drop=("mode",))},
+  round(integral / nullif(max * num_data_points, 0), 8) AS relative_efficency,
+  round(integral * 1048576 / (coalesce(limit_bytes, mem_total) * CAST(num_data_points AS DOUBLE)), 8) AS absolute_efficency
 FROM s LEFT JOIN containers USING (experiment_id, trial_id, container_id, host_id) LEFT JOIN hosts USING (host_id)""",
         "trial_io": _with(IO) + "SELECT * FROM trial_io",
         "trial_byte_size": _with(SIZES) + "SELECT * FROM trial_size",
