@@ -27,8 +27,8 @@ MODES = ["mode", "mode_freq", "mode_min", "mode_max", "mode_ties"]
 _IS_MODE = "(v IS NOT NULL AND cnt = max_cnt)"
 
 
-def _percentile_hits() -> str:
-    """How many of the 101 percentiles start / end at this value, as ``(below, v, lo, hi)``.
+def _percentile_hits() -> list[str]:
+    """How many of the 101 percentiles start (``lo``) and end (``hi``) at this value.
 
     Percentile p of n readings lies between the readings with 0-based rank
     floor((n-1)p/100) and ceil((n-1)p/100). Ranks grow with p, so the percentiles that
@@ -38,15 +38,15 @@ def _percentile_hits() -> str:
 
     def first_p_from(rank: str) -> str:
         # Smallest p whose lower rank is at least ``rank``.
-        return f"least(101, ceil(100 * ({rank}) / {last}))"
+        return f"least(101, (100 * ({rank}) + {last} - 1) div {last})"
 
     def last_p_to(rank: str) -> str:
         # Largest p whose upper rank is at most ``rank``.
-        return f"IF({rank} < 0, -1, least(100, floor(100 * ({rank}) / {last})))"
+        return f"IF({rank} < 0, -1, least(100, 100 * ({rank}) div {last}))"
 
     lo = f"IF(n = 1, 101, {first_p_from('below + cnt')} - {first_p_from('below')})"
     hi = f"IF(n = 1, 101, {last_p_to('below + cnt - 1')} - {last_p_to('below - 1')})"
-    return f"named_struct('below', below, 'v', v, 'lo', CAST({lo} AS INT), 'hi', CAST({hi} AS INT))"
+    return [f"CAST({lo} AS INT) AS lo", f"CAST({hi} AS INT) AS hi"]
 
 
 def _curve() -> str:
@@ -62,12 +62,12 @@ def _curve() -> str:
 
 def summarise(rows: DataFrame, modes: bool = False, integral: bool = False) -> DataFrame:
     """Reduce ``ranked`` rows to one summary row per group (``g`` plus the statistics)."""
-    extra = [f"{_percentile_hits()} AS hit"]
+    extra = _percentile_hits()
     # At most two hits per percentile, so the list is short whatever the group holds.
     aggs = [
         "max(n) AS num_data_points", "min(v) AS min", "max(v) AS max", "max(mean) AS mean",
         "sum(cnt * (v - mean) * (v - mean)) AS m2",
-        "collect_list(hit) FILTER (WHERE v IS NOT NULL AND (hit.lo > 0 OR hit.hi > 0)) AS hits",
+        "collect_list(struct(below, v, lo, hi)) FILTER (WHERE v IS NOT NULL AND (lo > 0 OR hi > 0)) AS hits",
     ]
     if modes:
         extra.append(

@@ -78,16 +78,16 @@ def levene(
     Fewer than two trials with readings, or no spread at all, gives null.
     """
     trials = trial_deviations(df, keys, trial, value, slice_rows)
-    aggs = ["count(1) AS k"]
+    aggs = ["count(1) AS n_trials"]
     for c in CENTRES:
         between = f"sum(n_{c} * z_{c} * z_{c}) - sum(n_{c} * z_{c}) * sum(n_{c} * z_{c}) / sum(n_{c})"
-        aggs += [f"sum(n_{c}) AS N_{c}", f"greatest(0, {between}) AS between_{c}", f"sum(ss_{c}) AS within_{c}"]
+        aggs += [f"sum(n_{c}) AS total_{c}", f"greatest(0, {between}) AS between_{c}", f"sum(ss_{c}) AS within_{c}"]
     stats = trials.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(
         *keys,
-        "k",
-        *[f"N_{c}" for c in CENTRES],
+        "n_trials",
+        *[f"total_{c}" for c in CENTRES],
         *[
-            f"IF(k > 1, (N_{c} - k) * between_{c} / nullif((k - 1) * within_{c}, 0), NULL) AS {c}_stat"
+            f"IF(n_trials > 1, (total_{c} - n_trials) * between_{c} / nullif((n_trials - 1) * within_{c}, 0), NULL) AS {c}_stat"
             for c in CENTRES
         ],
     )
@@ -98,7 +98,7 @@ def levene(
         *keys,
         *names,
         *[
-            f_upper_tail(F.col(f"{c}_stat"), F.col("k") - 1, F.col(f"N_{c}") - F.col("k")).alias(c)
+            f_upper_tail(F.col(f"{c}_stat"), F.col("n_trials") - 1, F.col(f"total_{c}") - F.col("n_trials")).alias(c)
             for c in CENTRES
         ],
     )
