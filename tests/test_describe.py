@@ -106,6 +106,13 @@ def test_long_mode_list_is_complete_as_rows(spark):
     assert mode_rows(df, ["k"], "x").count() == n
 
 
+def test_null_key_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 1.0), ("a", 2.0)], "k string, x double")
+    assert {tuple(r) for r in mode_rows(df, ["k"], "x").collect()} == {(None, 1.0, 2), ("a", 2.0, 1)}
+    cut = describe(df, ["k"], "x", modes=True, slice_rows=1)
+    assert {(r["k"], r["mean"], r["num_data_points"]) for r in cut.collect()} == {(None, 1.0, 2), ("a", 2.0, 1)}
+
+
 def test_total_row_and_reserved_label(spark):
     rows = [("t", "a", 1.0), ("t", "a", 3.0), ("t", "b", 5.0), ("t", "all", 7.0), ("t", None, None)]
     df = spark.createDataFrame(rows, "trial string, process string, x double")
