@@ -58,6 +58,10 @@ def test_process_jobs(spark):
     assert {r[2]: r[3] for r in counts.collect()} == {"a": 2, "b": 1, "c": 1, "all": 5}
     found = {r["process_definition_id"]: r["throughput"] for r in trial.trial_throughput(times, counts).collect()}
     assert found == pytest.approx({"a": 0.1, "b": 0.05, "c": 0.05, "all": 0.25})
+    together = trial.trial_process_totals(df)
+    apart = times.join(counts, times.columns[:3]).join(trial.trial_throughput(times, counts), times.columns[:3])
+    assert together.select(apart.columns).exceptAll(apart).count() == 0
+    assert together.count() == apart.count()
     durations = {r["process_definition_id"]: r for r in trial.trial_process_duration(df).collect()}
     assert (durations["a"]["process_duration_mean"], durations["all"]["process_duration_num_data_points"]) == (4500, 4)
     assert durations["c"]["process_duration_num_data_points"] == 0

@@ -220,6 +220,11 @@ def job_trial_throughput(spark, sf):
     return report(_trial_throughput(spark, sf), 12)
 
 
+def job_trial_process_totals(spark, sf):
+    totals = trial.trial_process_totals(b.process(spark, sf))
+    return report(totals.withColumn("execution_time", F.round("execution_time", 6)), 12)
+
+
 def job_trial_construct_duration(spark, sf):
     return report(trial.trial_construct_duration(b.construct(spark, sf)))
 
@@ -267,7 +272,7 @@ def job_exp_execution_time(spark, sf):
 
 
 def job_exp_throughput(spark, sf):
-    return report(experiment.exp_throughput(settle(_trial_throughput(spark, sf))).drop("throughput_mode"), 12)
+    return report(experiment.exp_throughput(settle(trial.trial_process_totals(b.process(spark, sf)))).drop("throughput_mode"), 12)
 
 
 def job_exp_number_of_process_instances(spark, sf):
@@ -326,7 +331,7 @@ OPERATORS = [
 JOBS = [
     job_trial_cpu, job_trial_cpu_core, job_trial_ram, job_trial_io, job_trial_byte_size,
     job_trial_execution_time, job_trial_process_duration, job_trial_number_of_process_instances,
-    job_trial_throughput, job_trial_construct_duration, job_trial_number_of_construct_instances,
+    job_trial_throughput, job_trial_process_totals, job_trial_construct_duration, job_trial_number_of_construct_instances,
     job_trial_driver_details, job_exp_cpu, job_exp_cpu_core, job_exp_ram, job_exp_io, job_exp_byte_size,
     job_exp_execution_time, job_exp_throughput, job_exp_number_of_process_instances,
     job_exp_number_of_construct_instances, job_exp_process_duration, job_exp_construct_duration,

@@ -419,6 +419,9 @@ FROM s LEFT JOIN containers USING (experiment_id, trial_id, container_id, host_i
         + f"SELECT {_list(PROCESS_KEYS)}, instances AS number_of_process_instances FROM execution",
         "trial_throughput": _with(PROCESS, EXECUTION)
         + f"SELECT {_list(PROCESS_KEYS)}, round(throughput, 12) AS throughput FROM throughput",
+        "trial_process_totals": _with(PROCESS, EXECUTION) + f"""SELECT {_list(PROCESS_KEYS)}, round(execution_time, 6) AS execution_time,
+  instances AS number_of_process_instances, round(throughput, 12) AS throughput
+FROM execution JOIN throughput USING ({_list(PROCESS_KEYS)})""",
         "trial_construct_duration": _with(CONSTRUCT, summary("s", "construct_all", CONSTRUCT_KEYS))
         + f"SELECT {_list(CONSTRUCT_KEYS)}, {shown('construct_duration', modes=True)} FROM s",
         "trial_number_of_construct_instances": _with(CONSTRUCT, CONSTRUCT_COUNT)
