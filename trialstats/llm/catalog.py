@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialstats.llm import bpe, token_counts
+from trialstats.llm import bpe, mixing, quality, secrets, sharding, token_counts
 from trialstats.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,9 +21,25 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(documents(spark, sf_dir), TOKENIZER))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir), count=8)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(documents(spark, sf_dir))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
-    return {f.__name__: f for f in (op1_bpe, op3_token_counts)}
+    return {f.__name__: f for f in (op1_bpe, op3_token_counts, op5_sharding, op7_secrets, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
