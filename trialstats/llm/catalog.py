@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialstats.llm import bpe, mixing, quality, secrets, sharding, token_counts
-from trialstats.llm.common import documents
+from trialstats.llm import ann, bpe, language_id, mixing, quality, secrets, sharding, token_counts
+from trialstats.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +17,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.document_digests(documents(spark, sf_dir), TOKENIZER)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(documents(spark, sf_dir), TOKENIZER))
 
@@ -25,6 +29,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir), count=8)
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir))
 
@@ -39,7 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
-    return {f.__name__: f for f in (op1_bpe, op3_token_counts, op5_sharding, op7_secrets, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op1_bpe, op2_language_id, op3_token_counts, op5_sharding, op6_ann, op7_secrets, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,12 +10,14 @@ the shuffle like any other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.llm.common import as_bytes, by_batch
+from trialstats.llm.common import as_bytes, by_batch, settle
 
 # What the contract calls symbols, and the cutoffs of the base rule.
 SYMBOLS = b"#*$%&|<>"
@@ -76,13 +78,14 @@ def measure(text: bytes) -> list[int]:
     ]
 
 
-def measured(df: DataFrame, text: str = "text") -> DataFrame:
-    """Rows ``(row, MEASURES)``: the row of ``df`` as a struct and the measures of its text."""
-    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+def measured(df: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """Rows ``(row, MEASURES)``: the columns ``keep`` of ``df`` (all) as a struct and the measures of its text."""
+    row = F.struct(*[F.col(f"`{c}`") for c in (keep or df.columns)]).alias("row")
+    packed = df.select(row, F.col(f"`{text}`").cast("string").alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = np.array([measure(t or b"") for t in as_bytes(batch.column("row").field(text))], np.int64)
+        values = np.array([measure(t or b"") for t in as_bytes(batch.column("text"))], np.int64)
         return pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, values.T)], ["row", *MEASURES])
 
     return packed.mapInArrow(by_batch(run), f"row {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES))
@@ -125,15 +128,22 @@ def fences(measures: DataFrame, group_docs: int = GROUP_DOCS, reach: float = REA
     return wide.selectExpr("g.lang AS lang", "g.source AS source", *chosen)
 
 
-def judge(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", group_docs: int = GROUP_DOCS) -> DataFrame:
+def judge(
+    df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", group_docs: int = GROUP_DOCS,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows ``(row, MEASURES, base_failed, failed, kept)`` for every row of ``df``.
 
     ``failed`` lists the rules that a document fails. It is kept if it passes the base rule
     and fails none. A null text has no words and is not kept; null languages and sources are
-    groups like any other.
+    groups like any other. ``keep`` names the columns of ``df`` that ``row`` holds, language and
+    source among them. The fences are written first, so that their size decides how they are joined.
     """
-    rows = measured(df, text).selectExpr("*", f"row.`{lang}` AS lang", f"row.`{source}` AS source")
-    limits = fences(rows, group_docs)
+    def grouped(kept: Sequence[str] | None) -> DataFrame:
+        return measured(df, text, kept).selectExpr("*", f"row.`{lang}` AS lang", f"row.`{source}` AS source")
+
+    limits = settle(fences(grouped([lang, source]), group_docs))
+    rows = grouped(keep)
     tests = []
     for r, (e, _, both) in RULES.items():
         beyond = f"{e} > high_{r}" + (f" OR {e} < low_{r}" if both else "")
@@ -150,7 +160,7 @@ def verdicts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
         F.col(lang).alias("lang"), F.col(source).alias("source"),
     )
-    light = judge(rows)
+    light = judge(rows, keep=["doc_id", "lang", "source"])
     return light.selectExpr(
         "row.doc_id AS doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "array_join(failed, ',') AS failed",

@@ -37,7 +37,7 @@ SENSITIVE_PAIRS = {
 }
 PLACEHOLDERS = {"password", "secret", "token", "changeme", "example", "none", "null", "true", "false", "undefined", "placeholder"}
 # Score from which a literal is reported.
-REPORT = 0.8
+REPORT = 0.75
 
 # Names and quoted literals are taken whole or not at all, so that long lines stay linear.
 _NAME = re.compile(r"(?<![\w$.-])([A-Za-z_$][\w$.-]*+)[\"']?\]?[ \t]*(?::=|=>|=(?!=)|:(?!:))[ \t]*")
