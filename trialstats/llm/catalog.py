@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialstats.llm import ann, bpe, language_id, mixing, quality, secrets, sharding, token_counts
+from trialstats.llm import ann, bpe, language_id, lm, mixing, quality, secrets, sharding, token_counts
 from trialstats.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(documents(spark, sf_dir), TOKENIZER))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir), count=8)
 
@@ -47,7 +51,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
-    return {f.__name__: f for f in (op1_bpe, op2_language_id, op3_token_counts, op5_sharding, op6_ann, op7_secrets, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op1_bpe, op2_language_id, op3_token_counts, op4_lm, op5_sharding, op6_ann, op7_secrets, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
