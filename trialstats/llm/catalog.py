@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialstats.llm import ann, bpe, language_id, lm, mixing, quality, secrets, sharding, token_counts
+from trialstats.llm import ann, bpe, jaccard, language_id, lm, mixing, quality, secrets, sharding, token_counts
 from trialstats.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.document_classes(documents(spark, sf_dir))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
@@ -51,7 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
-    return {f.__name__: f for f in (op1_bpe, op2_language_id, op3_token_counts, op4_lm, op5_sharding, op6_ann, op7_secrets, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in (op1_bpe, op2_language_id, op3_token_counts, op4_lm, op5_sharding, op6_ann, op7_secrets, op8_ngram_jaccard, op9_mixing, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
