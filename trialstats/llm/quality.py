@@ -100,7 +100,8 @@ def fences(measures: DataFrame, group_docs: int = GROUP_DOCS, reach: float = REA
     """One row per ``(lang, source)`` with ``low_<rule>`` and ``high_<rule>``.
 
     A group of fewer than ``group_docs`` documents takes the fences of its language, and a
-    small language those of all documents. Texts without words have no measures.
+    small language those of all documents. Texts without words have no measures; a rule without
+    any measure has no fences and rejects nothing.
     """
     sketched = [F.expr(f"kll_sketch_agg_double(CAST({e} AS double)) AS {r}") for r, (e, _, _) in RULES.items()]
     merged = [F.expr(f"kll_merge_agg_double({r}) AS {r}") for r in RULES]
@@ -111,7 +112,7 @@ def fences(measures: DataFrame, group_docs: int = GROUP_DOCS, reach: float = REA
     def bounds(df: DataFrame, kept: list[str]) -> DataFrame:
         out = [*kept]
         for r, (_, least, both) in RULES.items():
-            q = f"kll_sketch_get_quantile_double({r}, {{}})"
+            q = f"IF(kll_sketch_get_n_double({r}) > 0, kll_sketch_get_quantile_double({r}, {{}}), NULL)"
             width = f"greatest({reach} * ({q.format('0.75D')} - {q.format('0.25D')}), {least}D)"
             out.append(f"{q.format('0.75D')} + {width} AS high_{r}")
             out.append(f"{f'{q.format("0.25D")} - {width}' if both else 'double(NULL)'} AS low_{r}")
