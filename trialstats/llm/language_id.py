@@ -201,7 +201,8 @@ def _entropies(df: DataFrame, shared, kept: list[str]) -> DataFrame:
         letters, values, group = [], [], []
 
         def flush() -> None:
-            values.extend(models.entropies(group))
+            if group:
+                values.extend(models.entropies(group))
             group.clear()
 
         room = SLICE
