@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from trialstats.operators.describe import (
-    MODE_LIST_LIMIT,
     describe,
     describe_measures,
     mode_rows,
@@ -67,7 +66,6 @@ def test_against_numpy(spark, slice_rows):
         modes = values[counts == counts.max()]
         assert (r["mode_freq"], r["mode_ties"]) == (counts.max(), len(modes))
         assert (r["mode_min"], r["mode_max"]) == (modes.min(), modes.max())
-        assert r["mode"] == (list(modes) if len(modes) <= MODE_LIST_LIMIT else None)
 
 
 def test_slices_do_not_change_ranks(spark):
@@ -98,12 +96,20 @@ def test_modes(spark):
     }
 
 
-def test_long_mode_list_is_complete_as_rows(spark):
-    n = MODE_LIST_LIMIT + 1
-    df = spark.range(n).selectExpr("'k' AS k", "CAST(id AS double) AS x")
+def test_many_ties_are_complete_as_rows(spark):
+    df = spark.range(2002).selectExpr("'k' AS k", "CAST(id % 1001 AS double) AS x")
     row = describe(df, ["k"], "x", modes=True).first()
-    assert (row["mode"], row["mode_freq"], row["mode_ties"]) == (None, 1, n)
-    assert mode_rows(df, ["k"], "x").count() == n
+    assert (row["mode_freq"], row["mode_ties"], row["mode_min"], row["mode_max"]) == (2, 1001, 0.0, 1000.0)
+    assert sorted(r["mode"] for r in mode_rows(df, ["k"], "x").collect()) == [float(i) for i in range(1001)]
+
+
+@pytest.mark.parametrize("slice_rows", [1 << 18, 1])
+def test_large_whole_numbers_stay_apart(spark, slice_rows):
+    rows = [("k", 9007199254740993)] * 2 + [("k", 9007199254740992), ("k", 5), ("k", 5)]
+    df = spark.createDataFrame(rows, "k string, x bigint")
+    row = describe(df, ["k"], "x", modes=True, slice_rows=slice_rows).first()
+    assert (row["mode_freq"], row["mode_ties"], row["num_data_points"]) == (2, 2, 5)
+    assert {r["mode"] for r in mode_rows(df, ["k"], "x").collect()} == {9007199254740993, 5}
 
 
 def test_null_key_is_a_group(spark):
@@ -132,7 +138,7 @@ def test_two_labels_have_no_subtotals(spark):
 def test_measures_side_by_side(spark):
     df = spark.createDataFrame([("k", 1, None), ("k", 3, None)], "k string, a int, b double")
     row = describe_measures(df, ["k"], ["a", "b"], ["a", "b"], modes=True).first()
-    assert (row["a_mean"], row["a_num_data_points"], row["a_mode"]) == (2.0, 2, [1.0, 3.0])
+    assert (row["a_mean"], row["a_num_data_points"], row["a_mode_ties"]) == (2.0, 2, 2)
     assert (row["b_mean"], row["b_num_data_points"], row["b_mode_freq"]) == (None, 0, None)
 
 

@@ -21,6 +21,14 @@ def trial(experiment: str, i: int, value: float, n: int = 1, me: float = 0.0, va
     return (experiment, f"t_{i}", *[stats[s] for s in STATS], n, float(value), float(value), 1)
 
 
+def listed(trials):
+    """Trials by experiment and ranking."""
+    found = {}
+    for e, kind, t in sorted(tuple(r) for r in trial_ranking(trials, ["experiment_id"], "d").collect()):
+        found.setdefault((e, kind), []).append(t)
+    return found
+
+
 # Experiment: values of its trials, then mode ends, weighted mean, best, worst, average.
 CASES = {
     "one": ([1], (1, 1), 1, ["t_1"], ["t_1"], ["t_1"]),
@@ -39,15 +47,12 @@ def test_known_experiments(spark):
         r = found[e]
         assert (r["d_mode_min"], r["d_mode_max"]) == modes
         assert r["d_weighted_avg"] == pytest.approx(mean)
-        assert (r["d_best"], r["d_worst"], r["d_average"]) == (best, worst, average)
         assert r["d_variation_coefficient"] == pytest.approx(np.std(values) / np.mean(values) * 100)
         for s in ("q1", "q2", "q3", "p95", "mean"):
             assert (r[f"d_{s}_min"], r[f"d_{s}_max"]) == (min(values), max(values))
         assert (r["d_p90_min"], r["d_p99_max"]) == (1, 1)
-    listed = {(r[0], r[1], r[2]) for r in trial_ranking(trials, ["experiment_id"], "d").collect()}
-    assert listed == {
-        (e, kind, t) for e, c in CASES.items() for kind, ts in zip(("best", "worst", "average"), c[3:]) for t in ts
-    }
+    kinds = ("best", "worst", "average")
+    assert listed(trials) == {(e, kind): ts for e, c in CASES.items() for kind, ts in zip(kinds, c[3:])}
     assert math.isnan(found["one"]["d_combined_variance"])
 
 
@@ -58,10 +63,16 @@ def test_no_trials(spark):
 def test_margin_breaks_ties_and_empty_trials_do_not_rank(spark):
     rows = [trial("e", 1, 1, me=0.5), trial("e", 2, 1, me=0.2), trial("e", 3, 4, me=0.1), trial("e", 4, 4, me=0.3)]
     empty = ("e", "t_5", *[None] * len(STATS), 0, None, None, None)
-    r = rollup(spark.createDataFrame([*rows, empty], SCHEMA), ["experiment_id"], "d").first()
-    assert (r["d_best"], r["d_worst"]) == (["t_2"], ["t_4"])
-    assert r["d_average"] == ["t_1", "t_2", "t_3", "t_4"]
-    assert r["d_weighted_avg"] == 2.5
+    trials = spark.createDataFrame([*rows, empty], SCHEMA)
+    assert listed(trials) == {("e", "best"): ["t_2"], ("e", "worst"): ["t_4"], ("e", "average"): ["t_1", "t_2", "t_3", "t_4"]}
+    assert rollup(trials, ["experiment_id"], "d").first()["d_weighted_avg"] == 2.5
+
+
+def test_many_ties_and_small_means(spark):
+    trials = spark.createDataFrame([trial("e", i, 7.0) for i in range(1001)], SCHEMA)
+    assert {k: len(v) for k, v in listed(trials).items()} == {("e", k): 1001 for k in ("best", "worst", "average")}
+    small = spark.createDataFrame([trial("e", i, v) for i, v in ((1, 1e-10), (2, 2e-10), (3, 9e-10))], SCHEMA)
+    assert listed(small)["e", "average"] == ["t_2", "t_3"]
 
 
 def test_combined_variance_formula(spark):
@@ -78,13 +89,13 @@ def test_experiment_with_most_trials_matches_pandas(spark):
     rows = [trial("hot", i, round(float(x), 1)) for i, x in enumerate(rng.normal(50, 5, 700))]
     rows += [trial(f"e{i % 7}", i, float(i)) for i in range(300)]
     trials = spark.createDataFrame(rows, SCHEMA)
-    r = rollup(trials, ["experiment_id"], "d").where("experiment_id = 'hot'").first()
+    found = listed(trials)
     values = {row[1]: row[2] for row in rows if row[0] == "hot"}
     means = np.array(list(values.values()))
     upper, lower = means[means >= means.mean()].min(), means[means <= means.mean()].max()
-    assert r["d_best"] == sorted(t for t, x in values.items() if x == means.min())
-    assert r["d_worst"] == sorted(t for t, x in values.items() if x == means.max())
-    assert r["d_average"] == sorted(t for t, x in values.items() if x in (upper, lower))
+    assert found["hot", "best"] == sorted(t for t, x in values.items() if x == means.min())
+    assert found["hot", "worst"] == sorted(t for t, x in values.items() if x == means.max())
+    assert found["hot", "average"] == sorted(t for t, x in values.items() if x in (upper, lower))
 
 
 def test_cores(spark):

@@ -52,6 +52,27 @@ def test_repeated_write_replaces_only_its_slice(spark, tmp_path):
     assert found == [("t1", 10), ("t2", 2)]
 
 
+def test_upsert_by_key_keeps_other_rows_of_the_trial(spark, tmp_path):
+    root = str(tmp_path)
+    text = ["trial_io", schema("trial_io")]
+    rows = [("e", "t", "c1", "app", "h", "d", 1, 2, 3), ("e", "t", "c2", "app", "h", "d", 4, 5, 6), ("e", "t", "c2", None, "h", "d", 7, 8, 9),
+            ("e", "u", "c1", "app", "h", "d", 1, 1, 1)]
+    write_table(spark.createDataFrame(rows, text[1]), root, text[0])
+    for _ in range(2):
+        again = [("e", "t", "c1", "app", "h", "d", 10, 20, 30), ("e", "t", "c2", None, "h", "d", 70, 80, 90)]
+        write_table(spark.createDataFrame(again, text[1]), root, text[0])
+    found = sorted((r["trial_id"], r["container_id"], str(r["container_name"]), r["reads"]) for r in read_table(spark, root, "trial_io").collect())
+    assert found == [("t", "c1", "app", 10), ("t", "c2", "None", 70), ("t", "c2", "app", 4), ("u", "c1", "app", 1)]
+
+
+def test_rewritten_modes_leave_no_old_ones(spark, tmp_path):
+    rows = "experiment_id string, trial_id string, host_id string, mode double, mode_freq bigint"
+    write_table(spark.createDataFrame([("e", "t", "h", 1.0, 2), ("e", "t", "h", 3.0, 2), ("e", "t", "i", 5.0, 1)], rows), str(tmp_path), "trial_ram_modes")
+    write_table(spark.createDataFrame([("e", "t", "h", 4.0, 9)], rows), str(tmp_path), "trial_ram_modes")
+    found = spark.read.parquet(f"{tmp_path}/trial_ram_modes").select("host_id", "mode").collect()
+    assert sorted(map(tuple, found)) == [("h", 4.0), ("i", 5.0)]
+
+
 def test_key_slice_prunes_directories(spark, tmp_path):
     rows = spark.createDataFrame([("e", f"t{i}", i) for i in range(5)], schema("trial_byte_size"))
     write_table(rows, str(tmp_path), "trial_byte_size")

@@ -44,9 +44,7 @@ def brute(rows, n):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("window_limit", [1000, 0])
-def test_against_brute_force(spark, monkeypatch, window_limit):
-    monkeypatch.setattr(warmup, "WINDOW_LIMIT", window_limit)
+def test_against_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [
         (f"t{rng.integers(3)}", f"p{min(rng.integers(6), 3)}", f"i{i:04d}", int(rng.integers(60))) for i in range(600)
@@ -56,9 +54,20 @@ def test_against_brute_force(spark, monkeypatch, window_limit):
         assert sorted(tuple(r) for r in left) == brute(rows, n), n
 
 
-def test_timestamps(spark, monkeypatch):
+def test_timestamps(spark):
     rows = [("t", "p", "1", 1), ("t", "p", "2", 2), ("t", "p", "3", 3)]
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("* EXCEPT (start_time)", "timestamp_seconds(start_time) AS start_time")
-    for limit in (1000, 0):
-        monkeypatch.setattr(warmup, "WINDOW_LIMIT", limit)
-        assert [r[2] for r in trim_warmup(df, 2, ["trial_id"]).collect()] == ["3"]
+    assert [r[2] for r in trim_warmup(df, 2, ["trial_id"]).collect()] == ["3"]
+
+
+def test_nanosecond_starts_are_exact(spark):
+    rows = [("t", "p", f"i{i:05d}", 1_458_302_465_517_955_063 + i) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for n in (1000, 1001):
+        assert trim_warmup(df, n, ["trial_id"], slice_rows=100).count() == 1500 - n
+
+
+def test_null_definition_and_trial_count(spark):
+    rows = [("t", None, f"i{i}", i) for i in range(4)] + [(None, "p", f"j{i}", i) for i in range(4)]
+    left = trim_warmup(spark.createDataFrame(rows, SCHEMA), 3, ["trial_id"]).collect()
+    assert sorted(r[2] for r in left) == ["i3", "j3"]

@@ -13,7 +13,7 @@ def byte_size(text: Column) -> Column:
     """Bytes of a memory size such as ``2g``, ``512 mb`` or ``2099945472``.
 
     Units are powers of 1024, in either case and with or without a trailing ``b``. Text
-    that is not a size (including a negative number) is null.
+    that is not a size (including a negative number), or one beyond a bigint, is null.
     """
     compact = F.lower(F.replace(text, F.lit(" "), F.lit("")))
     number = F.regexp_extract(compact, r"^(\d+)([kmgt]?)b?$", 1).try_cast("long")
@@ -21,7 +21,7 @@ def byte_size(text: Column) -> Column:
     factor = F.lit(1).cast("long")
     for letter, power in UNIT_POWERS.items():
         factor = F.when(unit == letter, F.lit(1024**power)).otherwise(factor)
-    return number * factor
+    return F.try_multiply(number, factor)
 
 
 def cpu_set_size(text: Column) -> Column:

@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import SLICE, SLICE_ROWS, frequencies, ranked, with_part_totals
-
-# Tied modes listed in a result row. Groups with more ties have a null list and the full
-# set of ties, one row each, in ``mode_rows``.
-MODE_LIST_LIMIT = 1000
+from trialstats.operators.ranking import SLICE_ROWS, frequencies, ranked, with_part_totals
 
 # Name of each reported quantile and its index in the percentile array.
 QUANTILES = {"q1": 25, "q2": 50, "q3": 75, "p90": 90, "p95": 95, "p99": 99}
@@ -21,7 +17,8 @@ SUMMARY = [
     "num_data_points", "min", "max", "mean", "variance", "sd",
     "q1", "q2", "q3", "p90", "p95", "p99", "me", "ci095_min", "ci095_max", "percentiles",
 ]
-MODES = ["mode", "mode_freq", "mode_min", "mode_max", "mode_ties"]
+# The modes themselves are rows of their own, see ``mode_rows``.
+MODES = ["mode_freq", "mode_min", "mode_max", "mode_ties"]
 
 
 _IS_MODE = "(v IS NOT NULL AND cnt = max_cnt)"
@@ -65,30 +62,21 @@ def summarise(rows: DataFrame, modes: bool = False, integral: bool = False) -> D
     extra = _percentile_hits()
     # At most two hits per percentile, so the list is short whatever the group holds.
     aggs = [
-        "max(n) AS num_data_points", "min(v) AS min", "max(v) AS max", "max(mean) AS mean",
+        "max(n) AS num_data_points", "CAST(min(v) AS double) AS min", "CAST(max(v) AS double) AS max", "max(mean) AS mean",
         "sum(cnt * (v - mean) * (v - mean)) AS m2",
-        "collect_list(struct(below, v, lo, hi)) FILTER (WHERE v IS NOT NULL AND (lo > 0 OR hi > 0)) AS hits",
+        "collect_list(struct(below, CAST(v AS double) AS v, lo, hi)) FILTER (WHERE v IS NOT NULL AND (lo > 0 OR hi > 0)) AS hits",
     ]
     if modes:
-        extra.append(
-            f"count_if({_IS_MODE}) OVER (PARTITION BY {SLICE} ORDER BY v "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mode_no"
-        )
-        listed = (
-            f"{_IS_MODE} AND mode_no <= {MODE_LIST_LIMIT} "
-            f"AND NOT (max_cnt = 1 AND n_values > {MODE_LIST_LIMIT})"
-        )
         aggs += [
             "nullif(max(max_cnt), 0) AS mode_freq",
-            f"min(v) FILTER (WHERE {_IS_MODE}) AS mode_min",
-            f"max(v) FILTER (WHERE {_IS_MODE}) AS mode_max",
+            f"CAST(min(v) FILTER (WHERE {_IS_MODE}) AS double) AS mode_min",
+            f"CAST(max(v) FILTER (WHERE {_IS_MODE}) AS double) AS mode_max",
             f"count_if({_IS_MODE}) AS mode_ties",
-            f"collect_list(v) FILTER (WHERE {listed}) AS listed",
         ]
     if integral:
         aggs += [
-            "min(v) FILTER (WHERE is_first) AS first_value",
-            "max(v) FILTER (WHERE is_last) AS last_value",
+            "CAST(min(v) FILTER (WHERE is_first) AS double) AS first_value",
+            "CAST(max(v) FILTER (WHERE is_last) AS double) AS last_value",
         ]
     out = rows.selectExpr("*", *extra).groupBy("g").agg(*[F.expr(a) for a in aggs])
     out = out.selectExpr(
@@ -102,7 +90,6 @@ def summarise(rows: DataFrame, modes: bool = False, integral: bool = False) -> D
         **{name: f"get(percentiles, {p})" for name, p in QUANTILES.items()},
         "ci095_min": "mean - me",
         "ci095_max": "mean + me",
-        "mode": f"IF(mode_ties BETWEEN 1 AND {MODE_LIST_LIMIT}, array_sort(listed), NULL)",
         # Trapezoids of unit width: every reading once, the two end readings half.
         "integral": "mean * num_data_points - (first_value + last_value) / 2",
     }
@@ -124,7 +111,8 @@ def describe(
     Variance is the population variance, ``me`` is twice the standard error, percentiles
     interpolate linearly. With ``order`` the trapezoid ``integral`` over the readings in
     that order is added; readings at the same earliest (latest) instant count as starting
-    (ending) with the smallest (largest) value. ``modes`` adds the most frequent values.
+    (ending) with the smallest (largest) value. ``modes`` adds the number, the ends and the
+    frequency of the most frequent values; ``mode_rows`` has them all.
     ``total_of`` adds a row over those keys, labelled ``all``.
     """
     rows = ranked(df, keys, value, order, total_of, slice_rows)
@@ -135,6 +123,12 @@ def _names(modes: bool, integral: bool) -> list[str]:
     return SUMMARY + (MODES if modes else []) + (["integral"] if integral else [])
 
 
+def long_measures(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Several measures as rows ``(keys, measure_no, x)``, from one scan."""
+    cells = F.array(*[F.col(m).cast("double") for m in measures])
+    return df.select(*keys, F.posexplode(cells).alias("measure_no", "x"))
+
+
 def describe_measures(
     df: DataFrame,
     keys: Sequence[str],
@@ -144,11 +138,7 @@ def describe_measures(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Summaries of several measures side by side, from one scan and one plan."""
-    long = df.select(
-        *keys,
-        F.posexplode(F.array(*[F.col(m).cast("double") for m in measures])).alias("measure_no", "x"),
-    )
-    stats = describe(long, [*keys, "measure_no"], "x", modes=modes, slice_rows=slice_rows)
+    stats = describe(long_measures(df, keys, measures), [*keys, "measure_no"], "x", modes=modes, slice_rows=slice_rows)
     wide = [
         F.expr(f"max_by({s}, 1) FILTER (WHERE measure_no = {i}) AS {prefix}_{s}")
         for i, prefix in enumerate(prefixes)

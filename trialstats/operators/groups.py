@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import TOTAL, keep_total_label, total_or
+from trialstats.operators.ranking import TOTAL, join_on, keep_total_label, total_or
 
 # Fixed value: the label of a missing type or name.
 UNSPECIFIED = "Unspecified"
@@ -73,9 +73,7 @@ def throughput(
     overall = execution.where(F.col(label) == TOTAL).select(
         *keys, F.nullif("execution_time", F.lit(0.0)).alias("overall_time")
     )
-    return (
-        execution.select(*keys, label)
-        .join(counts.select(*keys, label, count), [*keys, label], "left")
-        .join(overall, list(keys), "left")
-        .select(*keys, label, (F.col(count) / F.col("overall_time")).alias("throughput"))
+    counted = join_on(execution.select(*keys, label), counts.select(*keys, label, count), [*keys, label], "left")
+    return join_on(counted, overall, keys, "left").select(
+        *keys, label, (F.col(count) / F.col("overall_time")).alias("throughput")
     )

@@ -21,7 +21,7 @@ _KEPT = f"greatest(0, least(below + cnt, n - {_CUT}) - greatest(below, {_CUT}))"
 
 
 def _at_rank(rank: str) -> str:
-    return f"IF(below <= {rank} AND {rank} < below + cnt, v, NULL)"
+    return f"IF(below <= {rank} AND {rank} < below + cnt, CAST(v AS double), NULL)"
 
 
 def trial_deviations(
@@ -38,7 +38,7 @@ def trial_deviations(
         {
             "mid_low": ("max", _at_rank("floor((n - 1) / 2)")),
             "mid_high": ("max", _at_rank("floor(n / 2)")),
-            "kept_sum": ("sum", "kept * v"),
+            "kept_sum": ("sum", "kept * CAST(v AS double)"),
             "kept_cnt": ("sum", "kept"),
         },
     ).selectExpr(

@@ -43,6 +43,13 @@ def pack(keys: Sequence[str]) -> str:
     return f"struct({', '.join(keys)}) AS g"
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where a null key equals a null key, with the keys of ``left`` kept once."""
+    packed = f"struct({', '.join(keys)}) AS joined_on"
+    other = right.selectExpr(packed, *[c for c in right.columns if c not in keys])
+    return left.selectExpr("*", packed).join(other, "joined_on", how).drop("joined_on")
+
+
 def frequencies(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,7 +57,7 @@ def frequencies(
     order: Column | None = None,
     total_of: Sequence[str] = (),
 ) -> DataFrame:
-    """Count readings per (group, value).
+    """Count readings per (group, value), in the type of the value: whole numbers stay exact.
 
     ``cnt`` counts the readings; a null value is kept as one row with ``cnt = 0`` so that a
     group without any reading is still there. With ``order`` (one number or timestamp, so
@@ -60,7 +67,7 @@ def frequencies(
     reserved: a real group of the same name is part of the total and of nothing else.
     """
     measure = F.col(value) if isinstance(value, str) else value
-    columns = [*keys, measure.cast("double").alias("v")]
+    columns = [*keys, measure.alias("v")]
     # The measure is a grouping column too, so the counts look at a second copy of it.
     counted = [F.expr("count(x) AS cnt")]
     kept = ["cnt"]
@@ -171,7 +178,7 @@ def ranked(
     freq = sliced(frequencies(df, keys, value, order, total_of), df, slice_rows)
     totals = {
         "n": ("sum", "cnt"),
-        "total": ("sum", "v * cnt"),
+        "total": ("sum", "CAST(v AS double) * cnt"),
         "max_cnt": ("max", "cnt"),
         "n_values": ("sum", "IF(v IS NULL, 0, 1)"),
     }

@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 
 from trialstats.operators.ranking import pack, with_part_totals
 
-# Trials listed in a result row; a longer tie is null there and complete in ``trial_ranking``.
-TRIAL_LIST_LIMIT = 1000
 # Trials of one experiment are spread over this many parts.
 PARTS = 64
-# Means this close count as equal when looking for the trial nearest to the average.
-MEAN_DIGITS = 9
+# Means that differ by this share of their size count as equal when looking for the trial nearest to the average.
+CLOSE = "1e-9D"
 
 # Statistics whose smallest and largest value over the trials are reported.
 EXTREMES = ["q1", "q2", "q3", "p90", "p95", "p99", "mean"]
@@ -65,6 +63,10 @@ def mode_extremes(prefix: str) -> list[Column]:
     return out
 
 
+def _equal(a: str, b: str) -> str:
+    return f"abs({a} - {b}) <= {CLOSE} * greatest(abs({a}), abs({b}))"
+
+
 def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: str) -> DataFrame:
     """Trial rows with ``g``, ``part`` and a flag per ranking.
 
@@ -78,7 +80,6 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
         pack(keys),
         f"pmod(xxhash64({trial}), {PARTS}) AS part",
         f"{prefix}_mean AS m",
-        f"round({prefix}_mean, {MEAN_DIGITS}) AS rounded",
     )
     rows = with_part_totals(
         rows,
@@ -86,7 +87,7 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
         {
             "lowest": "min(lo) OVER w",
             "highest": "max(hi) OVER w",
-            "centre": f"round(sum(s) OVER w / nullif(sum(c) OVER w, 0), {MEAN_DIGITS})",
+            "centre": "sum(s) OVER w / nullif(sum(c) OVER w, 0)",
         },
     )
     rows = with_part_totals(
@@ -94,8 +95,8 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
         [
             f"min({me}) FILTER (WHERE m = lowest) AS b",
             f"max({me}) FILTER (WHERE m = highest) AS w",
-            "min(rounded) FILTER (WHERE rounded >= centre) AS u",
-            "max(rounded) FILTER (WHERE rounded <= centre) AS l",
+            f"min(m) FILTER (WHERE m >= centre OR {_equal('m', 'centre')}) AS u",
+            f"max(m) FILTER (WHERE m <= centre OR {_equal('m', 'centre')}) AS l",
         ],
         {
             "best_me": "min(b) OVER w",
@@ -108,7 +109,7 @@ def _ranked_trials(trials: DataFrame, keys: Sequence[str], prefix: str, trial: s
         "*",
         f"coalesce(m = lowest AND {me} = best_me, false) AS is_best",
         f"coalesce(m = highest AND {me} = worst_me, false) AS is_worst",
-        "coalesce(rounded = upper OR rounded = lower, false) AS is_average",
+        f"coalesce({_equal('m', 'upper')} OR {_equal('m', 'lower')}, false) AS is_average",
     )
 
 
@@ -127,24 +128,13 @@ def rollup(
     prefix: str,
     modes: bool = False,
     carry: Sequence[Column] = (),
-    trial: str = "trial_id",
 ) -> DataFrame:
     """One row per experiment group from the trial summaries ``<prefix>_*``.
 
-    Extremes, weighted mean, variation coefficient, combined variance, trial rankings and,
-    with ``modes``, the extreme modes. ``carry`` adds further aggregates of the trial rows.
+    Extremes, weighted mean, variation coefficient, combined variance and, with ``modes``, the
+    extreme modes. ``carry`` adds further aggregates of the trial rows. Best, worst and average
+    trials are the rows of ``trial_ranking``.
     """
-    in_order = f"OVER (PARTITION BY g, part ORDER BY {trial} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    rows = _ranked_trials(trials, keys, prefix, trial).selectExpr(
-        "*", *[f"count_if(is_{k}) {in_order} AS no_{k}" for k in RANKINGS]
-    )
-    lists = []
-    for k in RANKINGS:
-        listed = f"is_{k} AND no_{k} <= {TRIAL_LIST_LIMIT}"
-        lists += [
-            F.expr(f"collect_list({trial}) FILTER (WHERE {listed}) AS list_{k}"),
-            F.expr(f"count_if(is_{k}) AS ties_{k}"),
-        ]
     stats = [
         *extremes(prefix),
         weighted_mean(prefix).alias(f"{prefix}_weighted_avg"),
@@ -153,13 +143,4 @@ def rollup(
         *(mode_extremes(prefix) if modes else []),
         *carry,
     ]
-    out = rows.groupBy("g").agg(*stats, *lists)
-    kept = [c for c in out.columns if c != "g" and not c.startswith(("list_", "ties_"))]
-    return out.selectExpr(
-        "g.*",
-        *kept,
-        *[
-            f"IF(ties_{k} BETWEEN 1 AND {TRIAL_LIST_LIMIT}, array_sort(list_{k}), NULL) AS {prefix}_{k}"
-            for k in RANKINGS
-        ],
-    )
+    return trials.groupBy(*keys).agg(*stats)

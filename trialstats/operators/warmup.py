@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import SLICE_ROWS, ranked
+from trialstats.operators.ranking import SLICE_ROWS, join_on, ranked
 
-# Up to this many instances per definition a limited window beats a full ranking.
-WINDOW_LIMIT = 1000
 # Instances of one trial are spread over this many parts.
 PARTS = 64
 
@@ -20,21 +18,13 @@ def _nth_starts(
 ) -> DataFrame:
     """Start of the n-th earliest instance per definition that has one, as ``nth``."""
     named = [*keys, definition]
+    # The ranking of a group works for any n, in whole microseconds or in the numbers given.
     rows = df.select(*named, start.alias("started")).where(F.col("started").isNotNull())
-    if n <= WINDOW_LIMIT:
-        # Spark keeps only n rows per group and task before the shuffle.
-        window = Window.partitionBy(*named).orderBy("started")
-        nth = rows.withColumn("no", F.row_number().over(window)).where(F.col("no") == n)
-        return nth.select(*named, F.col("started").alias("nth"))
-    micros = F.unix_micros("started") if _is_time(rows) else F.col("started")
+    timed = dict(rows.dtypes)["started"] == "timestamp"
     holds = (F.col("below") < n) & (F.col("below") + F.col("cnt") >= n) & (F.col("cnt") > 0)
-    nth = ranked(rows.withColumn("at", micros), named, "at", slice_rows=slice_rows).where(holds)
-    at = F.timestamp_micros(F.col("v").cast("long")) if _is_time(rows) else F.col("v")
-    return nth.select("g.*", at.alias("nth"))
-
-
-def _is_time(rows: DataFrame) -> bool:
-    return dict(rows.dtypes)["started"] == "timestamp"
+    at = F.unix_micros("started") if timed else F.col("started")
+    nth = ranked(rows.withColumn("at", at), named, "at", slice_rows=slice_rows).where(holds)
+    return nth.select("g.*", (F.timestamp_micros("v") if timed else F.col("v")).alias("nth"))
 
 
 def trim_warmup(
@@ -56,11 +46,11 @@ def trim_warmup(
     time = F.col(start).cast("timestamp") if dict(df.dtypes)[start].startswith("timestamp") else F.col(start)
     nth = _nth_starts(df, keys, definition, time, n, slice_rows)
     latest = nth.groupBy(*keys).agg(F.max("nth").alias("cut_time"))
-    last_definitions = nth.join(latest, list(keys)).where(F.col("nth") == F.col("cut_time"))
+    last_definitions = join_on(nth, latest, keys).where(F.col("nth") == F.col("cut_time"))
     # Joining on the instant as well spreads a definition that owns most instances.
     started = df.select(*keys, definition, instance, time.alias("cut_time"))
     cuts = (
-        started.join(last_definitions.select(*keys, definition, "cut_time"), [*keys, definition, "cut_time"])
+        join_on(started, last_definitions.select(*keys, definition, "cut_time"), [*keys, definition, "cut_time"])
         .groupBy(*keys)
         .agg(F.max("cut_time").alias("cut_time"), F.min(instance).alias("cut_id"))
     )
@@ -68,9 +58,9 @@ def trim_warmup(
     parts = F.sequence(F.lit(0), F.lit(PARTS - 1))
     cuts = cuts.withColumn("part", F.explode(parts))
     later = (time > F.col("cut_time")) | ((time == F.col("cut_time")) & (F.col(instance) > F.col("cut_id")))
+    rows = df.withColumn("part", F.pmod(F.xxhash64(instance), F.lit(PARTS)).cast("int"))
     return (
-        df.withColumn("part", F.pmod(F.xxhash64(instance), F.lit(PARTS)).cast("int"))
-        .join(cuts, [*keys, "part"], "left")
+        join_on(rows, cuts, [*keys, "part"], "left")
         .where(F.col("cut_time").isNull() | later)
         .select(*df.columns)
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.describe import describe, describe_measures, prefixed
+from trialstats.operators.describe import describe, describe_measures, mode_rows, prefixed
 from trialstats.operators.groups import every
+from trialstats.operators.ranking import join_on
+from trialstats.plans.experiment import measure_modes
 
 # Fixed value: the target that marks a custom statistic as an absolute figure.
 ABSOLUTE = "absolute"
@@ -60,9 +62,24 @@ def run_info(runs: DataFrame) -> DataFrame:
     flags = rows.groupBy(*keys).agg(
         F.min("metric_unit").alias("faban_metric_unit"), every("passed").alias("faban_passed")
     )
-    return describe_measures(rows, keys, measures, [f"faban_{m}" for m in measures], modes=True).join(
-        flags, keys
+    stats = describe_measures(rows, keys, measures, [f"faban_{m}" for m in measures], modes=True)
+    return join_on(stats, flags, keys)
+
+
+def operation_mix_modes(mix: DataFrame) -> DataFrame:
+    """Every most frequent value of the three mix measures."""
+    rows = _named(
+        mix, faban_driver_host="host", faban_driver_name="driver_name", faban_op_name="op_name",
+        successes="successes", failures="failures", mix="mix",
     )
+    keys = ["experiment_id", "faban_driver_host", "faban_driver_name", "faban_op_name"]
+    return measure_modes(rows, keys, ["successes", "failures", "mix"])
+
+
+def run_info_modes(runs: DataFrame) -> DataFrame:
+    """Every most frequent duration and metric value."""
+    rows = _named(runs, faban_host="host", duration="duration", metric_value="metric_value")
+    return measure_modes(rows, ["experiment_id", "faban_host"], ["duration", "metric_value"])
 
 
 def response_times(times: DataFrame) -> DataFrame:
@@ -95,6 +112,11 @@ def custom_absolute(stats: DataFrame) -> DataFrame:
     return prefixed(describe(rows, CUSTOM, "result", modes=True), CUSTOM, "faban_stat")
 
 
+def custom_absolute_modes(stats: DataFrame) -> DataFrame:
+    """Every most frequent value of the custom statistics with an absolute target."""
+    return mode_rows(_custom(stats).where(F.col("target") == ABSOLUTE), CUSTOM, "result")
+
+
 def custom_statistic(stats: DataFrame) -> DataFrame:
     """Smallest and largest value of the other custom statistics."""
     rows = _custom(stats).where(~F.col("target").eqNullSafe(ABSOLUTE))

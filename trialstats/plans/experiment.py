@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialstats.operators.arrays import assemble_cores, rollup_cores
-from trialstats.operators.describe import describe, describe_measures, prefixed
+from trialstats.operators.describe import describe, describe_measures, long_measures, mode_rows, prefixed
 from trialstats.operators.groups import specified
 from trialstats.operators.levene import CENTRES, levene
-from trialstats.operators.rollup import rollup
+from trialstats.operators.ranking import join_on
+from trialstats.operators.rollup import rollup, trial_ranking
 
 CONTAINER = ["experiment_id", "container_name", "host_id"]
 PROCESS = ["experiment_id", "process_definition_id"]
@@ -38,7 +39,7 @@ def _usage(trials: DataFrame, environment: DataFrame, prefix: str, measure: str,
         *[F.col(c).alias(f"{prefix}_levene_test_{c}") for c in CENTRES],
         *[F.col(f"{c}_stat").alias(f"{prefix}_levene_test_{c}_stat") for c in CENTRES],
     )
-    return rolled.join(integrals, CONTAINER, "left").join(spread, CONTAINER, "left")
+    return join_on(join_on(rolled, integrals, CONTAINER, "left"), spread, CONTAINER, "left")
 
 
 def exp_cpu(trial_cpu: DataFrame, environment: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def exp_cpu_core(trial_cpu_core: DataFrame, hosts: DataFrame) -> DataFrame:
     names = {f"cpu_{s}": f"cpu_{s}" for s in CORE_RESULTS}
     wide = assemble_cores(sized, CONTAINER, names, "n_cpu")
     active = cores.groupBy(*CONTAINER).agg(F.min("cpu_cores").alias("cpu_cores"))
-    return wide.join(active, CONTAINER).select(*CONTAINER, "cpu_cores", *names)
+    return join_on(wide, active, CONTAINER).select(*CONTAINER, "cpu_cores", *names)
 
 
 def exp_ram(trial_ram: DataFrame, environment: DataFrame) -> DataFrame:
@@ -112,3 +113,41 @@ def exp_construct_duration(trial_construct_duration: DataFrame) -> DataFrame:
     """Durations per construct type and name over the trials."""
     named = specified(trial_construct_duration, "construct_type", "construct_name")
     return rollup(named, CONSTRUCT, "construct_duration", modes=True)
+
+
+def measure_modes(trials: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Every most frequent value of several measures as rows ``(keys, measure, mode, mode_freq)``."""
+    modes = mode_rows(long_measures(trials, keys, measures), [*keys, "measure_no"], "x")
+    names = F.array(*[F.lit(m) for m in measures])
+    return modes.select(*keys, F.get(names, F.col("measure_no")).alias("measure"), "mode", "mode_freq")
+
+
+def exp_io_modes(trial_io: DataFrame) -> DataFrame:
+    """Every most frequent figure per device."""
+    return measure_modes(trial_io, [*CONTAINER, "device"], ["reads", "writes", "total"])
+
+
+def value_modes(trials: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Every most frequent number over the trials, for the jobs with one number per trial."""
+    return mode_rows(trials, keys, value)
+
+
+def exp_cpu_ranking(trial_cpu: DataFrame) -> DataFrame:
+    """Best, worst and average trials by CPU usage, with all ties."""
+    return trial_ranking(trial_cpu, CONTAINER, "cpu")
+
+
+def exp_ram_ranking(trial_ram: DataFrame) -> DataFrame:
+    """Best, worst and average trials by memory usage, with all ties."""
+    return trial_ranking(trial_ram, CONTAINER, "ram")
+
+
+def exp_process_duration_ranking(trial_process_duration: DataFrame) -> DataFrame:
+    """Best, worst and average trials per process definition, with all ties."""
+    return trial_ranking(trial_process_duration, PROCESS, "process_duration")
+
+
+def exp_construct_duration_ranking(trial_construct_duration: DataFrame) -> DataFrame:
+    """Best, worst and average trials per construct, with all ties."""
+    named = specified(trial_construct_duration, "construct_type", "construct_name")
+    return trial_ranking(named, CONSTRUCT, "construct_duration")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trialstats.functions.parsing import byte_size, cpu_set_size, reading_order
 from trialstats.operators.arrays import TRIAL_CORE, assemble_cores, describe_cores
-from trialstats.operators.describe import MODES, SUMMARY, describe, prefixed
+from trialstats.operators.describe import MODES, SUMMARY, describe, mode_rows, prefixed
 from trialstats.operators.groups import (
     TOTAL,
     count_with_total,
@@ -22,6 +22,7 @@ from trialstats.operators.groups import (
     throughput,
     with_total,
 )
+from trialstats.operators.ranking import join_on
 
 TRIAL = ["experiment_id", "trial_id"]
 CONTAINER = [*TRIAL, "container_id", "container_name", "host_id"]
@@ -95,7 +96,7 @@ def trial_cpu_core(environment: DataFrame, containers: DataFrame, hosts: DataFra
     counts = present.groupBy(*CONTAINER).agg(F.count(F.lit(1)).alias("cpu_num_data_points"))
     sized = cores.join(hosts.select("host_id", "n_cpu"), "host_id", "left")
     wide = assemble_cores(sized, CONTAINER, {s: f"cpu_{s}" for s in TRIAL_CORE}, "n_cpu")
-    return _with_properties(wide.join(counts, CONTAINER), containers, hosts).select(
+    return _with_properties(join_on(wide, counts, CONTAINER), containers, hosts).select(
         *CONTAINER,
         active_cores().alias("cpu_cores"),
         "cpu_num_data_points",
@@ -115,6 +116,11 @@ def trial_ram(environment: DataFrame, containers: DataFrame, hosts: DataFrame) -
     )
 
 
+def trial_ram_modes(environment: DataFrame) -> DataFrame:
+    """Every most frequent memory usage per container and trial."""
+    return mode_rows(environment, CONTAINER, "memory_usage")
+
+
 def trial_io(io: DataFrame) -> DataFrame:
     """Largest reads, writes and total per device; one missing value makes the result null."""
     return io.groupBy(*CONTAINER, "device").agg(
@@ -153,6 +159,11 @@ def trial_process_duration(process: DataFrame) -> DataFrame:
     return prefixed(stats, PROCESS, "process_duration")
 
 
+def trial_process_duration_modes(process: DataFrame) -> DataFrame:
+    """Every most frequent duration per process definition and for ``all``."""
+    return mode_rows(_processes(process), PROCESS, "duration", total_of=["process_definition_id"])
+
+
 def trial_throughput(execution_time: DataFrame, instances: DataFrame) -> DataFrame:
     """Instances per second of overall execution time, from the two trial tables."""
     return throughput(
@@ -195,6 +206,11 @@ def trial_construct_duration(construct: DataFrame) -> DataFrame:
     return prefixed(stats, CONSTRUCT, "construct_duration")
 
 
+def trial_construct_duration_modes(construct: DataFrame) -> DataFrame:
+    """Every most frequent duration per construct type and name and for ``all``."""
+    return mode_rows(_constructs(construct), CONSTRUCT, "duration", total_of=["construct_type", "construct_name"])
+
+
 def trial_number_of_construct_instances(construct: DataFrame) -> DataFrame:
     """Instances per construct type and name and for ``all``."""
     return count_with_total(
@@ -202,6 +218,21 @@ def trial_number_of_construct_instances(construct: DataFrame) -> DataFrame:
     )
 
 
+def _driver_cells(details: DataFrame) -> DataFrame:
+    """Readings of the load driver under the section that they belong to."""
+    matching = F.filter(
+        F.array(*[F.lit(s) for s in SECTIONS]), lambda s: F.col("reported").contains(s)
+    )
+    reported = details.withColumnRenamed("section", "reported")
+    return reported.withColumn("section", F.explode(matching)).where(F.col("value").isNotNull())
+
+
+def trial_driver_details_modes(details: DataFrame) -> DataFrame:
+    """Every most frequent value of each cell that has readings."""
+    rows = mode_rows(_driver_cells(details), [*TRIAL, "host", "section", "op_name"], "value")
+    return rows.withColumnsRenamed({c: f"faban_details_{c}" for c in ("host", "section", "op_name")})
+
+
 def trial_driver_details(details: DataFrame) -> DataFrame:
     """Summary of the load driver's time series on a dense grid.
 
@@ -211,12 +242,7 @@ def trial_driver_details(details: DataFrame) -> DataFrame:
     Summary and modes are both taken over the rows of the cell.
     """
     keys = [*TRIAL, "host", "section", "op_name"]
-    matching = F.filter(
-        F.array(*[F.lit(s) for s in SECTIONS]), lambda s: F.col("reported").contains(s)
-    )
-    reported = details.withColumnRenamed("section", "reported")
-    cells = reported.withColumn("section", F.explode(matching)).where(F.col("value").isNotNull())
-    stats = describe(cells, keys, "value", reading_order(F.col("time")), modes=True)
+    stats = describe(_driver_cells(details), keys, "value", reading_order(F.col("time")), modes=True)
 
     # Hosts and operations are dimensions: few per trial, and their product is the result.
     hosts = details.select(*TRIAL, F.explode(F.array("host", F.lit(AGGREGATE))).alias("host")).distinct()
@@ -226,7 +252,7 @@ def trial_driver_details(details: DataFrame) -> DataFrame:
     )
     counts = ["num_data_points", "mode_ties"]
     names = [*SUMMARY, *MODES, "integral"]
-    return grid.join(stats, keys, "left").select(
+    return join_on(grid, stats, keys, "left").select(
         *TRIAL,
         *[F.col(c).alias(f"faban_details_{c}") for c in ("host", "section", "op_name")],
         *[

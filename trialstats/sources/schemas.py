@@ -6,6 +6,8 @@ from a prefix and the list of statistics of their kind.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 from trialstats.operators.arrays import TRIAL_CORE
@@ -70,7 +72,7 @@ RAW = {
 _TRIAL = ["experiment_id", "trial_id"]
 _CONTAINER = [*_TRIAL, "container_id", "container_name", "host_id"]
 _LONG = {"num_data_points", "mode_freq", "mode_ties"}
-_LISTS = {"percentiles", "mode"}
+_LISTS = {"percentiles"}
 
 
 def _statistic(prefix: str, name: str) -> T.StructField:
@@ -138,3 +140,17 @@ def schema(table: str) -> T.StructType:
 def tables() -> list[str]:
     """Names of all tables that ``schema`` knows."""
     return [*RAW, *_trial_tables()]
+
+
+# The columns that name a result row, where a table has them.
+KEY_COLUMNS = [
+    "experiment_id", "trial_id", "container_id", "container_name", "host_id", "device", "process_definition_id",
+    "construct_type", "construct_name", "faban_details_host", "faban_details_section", "faban_details_op_name",
+    "faban_driver_host", "faban_driver_name", "faban_op_name", "faban_op_stat_name", "faban_host", "faban_stat_name",
+    "faban_stat_description", "measure", "ranking",
+]
+
+
+def primary_key(table: str, columns: Sequence[str]) -> list[str]:
+    """Key columns of a result: a group of modes or a ranking is replaced as a whole."""
+    return [c for c in KEY_COLUMNS if c in columns and not (c == "trial_id" and table.endswith("_ranking"))]

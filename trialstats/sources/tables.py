@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialstats.sources.schemas import schema
+from trialstats.sources.schemas import primary_key, schema
 
 # The key columns that double as partition directories.
 PARTITIONS = ["experiment_id", "trial_id"]
@@ -25,18 +27,36 @@ def read_table(spark: SparkSession, root: str, table: str, **keys: str) -> DataF
     return df
 
 
-def write_table(df: DataFrame, root: str, table: str) -> None:
-    """Write results so that a repeated run replaces what it computed before.
+def write_table(df: DataFrame, root: str, table: str, key: Sequence[str] | None = None) -> None:
+    """Write results so that a repeated run replaces the rows of the same key and nothing else.
 
-    Only the experiment / trial directories that occur in ``df`` are replaced, so writing
-    the same slice twice leaves one copy and other slices stay as they are. Rows are
-    first spread by their keys, which gives few files per directory, and split further
+    ``key`` is the primary key of the table, by default the one declared for it. Of the
+    experiment / trial directories that occur in ``df``, rows with other keys are carried over;
+    other directories stay as they are. Null key parts are values. The merged rows are
+    written to the shared folder first, as a directory can't be replaced while it is read.
+    Rows are then spread by their keys, which gives few files per directory, and split further
     inside a directory when one of them is large (adaptive execution rebalances).
     """
-    by = [c for c in PARTITIONS if c in df.columns]
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option(
+    spark = df.sparkSession
+    by = [c for c in PARTITIONS if c in df.columns and not (c == "trial_id" and table.endswith("_ranking"))]
+    names = list(key or primary_key(table, df.columns))
+    path = f"{root}/{table}"
+    try:
+        old = spark.read.schema(df.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        merged = df
+    else:
+        new = settle(df)
+        touched = new.selectExpr(f"struct({', '.join(by)}) AS slice").distinct()
+        near = old.withColumn("slice", F.expr(f"struct({', '.join(by)})")).join(touched, "slice", "left_semi")
+        written = new.selectExpr(f"struct({', '.join(names)}) AS upserted").distinct()
+        kept = near.withColumn("upserted", F.expr(f"struct({', '.join(names)})")).join(written, "upserted", "left_anti")
+        merged = settle(new.unionByName(kept.select(*df.columns)))
+    merged.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*by).parquet(f"{root}/{table}")
+    ).partitionBy(*by).parquet(path)
 
 
 def write_tables(results: dict[str, DataFrame], root: str) -> None:
@@ -57,7 +77,7 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="trialstats-")
         context.setCheckpointDir(folder)

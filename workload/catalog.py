@@ -31,8 +31,8 @@ def report(df: DataFrame, digits: int = DIGITS) -> DataFrame:
             out.append(f"array_join({text}, ',') AS {name}")
         elif kind == "array<string>":
             out.append(f"array_join({name}, ',') AS {name}")
-        elif kind == "double":
-            out.append(f"round({name}, {digits}) AS {name}")
+        elif kind == "double" or name == "mode":
+            out.append(f"round(CAST({name} AS double), {digits}) AS {name}")
         elif kind == "int":
             out.append(f"CAST({name} AS bigint) AS {name}")
         else:
@@ -40,13 +40,20 @@ def report(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.selectExpr(*out)
 
 
+def _significant(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers of any size as text with nine significant digits; what is nothing beside the mean is zero."""
+    def text(c: str) -> str:
+        mean = c.removesuffix("_variance") + "_mean"
+        return f"format_string('%.8e', IF({c} <= 1e-12D * {mean} * {mean}, 0D, {c}))"
+
+    return df.withColumns({c: F.expr(f"IF({c} IS NULL, NULL, {text(c)})") for c in columns})
+
+
 def _scaled(df: DataFrame, prefix: str, unit: float) -> DataFrame:
     """Report byte statistics in mebibytes, variances in their square."""
     out = []
     for name, kind in df.dtypes:
         unscaled = not name.startswith(prefix) or "coefficient" in name or "levene" in name
-        if name == f"{prefix}_mode":
-            continue
         if kind != "double" or unscaled:
             out.append(name)
         else:
@@ -97,7 +104,29 @@ def mode_by_trial(spark, sf):
 
 def mode_list(spark, sf):
     stats = describe.describe(b.environment_data(spark, sf), USAGE, "cpu_percent_usage", modes=True)
-    return report(stats.select(*USAGE, "mode", "mode_freq", "mode_ties"))
+    return report(stats.select(*USAGE, *describe.MODES))
+
+
+# The plan for groups that are cut into slices, which only large data reaches by itself.
+
+def describe_cut(spark, sf):
+    return report(describe.describe(b.environment_data(spark, sf), USAGE, "cpu_percent_usage", slice_rows=64))
+
+
+def levene_cut(spark, sf):
+    rows = b.environment_data(spark, sf)
+    return report(levene.levene(rows, ["experiment_id"], "trial_id", "cpu_percent_usage", slice_rows=64))
+
+
+def mode_cut(spark, sf):
+    stats = describe.describe(b.environment_data(spark, sf), USAGE, "cpu_percent_usage", modes=True, slice_rows=64)
+    return report(stats.select(*USAGE, *describe.MODES))
+
+
+def trial_slice(spark, sf):
+    """One key slice as it is read for a single trial."""
+    rows = b.process(spark, sf).where("experiment_id = 'p1' AND trial_id = 'p1_2'")
+    return report(trial.trial_execution_time(rows))
 
 
 def mode_min_max(spark, sf):
@@ -165,6 +194,12 @@ def levene_order_lines(spark, sf):
     return report(levene.levene(lines, ["l_returnflag", "l_linestatus"], "l_linenumber", "l_quantity", p_values=False))
 
 
+def warmup_trim_long(spark, sf):
+    rows = b.process(spark, sf).withColumnRenamed("process_name", "process_definition_id")
+    left = warmup.trim_warmup(rows.selectExpr("* EXCEPT (trial_id)", "'all' AS trial_id"), 1100, USAGE)
+    return left.select(*USAGE, "process_definition_id", "source_process_instance_id")
+
+
 def warmup_trim(spark, sf):
     rows = b.process(spark, sf).withColumnRenamed("process_name", "process_definition_id")
     left = warmup.trim_warmup(rows, 20, USAGE)
@@ -237,12 +272,8 @@ def job_trial_driver_details(spark, sf):
     return report(trial.trial_driver_details(b.faban_details(spark, sf)))
 
 
-def _without_p_values(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if "_levene_test_" in c and not c.endswith("_stat")])
-
-
 def job_exp_cpu(spark, sf):
-    return report(_without_p_values(experiment.exp_cpu(settle(_trial_cpu(spark, sf)), b.environment_data(spark, sf))))
+    return report(experiment.exp_cpu(settle(_trial_cpu(spark, sf)), b.environment_data(spark, sf)))
 
 
 def job_exp_cpu_core(spark, sf):
@@ -254,25 +285,26 @@ def job_exp_cpu_core(spark, sf):
 
 def job_exp_ram(spark, sf):
     job = experiment.exp_ram(settle(_trial_ram(spark, sf)), b.environment_data(spark, sf))
-    return report(_scaled(_without_p_values(job), "ram", MEBI))
+    return report(_scaled(job, "ram", MEBI))
 
 
 def job_exp_io(spark, sf):
     stats = experiment.exp_io(settle(trial.trial_io(b.io_data(spark, sf))))
-    return report(stats.drop(*[f"{m}_variance" for m in ("writes", "total")]), 3)
+    return report(_significant(stats, "writes_variance", "total_variance"), 3)
 
 
 def job_exp_byte_size(spark, sf):
     sizes = settle(trial.trial_byte_size(b.database_sizes(spark, sf)))
-    return report(experiment.exp_byte_size(sizes).drop("size_variance"), 1)
+    return report(_significant(experiment.exp_byte_size(sizes), "size_variance"), 1)
 
 
 def job_exp_execution_time(spark, sf):
-    return report(experiment.exp_execution_time(settle(trial.trial_execution_time(b.process(spark, sf)))).drop("execution_time_variance"))
+    stats = experiment.exp_execution_time(settle(trial.trial_execution_time(b.process(spark, sf))))
+    return report(_significant(stats, "execution_time_variance"))
 
 
 def job_exp_throughput(spark, sf):
-    return report(experiment.exp_throughput(settle(trial.trial_process_totals(b.process(spark, sf)))).drop("throughput_mode"), 12)
+    return report(experiment.exp_throughput(settle(trial.trial_process_totals(b.process(spark, sf)))), 12)
 
 
 def job_exp_number_of_process_instances(spark, sf):
@@ -307,7 +339,7 @@ def job_exp_driver_delay_times(spark, sf):
 
 def job_exp_driver_run_info(spark, sf):
     info = driver.run_info(b.faban_run_info(spark, sf))
-    return report(info.drop("faban_metric_value_variance"), 4)
+    return report(_significant(info, "faban_metric_value_variance"), 4)
 
 
 def job_exp_driver_response_times(spark, sf):
@@ -322,11 +354,87 @@ def job_exp_driver_custom_statistic(spark, sf):
     return report(driver.custom_statistic(b.faban_driver_custom_stats(spark, sf)))
 
 
+# Modes and rankings of the jobs, as rows with all ties.
+
+def trial_ram_modes(spark, sf):
+    return report(trial.trial_ram_modes(b.environment_data(spark, sf)).withColumn("mode", F.col("mode") / MEBI))
+
+
+def trial_process_duration_modes(spark, sf):
+    return report(trial.trial_process_duration_modes(b.process(spark, sf)))
+
+
+def trial_construct_duration_modes(spark, sf):
+    return report(trial.trial_construct_duration_modes(b.construct(spark, sf)))
+
+
+def trial_driver_details_modes(spark, sf):
+    return report(trial.trial_driver_details_modes(b.faban_details(spark, sf)))
+
+
+def exp_cpu_ranking(spark, sf):
+    return experiment.exp_cpu_ranking(settle(_trial_cpu(spark, sf)))
+
+
+def exp_ram_ranking(spark, sf):
+    return experiment.exp_ram_ranking(settle(_trial_ram(spark, sf)))
+
+
+def exp_process_duration_ranking(spark, sf):
+    return experiment.exp_process_duration_ranking(settle(trial.trial_process_duration(b.process(spark, sf))))
+
+
+def exp_construct_duration_ranking(spark, sf):
+    return experiment.exp_construct_duration_ranking(settle(trial.trial_construct_duration(b.construct(spark, sf))))
+
+
+def exp_io_modes(spark, sf):
+    return report(experiment.exp_io_modes(trial.trial_io(b.io_data(spark, sf))))
+
+
+def exp_byte_size_modes(spark, sf):
+    return report(experiment.value_modes(trial.trial_byte_size(b.database_sizes(spark, sf)), ["experiment_id"], "size"))
+
+
+def exp_throughput_modes(spark, sf):
+    totals = trial.trial_process_totals(b.process(spark, sf)).withColumn("throughput", F.round("throughput", 9))
+    return report(experiment.value_modes(totals, experiment.PROCESS, "throughput"), 9)
+
+
+def exp_number_of_process_instances_modes(spark, sf):
+    counts = trial.trial_number_of_process_instances(b.process(spark, sf))
+    return report(experiment.value_modes(counts, experiment.PROCESS, "number_of_process_instances"))
+
+
+def exp_number_of_construct_instances_modes(spark, sf):
+    counts = trial.trial_number_of_construct_instances(b.construct(spark, sf))
+    return report(experiment.value_modes(counts, experiment.CONSTRUCT, "number_of_construct_instances"))
+
+
+def exp_driver_mix_modes(spark, sf):
+    return report(driver.operation_mix_modes(b.faban_driver_mix(spark, sf)))
+
+
+def exp_driver_run_info_modes(spark, sf):
+    return report(driver.run_info_modes(b.faban_run_info(spark, sf)))
+
+
+def exp_driver_custom_absolute_modes(spark, sf):
+    return report(driver.custom_absolute_modes(b.faban_driver_custom_stats(spark, sf)))
+
+
+TIES = [
+    trial_ram_modes, trial_process_duration_modes, trial_construct_duration_modes, trial_driver_details_modes,
+    exp_cpu_ranking, exp_ram_ranking, exp_process_duration_ranking, exp_construct_duration_ranking, exp_io_modes,
+    exp_byte_size_modes, exp_throughput_modes, exp_number_of_process_instances_modes,
+    exp_number_of_construct_instances_modes, exp_driver_mix_modes, exp_driver_run_info_modes,
+    exp_driver_custom_absolute_modes,
+]
 OPERATORS = [
     describe_by_trial, percentile_curve, integral_by_trial, mode_by_trial, mode_list, mode_min_max,
     describe_with_total, count_with_total, trial_ranking, experiment_rollup, combined_variance,
     integral_describe, core_describe, core_rollup, levene_statistics, levene_p_values,
-    levene_order_lines, warmup_trim, active_cores,
+    levene_order_lines, warmup_trim, active_cores, describe_cut, levene_cut, mode_cut, trial_slice, warmup_trim_long,
 ]
 JOBS = [
     job_trial_cpu, job_trial_cpu_core, job_trial_ram, job_trial_io, job_trial_byte_size,
@@ -349,4 +457,4 @@ def _configured(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     """All queries by name."""
-    return {q.__name__.removeprefix("job_"): _configured(q) for q in [*OPERATORS, *JOBS]}
+    return {q.__name__.removeprefix("job_"): _configured(q) for q in [*OPERATORS, *JOBS, *TIES]}

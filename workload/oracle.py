@@ -108,9 +108,7 @@ def summary(name: str, source: str, keys: list[str], x: str = "x", order: str |
 {name}_freq AS (SELECT {k}, x0, count(*) AS c FROM {name}_in WHERE x0 IS NOT NULL GROUP BY {k}, x0),
 {name}_best AS (SELECT {k}, max(c) AS c FROM {name}_freq GROUP BY {k}),
 {name}_mode AS (
-  SELECT {_list(keys, "b.")}, b.c AS mode_freq, min(x0) AS mode_min, max(x0) AS mode_max, count(*) AS mode_ties,
-         CASE WHEN count(*) <= 1000
-              THEN string_agg(CAST(CAST(round(x0, 6) AS DECIMAL(30,6)) AS VARCHAR), ',' ORDER BY x0) END AS mode
+  SELECT {_list(keys, "b.")}, b.c AS mode_freq, min(x0) AS mode_min, max(x0) AS mode_max, count(*) AS mode_ties
   FROM {name}_freq c JOIN {name}_best b ON {match} AND c.c = b.c GROUP BY {_list(keys, "b.")}, b.c),
 {name}_flat AS (
   SELECT {k}, count(x0) AS num_data_points, min(x0) AS min, max(x0) AS max, avg(x0) AS mean,
@@ -118,7 +116,7 @@ def summary(name: str, source: str, keys: list[str], x: str = "x", order: str |
          2 * stddev_pop(x0) / sqrt(nullif(count(x0), 0)) AS me{integral}
   FROM {name}_in GROUP BY {k}),
 {name} AS (
-  SELECT c.*, mean - me AS ci095_min, mean + me AS ci095_max, mode, mode_freq, mode_min, mode_max,
+  SELECT c.*, mean - me AS ci095_min, mean + me AS ci095_max, mode_freq, mode_min, mode_max,
          coalesce(mode_ties, 0) AS mode_ties
   FROM {name}_flat c LEFT JOIN {name}_mode b ON {match})"""
 
@@ -127,7 +125,7 @@ STATS = ["min", "max", "mean", "variance", "sd", *QUANTILES, "me", "ci095_min",
 
 
 def shown(prefix: str, digits: int = DIGITS, modes: bool = False, integral: bool = False,
-          drop: tuple[str, ...] = (), unit: float = 1.0, n: bool = True, alias: str = "") -> str:
+          drop: tuple[str, ...] = (), significant: tuple[str, ...] = (), unit: float = 1.0, n: bool = True, alias: str = "") -> str:
     """Output columns of a summary."""
     p = f"{prefix}_" if prefix else ""
     out = [f"CAST({alias}num_data_points AS BIGINT) AS {p}num_data_points"] if n else []
@@ -135,44 +133,45 @@ def shown(prefix: str, digits: int = DIGITS, modes: bool = False, integral: bool
     for s in names:
         if s in drop:
             continue
+        if s in significant:
+            tiny = f"{alias}{s} <= 1e-12 * {alias}mean * {alias}mean"
+            out.append(f"CASE WHEN {alias}{s} IS NOT NULL THEN printf('%.8e', CASE WHEN {tiny} THEN 0.0::DOUBLE ELSE {alias}{s} END) END AS {p}{s}")
+            continue
         scale = unit * unit if s == "variance" else unit
         value = f"{alias}{s}" if scale == 1.0 else f"{alias}{s} / {scale}"
         out.append(f"round({value}, {digits}) AS {p}{s}")
     if modes:
         out += [f"CAST({alias}{s} AS BIGINT) AS {p}{s}" for s in ("mode_freq", "mode_ties")]
-        if "mode" not in drop:
-            out.append(f"{alias}mode AS {p}mode")
     return ", ".join(out)
 
 
+def _close(a: str, b: str) -> str:
+    return f"abs({a} - {b}) <= 1e-9 * greatest(abs({a}), abs({b}))"
+
+
 def ranking(name: str, source: str, keys: list[str]) -> str:
     """CTE ``name``: rows (keys, ranking, trial_id) from a summary CTE."""
     k = _list(keys)
     return f"""{name}_w AS (
   SELECT {k}, trial_id, rank() OVER (PARTITION BY {k} ORDER BY mean, me) AS b,
-         rank() OVER (PARTITION BY {k} ORDER BY mean DESC, me DESC) AS w, round(mean, 9) AS m,
-         round(avg(mean) OVER (PARTITION BY {k}), 9) AS centre
+         rank() OVER (PARTITION BY {k} ORDER BY mean DESC, me DESC) AS w, mean AS m,
+         avg(mean) OVER (PARTITION BY {k}) AS centre
   FROM {source} WHERE mean IS NOT NULL),
 {name}_n AS (
-  SELECT *, min(CASE WHEN m >= centre THEN m END) OVER (PARTITION BY {k}) AS u,
-         max(CASE WHEN m <= centre THEN m END) OVER (PARTITION BY {k}) AS l FROM {name}_w),
+  SELECT *, min(CASE WHEN m >= centre OR {_close("m", "centre")} THEN m END) OVER (PARTITION BY {k}) AS u,
+         max(CASE WHEN m <= centre OR {_close("m", "centre")} THEN m END) OVER (PARTITION BY {k}) AS l FROM {name}_w),
 {name} AS (
   SELECT {k}, 'best' AS ranking, trial_id FROM {name}_n WHERE b = 1
   UNION ALL SELECT {k}, 'worst', trial_id FROM {name}_n WHERE w = 1
-  UNION ALL SELECT {k}, 'average', trial_id FROM {name}_n WHERE m = u OR m = l)"""
+  UNION ALL SELECT {k}, 'average', trial_id FROM {name}_n WHERE {_close("m", "u")} OR {_close("m", "l")})"""
 
 
 def rolled(name: str, source: str, keys: list[str]) -> str:
     """CTE ``name``: unrounded roll-up of a summary CTE whose trials are ``trial_id``."""
     k = _list(keys)
     ends = ", ".join(f"min({s}) AS {s}_min, max({s}) AS {s}_max" for s in ["mean", *QUANTILES])
-    lists = ", ".join(
-        f"(SELECT string_agg(trial_id, ',' ORDER BY trial_id) FROM {name}_r r WHERE r.ranking = '{kind}' AND "
-        + " AND ".join(f"r.{key} = g.{key}" for key in keys) + f") AS {kind}"
-        for kind in ("best", "worst", "average")
-    )
-    return f"""{ranking(name + "_r", source, keys)},
-{name}_g AS (
+    same = " AND ".join(f"t.{key} IS NOT DISTINCT FROM g.{key}" for key in keys)
+    return f"""{name}_g AS (
   SELECT {k}, min(min) AS min, max(max) AS max, {ends},
          sum(mean * num_data_points) / sum(num_data_points) AS weighted_avg,
          stddev_pop(mean) / avg(mean) * 100 AS variation_coefficient,
@@ -183,9 +182,9 @@ def rolled(name: str, source: str, keys: list[str]) -> str:
          min(mode_min) AS mode_min, max(mode_max) AS mode_max
   FROM {source} GROUP BY {k}),
 {name} AS (
-  SELECT g.*, {lists},
-    (SELECT min(mode_freq) FROM {source} t WHERE t.mode_min = g.mode_min AND {" AND ".join(f"t.{key} = g.{key}" for key in keys)}) AS mode_min_freq,
-    (SELECT max(mode_freq) FROM {source} t WHERE t.mode_max = g.mode_max AND {" AND ".join(f"t.{key} = g.{key}" for key in keys)}) AS mode_max_freq
+  SELECT g.*,
+    (SELECT min(mode_freq) FROM {source} t WHERE t.mode_min = g.mode_min AND {same}) AS mode_min_freq,
+    (SELECT max(mode_freq) FROM {source} t WHERE t.mode_max = g.mode_max AND {same}) AS mode_max_freq
   FROM {name}_g g)"""
 
 
@@ -199,14 +198,20 @@ def shown_roll(prefix: str, modes: bool, unit: float = 1.0, alias: str = "") ->
         scale = {"variation_coefficient": 1.0, "combined_variance": unit * unit}.get(s, unit)
         value = f"{alias}{s}" if scale == 1.0 else f"{alias}{s} / {scale}"
         out.append(f"round({value}, {DIGITS}) AS {prefix}_{s}")
-    out += [f"{alias}{s} AS {prefix}_{s}" for s in ("best", "worst", "average")]
     if modes:
         out += [f"CAST({alias}{s} AS BIGINT) AS {prefix}_{s}" for s in ("mode_min_freq", "mode_max_freq")]
     return ", ".join(out)
 
 
+def _tail(alias: str) -> str:
+    """Upper tail of F for four degrees of freedom, a closed form: all experiments here have five trials."""
+    x = f"({alias}.d2 / ({alias}.d2 + 4.0 * {alias}.w))"
+    tail = f"pow({x}, {alias}.d2 / 2.0) * (1 + {alias}.d2 / 2.0 * (1 - {x}))"
+    return f"CASE WHEN {alias}.d1 = 4 AND {alias}.w IS NOT NULL THEN {tail} END"
+
+
 def levene(name: str, source: str, keys: list[str], trial: str, x: str = "x") -> str:
-    """CTE ``name``: W for the three centres."""
+    """CTE ``name``: W and p for the three centres."""
     k, kt = _list(keys), _list([*keys, trial])
     parts = []
     for c in ("mean", "median", "trimmed"):
@@ -220,7 +225,7 @@ def levene(name: str, source: str, keys: list[str], trial: str, x: str = "x") ->
 {name}_{c}_m AS (SELECT *, sum(n * zbar) OVER (PARTITION BY {k}) / sum(n) OVER (PARTITION BY {k}) AS grand FROM {name}_{c}_t),
 {name}_{c} AS (
   SELECT {k}, CASE WHEN count(*) > 1 THEN (sum(n) - count(*)) * sum(n * (zbar - grand) * (zbar - grand))
-         / nullif((count(*) - 1) * sum(ss), 0) END AS w
+         / nullif((count(*) - 1) * sum(ss), 0) END AS w, sum(n) - count(*) AS d2, count(*) - 1 AS d1
   FROM {name}_{c}_m GROUP BY {k})""")
     using = ", ".join(keys)
     return f"""{name}_s AS (
@@ -229,7 +234,8 @@ def levene(name: str, source: str, keys: list[str], trial: str, x: str = "x") ->
   FROM {source} WHERE {x} IS NOT NULL),
 {",".join(parts)},
 {name} AS (
-  SELECT {k}, a.w AS mean_stat, m.w AS median_stat, t.w AS trimmed_stat
+  SELECT {k}, a.w AS mean_stat, m.w AS median_stat, t.w AS trimmed_stat,
+         {_tail("a")} AS mean, {_tail("m")} AS median, {_tail("t")} AS trimmed
   FROM {name}_mean a JOIN {name}_median m USING ({using}) JOIN {name}_trimmed t USING ({using}))"""
 
 
@@ -238,7 +244,7 @@ def _usage_job(prefix: str, unit: float, modes: bool) -> str:
     keys = ["experiment_id", "container_name", "host_id"]
     using = _list(keys)
     spread = ", ".join(
-        f"round(l.{c}_stat, {DIGITS}) AS {prefix}_levene_test_{c}_stat" for c in ("mean", "median", "trimmed")
+        f"round(l.{c}{s}, {DIGITS}) AS {prefix}_levene_test_{c}{s}" for c in ("mean", "median", "trimmed") for s in ("", "_stat")
     )
     ctes = [ENVIRONMENT if unit == 1.0 else ENVIRONMENT.replace("value AS x", f"value * {unit} AS x")]
     active = join = ""
@@ -263,18 +269,18 @@ FROM rolled r JOIN integrals i USING ({using}) JOIN lev l USING ({using}) {join}
 
 
 def _describe_job(ctes: list[str], source: str, keys: list[str], x: str, prefix: str,
-                  digits: int = DIGITS, drop: tuple[str, ...] = ()) -> str:
+                  digits: int = DIGITS, significant: tuple[str, ...] = ()) -> str:
     present = f"present AS (SELECT * FROM {source} WHERE {x} IS NOT NULL)"
     return _with(*ctes, present, summary("s", "present", keys, x=x)) + (
-        f"SELECT {_list(keys)}, {shown(prefix, digits, modes=True, drop=drop)} FROM s"
+        f"SELECT {_list(keys)}, {shown(prefix, digits, modes=True, significant=significant)} FROM s"
     )
 
 
 def _measures_job(ctes: list[str], source: str, keys: list[str], measures: list[str], prefixes: list[str],
-                  digits: int, drop: dict[str, tuple[str, ...]]) -> str:
+                  digits: int, significant: dict[str, tuple[str, ...]]) -> str:
     parts = [summary(f"m{i}", source, keys, x=m) for i, m in enumerate(measures)]
     columns = ", ".join(
-        shown(p, digits, modes=True, drop=drop.get(m, ()), alias=f"m{i}.")
+        shown(p, digits, modes=True, significant=significant.get(m, ()), alias=f"m{i}.")
         for i, (m, p) in enumerate(zip(measures, prefixes))
     )
     joins = " ".join(f"JOIN m{i} USING ({_list(keys)})" for i in range(1, len(measures)))
@@ -326,6 +332,34 @@ CORE_RESULTS = [
 ]
 
 
+MODE_ENDS = """SELECT experiment_id, trial_id, mode_freq, round(mode_min, 6) AS mode_min,
+  round(mode_max, 6) AS mode_max, CAST(mode_ties AS BIGINT) AS mode_ties FROM s"""
+P_VALUES = """SELECT experiment_id, round(mean_stat, 6) AS mean_stat, round(median_stat, 6) AS median_stat,
+  round(trimmed_stat, 6) AS trimmed_stat, round(mean, 6) AS mean, round(median, 6) AS median,
+  round(trimmed, 6) AS trimmed FROM l"""
+
+
+def modes(ctes: list[str], source: str, keys: list[str], x: str = "x", value: str = "f.x0", digits: int = DIGITS,
+          names: dict[str, str] | None = None) -> str:
+    """Rows (keys, mode, mode_freq) with all ties."""
+    same = " AND ".join(f"f.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+    shown_keys = ", ".join(f"f.{k} AS {(names or {}).get(k, k)}" for k in keys)
+    return _with(*ctes, summary("s", source, keys, x=x)) + (
+        f"SELECT {shown_keys}, round({value}, {digits}) AS mode, f.c AS mode_freq FROM s_freq f JOIN s_best b ON {same} AND f.c = b.c"
+    )
+
+
+def measure_modes(ctes: list[str], source: str, keys: list[str], measures: list[str]) -> str:
+    """The same for several measures, each as rows of its name."""
+    rows = " UNION ALL ".join(f"SELECT {_list(keys)}, '{m}' AS measure, CAST({m} AS DOUBLE) AS x FROM {source}" for m in measures)
+    return modes([*ctes, f"long_rows AS ({rows})"], "long_rows", [*keys, "measure"])
+
+
+def ranked(ctes: list[str], source: str, trial_keys: list[str], keys: list[str]) -> str:
+    """Rows (keys, ranking, trial_id) of a job."""
+    return _with(*ctes, summary("s", source, trial_keys), ranking("r", "s", keys)) + f"SELECT {_list(keys)}, ranking, trial_id FROM r"
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for every registered query that SQL can express."""
     by_trial = _with(ENVIRONMENT, summary("s", "environment", TRIAL, order="at_time"))
@@ -353,7 +387,9 @@ FROM (SELECT experiment_id, trial_id, quantile_cont(x, [{", ".join(str(p / 100)
         "integral_by_trial": by_trial + "SELECT experiment_id, trial_id, round(integral, 6) AS integral FROM s",
         "mode_by_trial": by_trial + """SELECT f.experiment_id, f.trial_id, round(f.x0, 6) AS mode, f.c AS mode_freq
 FROM s_freq f JOIN s_best b ON f.experiment_id = b.experiment_id AND f.trial_id = b.trial_id AND f.c = b.c""",
-        "mode_list": by_trial + "SELECT experiment_id, trial_id, mode, mode_freq, mode_ties FROM s",
+        "mode_list": by_trial + MODE_ENDS,
+        "mode_cut": by_trial + MODE_ENDS,
+        "describe_cut": by_trial + f"SELECT {_list(TRIAL)}, {shown('')} FROM s",
         "mode_min_max": rolled_cpu + """SELECT experiment_id, round(mode_min, 6) AS cpu_mode_min,
   round(mode_max, 6) AS cpu_mode_max, mode_min_freq AS cpu_mode_min_freq, mode_max_freq AS cpu_mode_max_freq
 FROM rolled""",
@@ -405,7 +441,7 @@ FROM s LEFT JOIN containers USING (experiment_id, trial_id, container_id, host_i
 FROM core_grid g LEFT JOIN core_rows r ON r.experiment_id = g.experiment_id AND r.trial_id = g.trial_id
   AND r.container_id = g.container_id AND r.host_id = g.host_id AND r.core = g.core""",
         "trial_ram": _with(ENVIRONMENT, CORES, HOSTS, CONTAINERS, summary("s", "environment", CONTAINER, order="at_time"))
-        + f"""SELECT {_list(CONTAINER)}, {shown("ram", 8, modes=True, integral=True, drop=("mode",))},
+        + f"""SELECT {_list(CONTAINER)}, {shown("ram", 8, modes=True, integral=True)},
   round(integral / nullif(max * num_data_points, 0), 8) AS relative_efficency,
   round(integral * 1048576 / (coalesce(limit_bytes, mem_total) * CAST(num_data_points AS DOUBLE)), 8) AS absolute_efficency
 FROM s LEFT JOIN containers USING (experiment_id, trial_id, container_id, host_id) LEFT JOIN hosts USING (host_id)""",
@@ -442,7 +478,7 @@ grid AS (
             summary("s", "cells", detail_keys, order="at_time")) + f"""SELECT experiment_id, trial_id,
   host AS faban_details_host, section AS faban_details_section, op_name AS faban_details_op_name,
   coalesce(num_data_points, 0) AS faban_details_num_data_points, coalesce(mode_ties, 0) AS faban_details_mode_ties,
-  {shown("faban_details", modes=True, integral=True, n=False).replace("CAST(mode_ties AS BIGINT) AS faban_details_mode_ties, ", "")}
+  {shown("faban_details", modes=True, integral=True, n=False).replace(", CAST(mode_ties AS BIGINT) AS faban_details_mode_ties", "")}
 FROM grid LEFT JOIN s USING ({_list(detail_keys)})""",
         "exp_cpu": _usage_job("cpu", 1.0, False),
         "exp_cpu_core": _with(CORE_TRIAL) + f"""SELECT experiment_id, container_name, host_id,
@@ -457,10 +493,10 @@ FROM grid LEFT JOIN s USING ({_list(detail_keys)})""",
         "exp_byte_size": _describe_job([SIZES], "trial_size", [single], "size", "size", 1, ("variance",)),
         "exp_execution_time": _describe_job(
             [PROCESS, EXECUTION], "execution", [single, "process_definition_id"], "execution_time", "execution_time",
-            drop=("variance",),
+            significant=("variance",),
         ),
         "exp_throughput": _describe_job(
-            [PROCESS, EXECUTION], "throughput", [single, "process_definition_id"], "throughput", "throughput", 12, ("mode",)
+            [PROCESS, EXECUTION], "throughput", [single, "process_definition_id"], "throughput", "throughput", 12
         ),
         "exp_number_of_process_instances": _describe_job(
             [PROCESS, EXECUTION], "execution", [single, "process_definition_id"], "instances",
@@ -502,6 +538,38 @@ FROM rolled""",
   round(min(x), 6) AS faban_stat_min, round(max(x), 6) AS faban_stat_max
 FROM custom WHERE faban_stat_name <> 'O' GROUP BY ALL""",
     }
+    details = out["trial_driver_details"].removeprefix("WITH ").split(",\ngrid AS (")[0]
+    mix_rows = f"""mix_rows AS (
+  SELECT experiment_id, {op_columns}, floor(l_quantity) AS successes,
+         CASE WHEN l_tax < 0.075 THEN floor(l_extendedprice / 1000) END AS failures, l_discount AS mix FROM driver)"""
+    usage_keys = ["experiment_id", "container_name", "host_id"]
+    out |= {
+        "levene_cut": out["levene_statistics"].split("SELECT\n  experiment_id")[0] + P_VALUES,
+        "levene_p_values": out["levene_statistics"].split("SELECT\n  experiment_id")[0] + P_VALUES,
+        "trial_slice": out["trial_execution_time"] + " WHERE experiment_id = 'p1' AND trial_id = 'p1_2'",
+        "warmup_trim_long": out["warmup_trim"].replace("'p' || (user_id % 3) || '_' || (user_id % 5) AS trial_id", "'all' AS trial_id").replace("rn = 20", "rn = 1100"),
+        "trial_ram_modes": modes([ENVIRONMENT], "environment", CONTAINER),
+        "trial_process_duration_modes": modes([PROCESS], "process_all", PROCESS_KEYS),
+        "trial_construct_duration_modes": modes([CONSTRUCT], "construct_all", CONSTRUCT_KEYS),
+        "trial_driver_details_modes": modes([details], "cells", detail_keys,
+                                            names={c: f"faban_details_{c}" for c in ("host", "section", "op_name")}),
+        "exp_cpu_ranking": ranked([ENVIRONMENT], "environment", CONTAINER, usage_keys),
+        "exp_ram_ranking": ranked([ENVIRONMENT], "environment", CONTAINER, usage_keys),
+        "exp_process_duration_ranking": ranked([PROCESS], "process_all", PROCESS_KEYS, [single, "process_definition_id"]),
+        "exp_construct_duration_ranking": ranked([CONSTRUCT], "construct_all", CONSTRUCT_KEYS, [single, "construct_type", "construct_name"]),
+        "exp_io_modes": measure_modes([IO], "trial_io", [*usage_keys, "device"], ["reads", "writes", "total"]),
+        "exp_byte_size_modes": modes([SIZES], "trial_size", [single], "size"),
+        "exp_throughput_modes": modes([PROCESS, EXECUTION], "throughput", [single, "process_definition_id"], "round(throughput, 9)", digits=9),
+        "exp_number_of_process_instances_modes": modes([PROCESS, EXECUTION], "execution", [single, "process_definition_id"], "instances"),
+        "exp_number_of_construct_instances_modes": modes(
+            [CONSTRUCT, CONSTRUCT_COUNT], "construct_count", [single, "construct_type", "construct_name"], "instances"),
+        "exp_driver_mix_modes": measure_modes([DRIVER, mix_rows], "mix_rows", op_keys, ["successes", "failures", "mix"]),
+        "exp_driver_custom_absolute_modes": modes(
+            [DRIVER, custom, "absolute AS (SELECT * FROM custom WHERE faban_stat_name = 'O')"], "absolute", custom_keys),
+    }
+    run_rows = """runs AS (
+  SELECT experiment_id, host AS faban_host, floor(l_quantity) AS duration, l_extendedprice AS metric_value FROM driver)"""
+    out["exp_driver_run_info_modes"] = measure_modes([DRIVER, run_rows], "runs", ["experiment_id", "faban_host"], ["duration", "metric_value"])
     run_keys = ["experiment_id", "faban_host"]
     run = _measures_job(
         [DRIVER, """runs AS (
