@@ -194,8 +194,8 @@ def near_duplicates(
     tasks = max(1, grouped.count() // TASK_TEXTS)
     texts = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     texts = texts.select("doc_id", text_key("text").alias("key"), "text")
-    # One text per class member; a repeated row is combined before the shuffle.
-    full = texts.join(grouped, F.expr("doc_id <=> f AND key = k")).drop("doc_id", "key", "f", "k").dropDuplicates(["digest"])
+    # One text per class member; both sides are dealt by key at every size, so the plan doesn't change with it.
+    full = texts.join(grouped.hint("merge"), F.expr("doc_id <=> f AND key = k")).drop("doc_id", "key", "f", "k").dropDuplicates(["digest"])
     spread = full.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).selectExpr(
         "digest", "component", "n_docs", "text", "chunk",
         f"IF(chunks = 1, pmod(xxhash64(component), {tasks}), xxhash64(component)) AS task",
