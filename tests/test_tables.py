@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trialstats.plans import experiment, trial
+from trialstats.plans import driver, experiment, trial
 from trialstats.sources.schemas import schema, tables
 from trialstats.sources.tables import read_table, settle, write_table, write_tables
 from workload import bindings
@@ -10,8 +10,8 @@ from workload import bindings
 SF = "/root/testdata/sf0.001"
 
 
-def test_every_schema_is_declared():
-    assert len(tables()) == 14 + 12
+def test_every_schema_is_declared(spark):
+    assert len(tables()) == 14 + 16 + 31
     for name in tables():
         assert {"experiment_id", "host_id"} & set(schema(name).fieldNames())
 
@@ -41,6 +41,42 @@ def test_trial_results_have_their_declared_schema(spark):
         assert dict(df.dtypes) == declared, name
 
 
+def test_experiment_results_have_their_declared_schema(spark):
+    process, construct = bindings.process(spark, SF), bindings.construct(spark, SF)
+    hosts, containers = bindings.host_properties(spark, SF), bindings.container_properties(spark, SF)
+    readings, cores = bindings.environment_data(spark, SF), bindings.core_data(spark, SF)
+    cpu, ram, io = trial.trial_cpu(readings, containers, hosts), trial.trial_ram(readings, containers, hosts), trial.trial_io(bindings.io_data(spark, SF))
+    sizes, totals = trial.trial_byte_size(bindings.database_sizes(spark, SF)), trial.trial_process_totals(process)
+    counts = trial.trial_number_of_construct_instances(construct)
+    durations, constructs = trial.trial_process_duration(process), trial.trial_construct_duration(construct)
+    mix, runs, custom = bindings.faban_driver_mix(spark, SF), bindings.faban_run_info(spark, SF), bindings.faban_driver_custom_stats(spark, SF)
+    e, d = experiment, driver
+    results = {
+        "exp_cpu": e.exp_cpu(cpu, readings), "exp_cpu_core": e.exp_cpu_core(trial.trial_cpu_core(cores, containers, hosts), hosts),
+        "exp_ram": e.exp_ram(ram, readings), "exp_io": e.exp_io(io), "exp_byte_size": e.exp_byte_size(sizes),
+        "exp_execution_time": e.exp_execution_time(totals), "exp_throughput": e.exp_throughput(totals),
+        "exp_number_of_process_instances": e.exp_number_of_process_instances(totals),
+        "exp_number_of_construct_instances": e.exp_number_of_construct_instances(counts),
+        "exp_process_duration": e.exp_process_duration(durations), "exp_construct_duration": e.exp_construct_duration(constructs),
+        "exp_cpu_ranking": e.exp_cpu_ranking(cpu), "exp_ram_ranking": e.exp_ram_ranking(ram), "exp_io_modes": e.exp_io_modes(io),
+        "exp_process_duration_ranking": e.exp_process_duration_ranking(durations),
+        "exp_construct_duration_ranking": e.exp_construct_duration_ranking(constructs),
+        "exp_byte_size_modes": e.value_modes(sizes, ["experiment_id"], "size"),
+        "exp_faban_total_ops": d.total_operations(bindings.faban_driver_summary(spark, SF)),
+        "exp_faban_mix": d.operation_mix(mix), "exp_faban_mix_modes": d.operation_mix_modes(mix),
+        "exp_faban_delay_times": d.delay_times(bindings.faban_driver_delay_times(spark, SF)),
+        "exp_faban_run_info": d.run_info(runs), "exp_faban_run_info_modes": d.run_info_modes(runs),
+        "exp_faban_response_times": d.response_times(bindings.faban_driver_response_times(spark, SF)),
+        **d.custom_stats(custom), "exp_faban_ops_custom_stats_target_absolute_modes": d.custom_absolute_modes(custom),
+        "trial_ram_modes": trial.trial_ram_modes(readings), "trial_process_duration_modes": trial.trial_process_duration_modes(process),
+        "trial_construct_duration_modes": trial.trial_construct_duration_modes(construct),
+        "trial_faban_details_modes": trial.trial_driver_details_modes(bindings.faban_details(spark, SF)),
+    }
+    for name, df in results.items():
+        declared = {f.name: f.dataType.simpleString() for f in schema(name).fields}
+        assert dict(df.dtypes) == declared, name
+
+
 def test_repeated_write_replaces_only_its_slice(spark, tmp_path):
     root = str(tmp_path)
     first = spark.createDataFrame([("e", "t1", 1), ("e", "t2", 2)], schema("trial_byte_size"))

@@ -13,19 +13,12 @@ from trialstats.operators.groups import specified
 from trialstats.operators.levene import CENTRES, levene
 from trialstats.operators.ranking import join_on
 from trialstats.operators.rollup import rollup, trial_ranking
+from trialstats.sources.schemas import CORE_RESULTS
 
 CONTAINER = ["experiment_id", "container_name", "host_id"]
 PROCESS = ["experiment_id", "process_definition_id"]
 CONSTRUCT = ["experiment_id", "construct_type", "construct_name"]
 
-# Per-core results of an experiment.
-CORE_RESULTS = [
-    "min", "max", "q1_min", "q1_max", "q2_min", "q2_max", "q3_min", "q3_max",
-    "p90_min", "p90_max", "p95_min", "p95_max", "p99_min", "p99_max",
-    "weighted_avg", "combined_variance",
-]
-
-
 def _usage(trials: DataFrame, environment: DataFrame, prefix: str, measure: str, **options) -> DataFrame:
     """Roll-up, summary of the trial integrals and spread test of a usage measure."""
     rolled = rollup(trials, CONTAINER, prefix, **options)

@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 
 from trialstats.operators.arrays import TRIAL_CORE
 from trialstats.operators.describe import MODES, SUMMARY
+from trialstats.operators.levene import CENTRES
+from trialstats.operators.rollup import EXTREMES
+
+# Per-core results of an experiment.
+CORE_RESULTS = [
+    "min", "max", "q1_min", "q1_max", "q2_min", "q2_max", "q3_min", "q3_max",
+    "p90_min", "p90_max", "p95_min", "p95_max", "p99_min", "p99_max",
+    "weighted_avg", "combined_variance",
+]
 
 # Names of the raw tables, their key columns and their other columns.
 RAW = {
@@ -87,6 +96,11 @@ def _fields(names: list[str], kind: T.DataType) -> list[T.StructField]:
     return [T.StructField(n, kind) for n in names]
 
 
+def _modes(keys: list[str], kind: T.DataType) -> T.StructType:
+    tail = [T.StructField("mode", kind), T.StructField("mode_freq", T.LongType())]
+    return T.StructType([*_fields(keys, T.StringType()), *tail])
+
+
 def _summary(keys: list[str], prefix: str, names: list[str], extra: list[T.StructField]) -> T.StructType:
     return T.StructType([*_fields(keys, T.StringType()), *[_statistic(prefix, n) for n in names], *extra])
 
@@ -127,19 +141,106 @@ def _trial_tables() -> dict[str, T.StructType]:
             [*_TRIAL, "faban_details_host", "faban_details_section", "faban_details_op_name"],
             "faban_details", [*SUMMARY, *MODES, "integral"], [],
         ),
+        "trial_ram_modes": _modes(_CONTAINER, number),
+        "trial_process_duration_modes": _modes([*_TRIAL, process], whole),
+        "trial_construct_duration_modes": _modes([*_TRIAL, *construct], whole),
+        "trial_faban_details_modes": _modes(
+            [*_TRIAL, "faban_details_host", "faban_details_section", "faban_details_op_name"], number
+        ),
+    }
+
+
+def _rolled(prefix: str, modes: bool) -> list[T.StructField]:
+    """Columns of a roll-up in their order."""
+    names = [f"{prefix}_min", f"{prefix}_max", *[f"{prefix}_{s}_{end}" for s in EXTREMES for end in ("min", "max")]]
+    names += [f"{prefix}_{s}" for s in ("weighted_avg", "variation_coefficient", "combined_variance")]
+    fields = _fields(names, T.DoubleType())
+    for end in ("min", "max") if modes else ():
+        fields += _fields([f"{prefix}_mode_{end}"], T.DoubleType()) + _fields([f"{prefix}_mode_{end}_freq"], T.LongType())
+    return fields
+
+
+def _experiment_tables() -> dict[str, T.StructType]:
+    text, number = T.StringType(), T.DoubleType()
+    place = ["experiment_id", "container_name", "host_id"]
+    process, construct = ["experiment_id", "process_definition_id"], ["experiment_id", "construct_type", "construct_name"]
+    driver = ["experiment_id", "faban_driver_host", "faban_driver_name"]
+    cores = T.StructField("cpu_cores", T.IntegerType())
+
+    def usage(prefix: str, modes: bool, carried: list[T.StructField]) -> T.StructType:
+        integral = [f"{prefix}_integral_{s}" for s in SUMMARY if s not in ("num_data_points", "percentiles", "variance")]
+        spread = [f"{prefix}_levene_test_{c}{end}" for end in ("", "_stat") for c in CENTRES]
+        return T.StructType([*_fields(place, text), *_rolled(prefix, modes), *carried, *_fields([*integral, *spread], number)])
+
+    def measures(keys: list[str], prefixes: list[str], extra: list[T.StructField]) -> T.StructType:
+        stats = [_statistic(p, s) for p in prefixes for s in [*SUMMARY, *MODES]]
+        return T.StructType([*_fields(keys, text), *stats, *extra])
+
+    def modes(keys: list[str], kind: T.DataType = number) -> T.StructType:
+        return T.StructType([*_fields(keys, text), T.StructField("mode", kind), T.StructField("mode_freq", T.LongType())])
+
+    def ranking(keys: list[str]) -> T.StructType:
+        return T.StructType(_fields([*keys, "ranking", "trial_id"], text))
+
+    values = {
+        "byte_size": (["experiment_id"], "size", T.LongType()),
+        "execution_time": (process, "execution_time", number),
+        "throughput": (process, "throughput", number),
+        "number_of_process_instances": (process, "number_of_process_instances", T.LongType()),
+        "number_of_construct_instances": (construct, "number_of_construct_instances", T.LongType()),
+    }
+    custom = [*driver, "faban_stat_name", "faban_stat_description"]
+    out = {
+        "exp_cpu": usage("cpu", False, [cores]),
+        "exp_cpu_core": T.StructType([
+            *_fields(place, text), cores, *_fields([f"cpu_{s}" for s in CORE_RESULTS], T.ArrayType(number)),
+        ]),
+        "exp_ram": usage("ram", True, []),
+        "exp_io": measures([*place, "device"], ["reads", "writes", "total"], []),
+        "exp_process_duration": T.StructType([*_fields(process, text), *_rolled("process_duration", True)]),
+        "exp_construct_duration": T.StructType([*_fields(construct, text), *_rolled("construct_duration", True)]),
+        "exp_faban_total_ops": T.StructType([*_fields(driver, text), *_fields(["faban_total_ops_mean"], number)]),
+        "exp_faban_mix": measures([*driver, "faban_op_name"], ["faban_successes", "faban_failures", "faban_mix"], []),
+        "exp_faban_delay_times": T.StructType([
+            *_fields([*driver, "faban_op_name"], text),
+            *_fields([f"faban_delay_times_{s}" for s in ("weighted_avg", "min", "max")], number),
+        ]),
+        "exp_faban_run_info": measures(
+            ["experiment_id", "faban_host"], ["faban_duration", "faban_metric_value"],
+            [T.StructField("faban_metric_unit", text), T.StructField("faban_passed", T.BooleanType())],
+        ),
+        "exp_faban_response_times": T.StructType([
+            *_fields([*driver, "faban_op_name", "faban_op_stat_name"], text),
+            *_fields(["faban_op_stat_min", "faban_op_stat_max"], number),
+        ]),
+        "exp_faban_ops_custom_stats_target_absolute": measures(custom, ["faban_stat"], []),
+        "exp_faban_ops_custom_stats_target_statistic": T.StructType([
+            *_fields(custom, text), *_fields(["faban_stat_min", "faban_stat_max"], number),
+        ]),
+        "exp_cpu_ranking": ranking(place),
+        "exp_ram_ranking": ranking(place),
+        "exp_process_duration_ranking": ranking(process),
+        "exp_construct_duration_ranking": ranking(construct),
+        "exp_io_modes": modes([*place, "device", "measure"]),
+        "exp_faban_mix_modes": modes([*driver, "faban_op_name", "measure"]),
+        "exp_faban_run_info_modes": modes(["experiment_id", "faban_host", "measure"]),
+        "exp_faban_ops_custom_stats_target_absolute_modes": modes(custom),
     }
+    for name, (keys, prefix, kind) in values.items():
+        out |= {f"exp_{name}": measures(keys, [prefix], []), f"exp_{name}_modes": modes(keys, kind)}
+    return out
 
 
 def schema(table: str) -> T.StructType:
-    """Schema of a raw or trial table by name."""
+    """Schema of a raw or result table by name."""
     if table in RAW:
         return T.StructType.fromDDL(RAW[table])
-    return _trial_tables()[table]
+    return {**_trial_tables(), **_experiment_tables()}[table]
 
 
 def tables() -> list[str]:
     """Names of all tables that ``schema`` knows."""
-    return [*RAW, *_trial_tables()]
+    return [*RAW, *_trial_tables(), *_experiment_tables()]
 
 
 # The columns that name a result row, where a table has them.
