@@ -46,3 +46,11 @@ def test_plan_stays_distributed(spark, name):
     for line in plan.splitlines():
         if "Window [" in line:
             assert ", []," not in line
+
+
+@pytest.mark.parametrize("name,tables", [("describe_by_trial", 1), ("describe_cut", 1), ("levene_cut", 1), ("trial_construct_duration", 2)])
+def test_input_is_read_once(spark, name, tables):
+    df = queries()[name](spark, SF)
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert executed.count("Scan parquet") == tables

@@ -7,7 +7,7 @@ task, and a group may hold a third of all rows. The plan here never does that:
 1. *Frequencies.* Readings are counted per (group, value). The count is combined on
    the map side, so a value that repeats a billion times is one row after it, and the
    shuffle hashes group and value together, which spreads a large group over all tasks.
-2. *Slices.* A hash of (group, value) picks about one value in ``step`` as a splitter,
+2. *Slices.* A hash of the group and value picks about one value in ``step`` as a splitter,
    and the splitters cut each group into value ranges. ``step`` grows with the input so
    that about ``MAX_SPLITTERS`` exist in total whatever the data is: that bound is what
    makes the broadcast safe. A group too small to own a splitter stays whole.
@@ -69,8 +69,9 @@ def frequencies(
     measure = F.col(value) if isinstance(value, str) else value
     columns = [*keys, measure.alias("v")]
     # The measure is a grouping column too, so the counts look at a second copy of it.
-    counted = [F.expr("count(x) AS cnt")]
-    kept = ["cnt"]
+    # The hash that picks splitters is an aggregate, so that a filter on it stays behind the shuffle.
+    counted = [F.expr("count(x) AS cnt"), F.expr(f"min(xxhash64({', '.join(keys)}, x)) AS pick")]
+    kept = ["cnt", "pick"]
     if order is not None:
         columns.append(order.alias("at"))
         counted += [
@@ -102,13 +103,19 @@ def keep_total_label(labels: Sequence[str]) -> str:
     return "is_total = 1 OR NOT (" + " AND ".join(f"{label} <=> '{TOTAL}'" for label in labels) + ")"
 
 
-def _splitters(freq: DataFrame, source: DataFrame, slice_rows: int) -> DataFrame:
-    """About one value in ``step`` per group, sorted: at most ``MAX_SPLITTERS`` expected."""
-    step = source.select(
-        F.expr(f"greatest({slice_rows}L, ceil(count(1) * 2 / {MAX_SPLITTERS}))")
-    ).scalar()
-    picked = freq.where(F.pmod(F.xxhash64("g", "v"), step) == 0).where("v IS NOT NULL")
-    return picked.groupBy("g").agg(F.expr("array_sort(collect_set(v)) AS splitters"))
+def _splitters(freq: DataFrame, slice_rows: int) -> DataFrame:
+    """About one value in ``step`` per group, sorted: at most ``MAX_SPLITTERS`` expected.
+
+    The count of the values and the choice read every column of ``freq``, so that they and the
+    rows themselves come from one shuffle of one scan.
+    """
+    whole = "cnt >= 0 AND pick IS NOT NULL"  # true for every row, and in the order of the aggregates
+    if "first_at" in freq.columns:
+        whole += " AND coalesce(first_at <= last_at, true)"
+    step = freq.select(F.expr(f"greatest({slice_rows}L, ceil(count_if({whole}) * 2 / {MAX_SPLITTERS}))")).scalar()
+    picked = freq.where(F.expr(whole) & (F.pmod("pick", step) == 0))
+    splitters = picked.groupBy("g").agg(F.expr("array_sort(collect_set(v)) AS splitters"))
+    return splitters.where("size(splitters) > 0")
 
 
 def _slice_of() -> str:
@@ -119,12 +126,13 @@ def _slice_of() -> str:
     return f"coalesce(IF(splitters IS NULL, 0, {search}), 0)"
 
 
-def sliced(freq: DataFrame, source: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def sliced(freq: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``slice``, the value range inside its group that a frequency row belongs to, and
     ``big``, whether the group is cut at all."""
-    cut = _splitters(freq, source, slice_rows)
+    cut = _splitters(freq, slice_rows)
     return freq.join(F.broadcast(cut), "g", "left").selectExpr(
-        *freq.columns, f"{_slice_of()} AS slice", "splitters IS NOT NULL AS big"
+        # ``pick`` is never null; naming it here keeps this branch on the shuffle that the splitters use.
+        *[c for c in freq.columns if c != "pick"], f"IF(pick IS NULL, NULL, {_slice_of()}) AS slice", "splitters IS NOT NULL AS big"
     )
 
 
@@ -175,7 +183,7 @@ def ranked(
     and, with ``order``, ``is_first`` / ``is_last`` (the value was read first / last; when
     several values were, all are marked).
     """
-    freq = sliced(frequencies(df, keys, value, order, total_of), df, slice_rows)
+    freq = sliced(frequencies(df, keys, value, order, total_of), slice_rows)
     totals = {
         "n": ("sum", "cnt"),
         "total": ("sum", "CAST(v AS double) * cnt"),
