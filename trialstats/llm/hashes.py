@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 import numpy as np
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -18,17 +18,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def pack(values: np.ndarray, sort_gaps: bool = False) -> bytes:
-    """Numbers as bytes, equal places side by side, so that shuffles compress them; sorted ones as gaps."""
+    """Numbers as compressed bytes, equal places side by side; sorted ones as gaps."""
     if sort_gaps and len(values):
         values = np.diff(values, prepend=values.dtype.type(0))
     width = values.dtype.itemsize
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes()
+    return ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T))
 
 
 def unpack(data: bytes, dtype: str, sort_gaps: bool = False) -> np.ndarray:
     """The inverse of ``pack``."""
     kind = np.dtype(dtype)
-    raw = np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1)
+    raw = np.frombuffer(ZstdDecompressor().decompress(data), np.uint8).reshape(kind.itemsize, -1)
     values = np.ascontiguousarray(raw.T).view(kind).reshape(-1)
     return np.cumsum(values, dtype=kind) if sort_gaps else values
 
@@ -65,7 +65,6 @@ def mapped(values: np.ndarray) -> np.ndarray:
     with tempfile.TemporaryFile() as f:
         values.tofile(f)
         f.flush()
-        os.fsync(f.fileno())
         return np.memmap(f, values.dtype, "r", shape=values.shape)
 
 

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from trialstats.llm.hashes import SortedHashes, discounts, mapped, mix, pack, unpack
+from trialstats.llm.hashes import discounts, mapped, mix, pack, unpack
 
 # Words in an n-gram, and the bytes of text in a block (and of n-grams in a shard, about).
-ORDER, BLOCK_BYTES = 2, 16_000_000
+ORDER, BLOCK_BYTES = 2, 5_000_000
 # Held-out documents: crc32 of the id is 1 modulo this.
 FOLDS = 5
 
@@ -58,7 +58,7 @@ class Block:
 
     def __init__(self, table: pa.Table, order: int):
         table = table.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
-        self.table, self.order = table, order
+        self.table, self.order = table.drop_columns("text"), order
         texts = (t or b"" for t in table["text"].cast(pa.binary()).to_pylist())
         parts, lengths = [], []
         pad = np.full(order - 1, _START)
@@ -67,10 +67,11 @@ class Block:
             parts += [pad, own]
             lengths.append(len(own))
         words = np.concatenate(parts)
+        del parts
         self.lengths = np.array(lengths)
         ends = np.cumsum(self.lengths + order - 1)
         self.places = np.concatenate([np.arange(e - n, e) for e, n in zip(ends, lengths, strict=True)])
-        self.owner = np.repeat(np.arange(len(lengths)), self.lengths)
+        self.owner = np.repeat(np.arange(len(lengths), dtype=np.int32), self.lengths)
         training = ~np.array(table["held_out"].to_pylist(), bool)
         self.training = training[self.owner]
         # keys[m][i]: the m words that end at place i; the context of an (m+1)-gram ends one place before.
@@ -80,17 +81,18 @@ class Block:
             longer[1:] = mix(mix(self.keys[m - 1][:-1]) * _TURN + words[1:])
             self.keys.append(longer)
 
-    def grams(self, m: int) -> np.ndarray:
-        """Hashes of the m-grams of all tokens."""
-        return self.keys[m][self.places]
+    def types(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted distinct m-grams of a block and, for every place, which of them ends there.
 
-    def contexts(self, m: int) -> np.ndarray:
-        """Hashes of what stands before the last word of the m-grams."""
-        return self.keys[m - 1][self.places - 1]
-
-    def asked(self, m: int) -> np.ndarray:
-        """Distinct m-grams that a block needs: its own, and those that are contexts of longer ones."""
-        return np.unique(self.grams(m) if m == self.order else np.concatenate([self.grams(m), self.contexts(m + 1)]))
+        Shorter ones than the longest are wanted as contexts as well, so those before each text count.
+        """
+        keys = self.keys[m] if m < self.order else self.keys[m][self.places]
+        found, rank = np.unique(keys, return_inverse=True)
+        if m < self.order:
+            return found, rank
+        number = np.full(len(self.keys[m]), -1)
+        number[self.places] = rank
+        return found, number
 
 
 def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -119,13 +121,13 @@ def _merge(level: int, order: int):
         blocks = table["block"].to_pylist()
         keys = [unpack(k, "<u8", sort_gaps=True) for k in table["keys"].to_pylist()]
         values = [unpack(v, "<u8").reshape(-1, len(k)) if len(k) else None for v, k in zip(table["values"].to_pylist(), keys, strict=True)]
-        types = SortedHashes(mapped(np.unique(np.concatenate(keys))))
+        types = mapped(np.unique(np.concatenate(keys)))
         width = 1 if level == order else len(_FIELDS) + (level == 1)
-        sums = np.zeros((width, len(types.keys)), np.uint64)
-        owner = np.full(len(types.keys), -1)
+        sums = np.zeros((width, len(types)), np.uint64)
+        owner = np.full(len(types), -1, np.int32)
         at = []
         for k, v in zip(keys, values, strict=True):
-            place = types.find(k)
+            place = np.searchsorted(types, k)  # both are sorted, so this walks through memory
             at.append(place)
             if v is not None:
                 sums[:, place] += v  # the keys of a block are distinct
@@ -166,8 +168,8 @@ def _answers(table: pa.Table, level: int, asked: np.ndarray, shards: int) -> tup
 def _ask_longest(order: int, shards: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         block = Block(table, order)
-        keys, place = np.unique(block.grams(order), return_inverse=True)
-        seen = np.bincount(place[block.training], minlength=len(keys)).astype(np.uint64)
+        keys, number = block.types(order)
+        seen = np.bincount(number[block.places[block.training]], minlength=len(keys)).astype(np.uint64)
         return _send(key[0].as_py(), keys, seen[None], shards)
 
     return run
@@ -178,24 +180,23 @@ def _ask_shorter(level: int, order: int, shards: int):
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(table, order)
-        asked = block.asked(level)
-        longer = block.asked(level + 1)
+        longer, number = block.types(level + 1)
         got, _ = _answers(answers, level + 1, longer, shards)
-        owned = np.flatnonzero(got[-1] > 0)
-        # A place where each owned type occurs gives its context and its suffix.
-        grams = block.grams(level + 1)
-        types, first = np.unique(grams, return_index=True)
-        here = np.isin(types, longer[owned], assume_unique=True)
-        first, count = first[here], got[0][np.searchsorted(longer, types[here])].astype(np.int64)
-        suffix = np.searchsorted(asked, block.grams(level)[first])
-        context = np.searchsorted(asked, block.contexts(level + 1)[first])
+        # A place where each owned type ends gives its suffix, and the place before its context.
+        ends = np.zeros(len(longer), np.int64)
+        ends[number[block.places]] = block.places
+        owned = got[-1] > 0
+        ends, count = ends[owned], got[0][owned].astype(np.int64)
+        del longer, number, got
+        asked, number = block.types(level)
+        suffix, context = number[ends], number[ends - 1]
         values = np.zeros((len(_FIELDS) + (level == 1), len(asked)), np.int64)
         values[0] += np.bincount(suffix, minlength=len(asked))
         values[1] += np.bincount(context, weights=count, minlength=len(asked)).astype(np.int64)
         for row, kind in ((2, count == 1), (3, count == 2), (4, count > 2)):
             values[row] += np.bincount(context[kind], minlength=len(asked))
         if level == 1:  # occurrences of words, for the unigram baseline
-            values[-1] += np.bincount(np.searchsorted(asked, block.grams(1)[block.training]), minlength=len(asked))
+            values[-1] += np.bincount(number[block.places[block.training]], minlength=len(asked))
         return _send(key[0].as_py(), asked, values.astype(np.uint64), shards)
 
     return run
@@ -206,9 +207,9 @@ def _score(order: int, shards: int):
         block = Block(table, order)
         p = None
         for level in range(1, order + 1):
-            asked = block.asked(level)
+            asked, number = block.types(level)
             got, stats = _answers(answers, level, asked, shards)
-            place = np.searchsorted(asked, block.grams(level))
+            place = number[block.places]
             d = discounts(stats[:4])
             count = got[0][place].astype(np.float64)
             off = np.maximum(count - d[np.minimum(count, 3).astype(np.int64)], 0)
@@ -224,7 +225,7 @@ def _score(order: int, shards: int):
                 share = np.where(seen, off / np.where(seen, total_of, 1), 0)
                 p = np.where(seen, share + left * p, p)
             if level < order:  # as contexts of the next order
-                at = np.searchsorted(asked, block.contexts(level + 1))
+                at = number[block.places - 1]
                 _, total_of, once, twice, more = (got[i][at].astype(np.float64) for i in range(len(_FIELDS)))
                 e = discounts(_next_stats(answers, level + 1)[:4])
                 left = np.where(total_of > 0, (e[1] * once + e[2] * twice + e[3] * more) / np.where(total_of > 0, total_of, 1), 1)
