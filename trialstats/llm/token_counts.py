@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialstats.llm.bpe import codec
-from trialstats.llm.common import by_batch
+from trialstats.llm.common import by_batch, settle
 
 # Lengths in a block of the running sums.
 BLOCK = 1024
@@ -45,7 +45,8 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     ``share_below`` .. ``share_to`` is the range of quantiles that this length is the value of.
     An empty corpus gives no row.
     """
-    rows = histogram.withColumns({"block": F.expr(f"n_tokens div {BLOCK}"), "tokens": F.expr("n_docs * n_tokens")})
+    # The histogram is small and read twice; written once, its texts are encoded once.
+    rows = settle(histogram).withColumns({"block": F.expr(f"n_tokens div {BLOCK}"), "tokens": F.expr("n_docs * n_tokens")})
     # A block table has a row per 1,024 lengths; it alone is ordered as a whole.
     blocks = rows.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t")).selectExpr(
         "block", "sum(d) OVER () AS all_docs", "sum(t) OVER () AS all_tokens",
