@@ -86,6 +86,26 @@ def test_repeated_and_null_rows(spark):
     assert jaccard.document_classes(df.limit(0)).count() == 0 and jaccard.one_per_class(df.limit(0)).count() == 0
 
 
+def test_null_and_shared_ids_keep_classes_apart(spark):
+    texts = [f"{w}1 {w}2 {w}3 {w}4 {w}5 {w}6 {w}7" for w in "abcdef"]
+    docs = [(None, texts[0]), (None, texts[1]), (7, texts[1]), (1, texts[2]), (1, texts[3]), (1, " "), (None, " "), (None, texts[4]), (None, texts[4])]
+    docs += [(3, texts[5]), (2, texts[5] + " "), (None, texts[5])]
+    df = spark.createDataFrame(docs, SCHEMA)
+    out = jaccard.near_duplicates(df).join(df.select("doc_id", "text", jaccard.text_key("text").alias("key")).distinct().withColumnRenamed("doc_id", "i"),
+                                           "key").where("doc_id <=> i").collect()
+    ids = {(r.text.strip(), r.class_id, r.copy_id) for r in out}
+    assert ids == {(texts[0], None, None), (texts[1], 7, 7), (texts[2], 1, 1), (texts[3], 1, 1), (texts[4], None, None), (texts[5], 2, 2),
+                   ("", 1, 1), ("", None, None)}
+    keys = defaultdict(set)
+    for r in out:
+        keys[r.text.strip()].add(r.class_key)
+    assert keys.pop("") == {None}
+    assert all(len(k) == 1 for k in keys.values()) and len(set.union(*keys.values())) == 6
+    assert len({r.class_key for r in jaccard.document_classes(df).collect()}) == 7
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.one_per_class(df).collect()), key=str)
+    assert kept == sorted([(None, texts[0]), (7, texts[1]), (1, texts[2]), (1, texts[3]), (1, " "), (None, " "), (None, texts[4]), (2, texts[5] + " ")], key=str)
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     docs = [(d.doc_id, d.text) for d in catalog.documents(spark, sf).collect()]

@@ -168,17 +168,21 @@ def near_duplicates(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: Fraction = THRESHOLD, recall: float = RECALL,
     width: int = WIDTH, chunk: int = CHUNK,
 ) -> DataFrame:
-    """Per row ``(doc_id, key, class_id, copy_id, n_links)``; ``key`` is ``text_key`` of its text.
-
-    ``class_id`` is the least id of the connected component of similar texts, ``copy_id`` the
-    least id with the same n-gram set, ``n_links`` the number of other rows whose set is
-    similar, copies included. Words are told apart by case; a null text or one without words is
-    alone in its class and has no links. A row of ``df`` gives a row, also when ids repeat.
+    """Per row ``(doc_id, key, class_key, class_id, copy_id, n_links)``; ``key`` is ``text_key`` of its text.
+
+    ``class_key`` tells the connected components of similar texts apart, also where ids are null or
+    repeated: it is the least digest of the component. ``class_id`` is the least id of the
+    component, ``copy_id`` the least id with the same n-gram set, both null only if all those ids
+    are; ``n_links`` is the number of other rows whose set is similar, copies included. Words are
+    told apart by case; a null text or one without words is alone in its class, which has no key,
+    and has no links. A row of ``df`` gives a row, also when ids repeat.
     """
     bands, rows = banding(float(threshold), recall)
     sigs = settle(signed(df, doc_id, text, bands, rows, width))
     known = sigs.where("digest IS NOT NULL")
-    members = known.groupBy("digest").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "key")).alias("first"))
+    members = known.groupBy("digest").agg(
+        F.count("*").alias("n_docs"), F.min("doc_id").alias("copy_id"), F.min(F.struct("doc_id", "key")).alias("first")
+    )
     distinct = known.select("digest", "bands").dropDuplicates(["digest"])
     buckets = distinct.select("digest", F.explode("bands").alias("bucket"))
     anchors = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("digest").alias("anchor")).where("n > 1")
@@ -206,14 +210,14 @@ def near_duplicates(
     links = verified.groupBy("digest").agg(F.sum("links").alias("links"))
     classes = components(verified.selectExpr("digest AS a", "root AS b"))
     labelled = members.join(classes.withColumnRenamed("node", "digest"), "digest", "left").selectExpr(
-        "digest", "n_docs", "first.doc_id AS copy_id", "coalesce(component, digest) AS component"
+        "digest", "n_docs", "copy_id", "coalesce(component, digest) AS component"
     )
     least = labelled.groupBy("component").agg(F.min("copy_id").alias("class_id"))
     info = labelled.join(least, "component").join(links, "digest", "left").selectExpr(
-        "digest AS d", "copy_id", "class_id", "n_docs - 1 + coalesce(links, 0) AS n_links"
+        "digest AS d", "component AS class_key", "copy_id", "class_id", "n_docs - 1 + coalesce(links, 0) AS n_links"
     )
     return sigs.join(info, F.expr("digest = d"), "left").selectExpr(
-        "doc_id", "key", "IF(d IS NULL, doc_id, class_id) AS class_id", "IF(d IS NULL, doc_id, copy_id) AS copy_id",
+        "doc_id", "key", "class_key", "IF(d IS NULL, doc_id, class_id) AS class_id", "IF(d IS NULL, doc_id, copy_id) AS copy_id",
         "coalesce(n_links, 0) AS n_links",
     )
 
@@ -221,11 +225,13 @@ def near_duplicates(
 def one_per_class(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each class the row with the least id stays, once.
 
+    A row without an id stays only where its class has no id.
     Rows whose text is null or has no words all stay.
     """
     found = near_duplicates(df, doc_id, text, **options)
     blank = f"`{text}` IS NULL OR NOT regexp_like(CAST(`{text}` AS string), r'[^\\x20\\x09-\\x0D]')"
-    first = found.where("key IS NOT NULL").groupBy("class_id").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    first = found.where("class_key IS NOT NULL").groupBy("class_key").agg(F.min(order).alias("first"))
     row_key = "md5(concat_ws('|', coalesce(CAST({} AS string), 'null'), hex({})))"
     first = settle(first.selectExpr(f"{row_key.format('first.doc_id', 'first.key')} AS __row"))
     keyed = df.where(f"NOT ({blank})").withColumn("__key", text_key(F.col(f"`{text}`").cast("string")))
@@ -237,5 +243,5 @@ def one_per_class(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
 
 
 def document_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document its class, the least copy of it and the number of its links."""
-    return near_duplicates(df, doc_id, text).drop("key")
+    """Per document its class by key (hexadecimal) and least id, the least copy of it and the number of its links."""
+    return near_duplicates(df, doc_id, text).drop("key").withColumn("class_key", F.lower(F.hex("class_key")))
