@@ -61,6 +61,40 @@ def test_literals_by_target_name():
     assert found("db_credentials=Zk3!kd92ls") == {"Zk3!kd92ls"}
 
 
+def test_phrases_and_password_hashes():
+    phrase = "correct horse battery staple"
+    assert found(f'passphrase = "{phrase}"') == {phrase}
+    text = f'password = "{phrase}"'
+    assert secrets.redacted(text, secrets.find(text)) == 'password = "[SECRET]"'
+    bcrypt, crypt = "$2b$12$R9h/cIPz0gi.URNNX3kh2OPST9/PgBkqquzi.Ss7KIUgO2t0jWMUW", "$6$rounds$Vt9pQ1/xk.Zw"
+    assert found(f"user_pwd: '{bcrypt}'\nroot_pwd={crypt}") == {bcrypt, crypt}
+    assert found('db_pwd = "%9xT!kd#Lq2"\nmy_pwd = "{9xT!kd#Lq3"\nhis_pwd = "<9xT!kd#Lq4"') == {"%9xT!kd#Lq2", "{9xT!kd#Lq3", "<9xT!kd#Lq4"}
+    for text in ['pwd = "${DB_PASS1:-}"', 'pwd = "$DB_PASS1"', "pwd=%DB_PASS1%", "pwd = '<pass 1 here>'", "pwd: '{{ db.pass1 }}'",
+                 'pwd = "${USER_1}:${PASS_1}"', 'token_hint = "the name of your first pet"', "pwd = $config1.pass"]:
+        assert found(text) == set(), text
+
+
+def test_literals_that_span_lines():
+    assert found('passphrase = """correct horse\n  battery staple"""\nx = 1') == {"correct horse\n  battery staple"}
+    assert found("auth_key = '''\nq8Zr!t5Wm\n'''") == {"q8Zr!t5Wm"}
+    assert found('doc = """\npwd = "q8Zr!t5Wm"\n"""\npwd: """') == {"q8Zr!t5Wm"}
+    text = "a:\n  - signing_key: |\n      q8Zr!t5Wm\n\n      t5Wm0a1x\n    user: bob12345\nb: >-\n  Zk3!kd92ls\n"
+    assert found(text) == {"q8Zr!t5Wm\n\n      t5Wm0a1x"}
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nMIIEowIBAAKCAQEA\nq8Zrt5Wm\n-----END RSA PRIVATE KEY-----"
+    text = f"see\n{pem}\nend"
+    assert found(text) == {pem} and secrets.redacted(text, secrets.find(text)) == "see\n[SECRET]\nend"
+    assert found(pem.replace("PRIVATE", "PUBLIC")) == set()
+    text = 'k = """' + pem + '"""\nprivate_key = k'
+    assert secrets.redacted(text, secrets.find(text)).count("q8Zrt5Wm") == 0
+    for text in ['a = """' * 30000, "-----BEGIN PRIVATE KEY-----" * 30000, "p = p + p\n" * 200, "a: |\n" * 30000]:
+        secrets.find(text)
+
+
+def test_names_defined_below_their_use():
+    assert found('auth_key := c\nc: b\nb = "q8Zr!t5Wm"') == {"q8Zr!t5Wm"}
+    assert found("pwd = a\na = b\nb = a") == set()
+
+
 def test_clean_text_stays():
     for text in ["The answer: nobody knows it.", "color = '#aabbcc12'", "pwd = ''", "my_pwd = '<your password here>'", "pwd=${DB_PASS}",
                  "monkey = 'Zk3!kd92ls'", "if token == 'Zk3!kd92ls': pass", "x::pwd::y", "pwd:", "credentials: please ask at the desk"]:

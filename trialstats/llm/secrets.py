@@ -3,8 +3,10 @@
 Three fixed patterns give the base spans. The lexer then reads every line that has an
 assignment sign as ``name = term + term ...`` (also ``name: term``, ``"name": term``,
 ``name := term``, ``name => term``), remembers the literals behind each name, follows names on
-the right side to the literals they hold, and scores each literal reached by the words of
-the target name and by what the literal looks like. Spans count code points, end exclusive.
+the right side to the literals they hold, also those defined further down, and scores each
+literal reached by the words of the target name and by what the literal looks like. Literals in
+triple quotes and YAML block scalars span lines; a PEM private key is one wherever it stands.
+Spans count code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ SENSITIVE_PAIRS = {
     ("api", "key"), ("access", "key"), ("private", "key"), ("secret", "key"), ("auth", "key"),
     ("signing", "key"), ("encryption", "key"), ("master", "key"), ("pass", "word"), ("pass", "phrase"),
 }
+# Words at the end of a name whose quoted value may be several words.
+PHRASES, PHRASE_PAIRS = {"password", "passwd", "pwd", "passphrase", "secret", "credential", "credentials"}, {("pass", "word"), ("pass", "phrase")}
 PLACEHOLDERS = {"password", "secret", "token", "changeme", "example", "none", "null", "true", "false", "undefined", "placeholder"}
 # Score from which a literal is reported.
 REPORT = 0.75
@@ -44,6 +48,12 @@ _NAME = re.compile(r"(?<![\w$.-])([A-Za-z_$][\w$.-]*+)[\"']?\]?[ \t]*(?::=|=>|=(
 _TERM = re.compile(
     r"\"((?:[^\"\\\n]|\\.)*+)\"|'((?:[^'\\\n]|\\.)*+)'|([A-Za-z0-9_$+/=.~!@#%^&*-]+)"
 )
+# What stands for a value that is elsewhere: ${NAME}, $(command), $NAME, %NAME%, <description>, {{ name }}, {name}.
+_REFERENCE = re.compile(r"\$\{[^{}]*+\}|\$\([^()]*+\)|%[A-Za-z_]\w*+%|<[^<>]*+>|\{\{[^{}]*+\}\}|\{[A-Za-z_][\w.]*+\}")
+_VARIABLE = re.compile(r"\$[A-Za-z_][\w.]*+-?")
+_BLOCK = re.compile(r"[|>][+\-0-9]{0,2}[ \t]*(?:#.*)?\r?")
+_INDENT = re.compile(r"[ \t]*(?:-[ \t]+)*")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*|[ \t]*\.\.[ \t]*")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _HEX_BYTES = bytes(0x68 if chr(i) in "0123456789abcdef" else 0x20 for i in range(256))
@@ -71,53 +81,146 @@ def sensitive(name: str) -> bool:
     return not SENSITIVE.isdisjoint(words) or any(p in SENSITIVE_PAIRS for p in zip(words, words[1:], strict=False))
 
 
-def literal_score(literal: str, quoted: bool) -> float:
-    """How much a literal behind a sensitive name looks like a secret, 0 to 1."""
-    if len(literal) < ASSIGN_MIN or literal.lower() in PLACEHOLDERS or literal[0] in "<{$%" or len(set(literal)) < 4:
+def phrase_name(name: str) -> bool:
+    """Whether a name ends in words whose value may be several words."""
+    words = [w.lower() for w in _WORDS.findall(name) if not w.isdigit()]
+    return bool(words) and (words[-1] in PHRASES or tuple(words[-2:]) in PHRASE_PAIRS)
+
+
+def refers(literal: str) -> bool:
+    """Whether a literal is nothing but references to values elsewhere."""
+    if _VARIABLE.fullmatch(literal):
+        return True
+    rest = _REFERENCE.sub("", literal)
+    return rest != literal and not any(c.isalnum() for c in rest)
+
+
+def literal_score(literal: str, quoted: bool, phrase: bool = False) -> float:
+    """How much a literal behind a sensitive name looks like a secret, 0 to 1; ``phrase`` if it may have several words.
+
+    Breaks between lines and the indentation after them don't count.
+    """
+    if "\n" in literal:
+        literal = "".join(map(str.strip, literal.split("\n")))
+    if len(literal) < ASSIGN_MIN or literal.lower() in PLACEHOLDERS or len(set(literal)) < 4 or refers(literal):
         return 0.0
     counts = Counter(literal)
     bits = -sum(c / len(literal) * math.log2(c / len(literal)) for c in counts.values())
     mixed = any(c.isdigit() for c in literal) and any(c.isalpha() for c in literal)
     score = 0.5 + 0.1 * (len(literal) >= 8) + 0.1 * (bits >= 3) + 0.2 * mixed + 0.1 * quoted
-    return max(0.0, min(1.0, score - 0.4 * any(c.isspace() for c in literal)))
+    return max(0.0, min(1.0, score - 0.4 * (any(c.isspace() for c in literal) and not (quoted and phrase))))
+
+
+def _stripped(text: str, lo: int, hi: int) -> tuple[int, int]:
+    """The span without white space at its ends."""
+    part = text[lo:hi]
+    return lo + len(part) - len(part.lstrip()), max(lo, hi - len(part) + len(part.rstrip()))
+
+
+def _block(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span of a YAML block scalar whose key is in the line at ``start``; ``end`` is the end of that line."""
+    depth = _INDENT.match(text, start, end).end() - start
+    lo, hi = end + 1, end
+    while lo <= len(text):
+        stop = text.find("\n", lo)
+        stop = len(text) if stop < 0 else stop
+        line = text[lo:stop]
+        if line.strip():
+            if len(line) - len(line.lstrip()) <= depth:
+                break
+            hi = stop
+        lo = stop + 1
+    return _stripped(text, min(end + 1, hi), hi)
+
+
+def private_keys(text: str) -> list[tuple[int, int]]:
+    """PEM private keys from their first to their last line, also where line breaks are escaped."""
+    out, pos, open_ended = [], 0, set()
+    while m := _PEM.search(text, pos):
+        pos, last = m.end(), f"-----END {m[1]}-----"
+        at = -1 if last in open_ended else text.find(last, pos)
+        if at < 0:
+            open_ended.add(last)
+        else:
+            pos = at + len(last)
+            out.append((m.start(), pos))
+    return out
 
 
 def literal_spans(text: str) -> list[Span]:
-    """Literals that reach a sensitive name by assignment, directly or through other names."""
-    constants: dict[str, list[tuple[int, int, bool]]] = {}
-    found: dict[tuple[int, int], float] = {}
+    """Private keys, and literals that reach a sensitive name by assignment, directly or through other names."""
+    Item = tuple[int, int, bool, str | None]  # start, stop, whether quoted, the name that it may be
+    constants: dict[str, list[Item]] = {}
+    defined: dict[str, dict[Item, None]] = {}
+    wanted: list[tuple[Item, bool]] = []
+    unclosed: set[str] = set()
     at = 0
     for line in text.split("\n"):
+        end = at + len(line)
         if "=" in line or ":" in line:
-            pos = 0
-            while m := _NAME.search(line, pos):
-                literals, pos = [], m.end()
-                while t := _TERM.match(line, pos):
+            pos = at
+            while m := _NAME.search(text, pos, end):
+                items: dict[Item, None] = {}
+                pos = m.end()
+                if m[0].rstrip()[-1] == ":" and _BLOCK.fullmatch(text, pos, end):
+                    lo, hi = _block(text, at, end)
+                    if lo < hi:
+                        items[lo, hi, True, None] = None
+                while True:
+                    mark = text[pos:pos + 3]
+                    if mark in ('"""', "'''") and mark not in unclosed:
+                        close = text.find(mark, pos + 3)
+                        if close >= 0:
+                            items[(*_stripped(text, pos + 3, close), True, None)] = None
+                            pos = min(close + 3, end)
+                            if close >= end or not (plus := _PLUS.match(text, pos, end)):
+                                break
+                            pos = plus.end()
+                            continue
+                        unclosed.add(mark)
+                    if not (t := _TERM.match(text, pos, end)):
+                        break
                     quoted = t[3] is None
                     group = 3 if not quoted else 1 if t[1] is not None else 2
-                    known = not quoted and constants.get(t[3].rstrip(";,"))
-                    literals += known or [(at + t.start(group), at + t.end(group), quoted)]
+                    ref = None if quoted else t[3].rstrip(";,")
+                    known = constants.get(ref) if ref else None
+                    items.update(dict.fromkeys(known or [(t.start(group), t.end(group), quoted, ref)]))
                     pos = t.end()
-                    if not (plus := _PLUS.match(line, pos)):
+                    if not (plus := _PLUS.match(text, pos, end)):
                         break
                     pos = plus.end()
                 name = m[1]
-                constants[name] = literals
+                constants[name] = list(items)
+                defined.setdefault(name, {}).update(items)
                 if sensitive(name):
-                    for lo, hi, quoted in literals:
-                        score = literal_score(text[lo:hi], quoted)
-                        if score >= REPORT:
-                            found[lo, hi] = max(score, found.get((lo, hi), 0.0))
-                if not literals:
+                    phrase = phrase_name(name)
+                    wanted += [(i, phrase) for i in items]
+                if not items:
                     pos = m.end()
-        at += len(line) + 1
+        at = end + 1
+    found: dict[tuple[int, int], float] = {}
+    seen: set[tuple[Item, bool]] = set()
+    while wanted:
+        item, phrase = wanted.pop()
+        if (item, phrase) in seen:
+            continue
+        seen.add((item, phrase))
+        lo, hi, quoted, ref = item
+        if ref and defined.get(ref):  # a name that is defined further down
+            wanted += [(i, phrase) for i in defined[ref]]
+            continue
+        score = literal_score(text[lo:hi], quoted, phrase)
+        if score >= REPORT:
+            found[lo, hi] = max(score, found.get((lo, hi), 0.0))
+    found.update(dict.fromkeys(private_keys(text), 1.0))
     return [("literal", lo, hi, lo, score) for (lo, hi), score in found.items()]
 
 
 def find(text: str) -> list[Span]:
     """All spans of a text by start, then kind; literals inside a base span are that span."""
     base = base_spans(text)
-    extra = [s for s in literal_spans(text) if not any(b[1] <= s[1] and s[2] <= b[2] for b in base)] if "=" in text or ":" in text else []
+    lexed = literal_spans(text) if "=" in text or ":" in text or "-----BEGIN " in text else []
+    extra = [s for s in lexed if not any(b[1] <= s[1] and s[2] <= b[2] for b in base)]
     return sorted(base + extra, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
