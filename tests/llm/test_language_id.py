@@ -61,3 +61,21 @@ def test_sample_is_bounded(spark):
     df = spark.createDataFrame([(f"text {i}", "a" if i % 3 else "b") for i in range(6000)], "text string, lang string")
     n = {r.lang: r["count"] for r in language_id._sample(df, 200).groupBy("lang").count().collect()}
     assert 120 < n["a"] < 280 and 120 < n["b"] < 280
+
+
+def test_many_languages_share_the_budget(spark, monkeypatch):
+    def text(lang, i):
+        return " ".join(f"{chr(0x4E00 + lang)}{chr(0x4E00 + lang + 500)}" * (1 + (i + j) % 3) for j in range(8))
+
+    docs = [(lang * 100 + i, text(lang, i), f"l{lang:03}") for lang in range(130) for i in range(9)]
+    out = language_id.predictions(spark.createDataFrame(docs, SCHEMA)).collect()
+    truth = {d: lang for d, _, lang in docs}
+    assert len(out) == len(docs) and sum(truth[r.doc_id] == r.lang_pred for r in out) > 0.9 * len(docs)
+
+    df = spark.createDataFrame([(f"{i} " + "x" * 100, f"l{i % 300}") for i in range(3000)] + [("y" * 100000, "long")], "text string, lang string")
+    monkeypatch.setattr(language_id, "SAMPLE_SHARES", 100)
+    few = language_id._sample(df, 9).collect()
+    assert 600 < len(few) < 1300 and len({r.lang for r in few}) == 301
+    short = language_id._sample(df, 10, characters=60000).collect()
+    assert len({r.lang for r in short}) == 301 and sum(len(r.text) for r in short) < 90000
+    assert language_id._level([1, 5, 100, 100], 50) == 22 and language_id._level([1, 2], 3) == float("inf")

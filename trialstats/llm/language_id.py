@@ -1,9 +1,10 @@
 """Language identification with interpolated Kneser-Ney models of characters.
 
 The models are fitted on a bounded sample of labelled rows: about ``SAMPLE_ROWS`` per language,
-chosen by a hash of the row. Character n-grams are counted in Spark; the sorted hash arrays of
-all languages share one set of keys per order, so that one lookup serves every language. The
-sample bounds their size, and so what is broadcast. A text is given the language of the
+chosen by a hash of the row, and less where many languages share the budget of rows and
+characters; every language keeps a row. Character n-grams are counted in Spark; the sorted hash
+arrays of a few languages share one set of keys per order, so that one lookup serves them all.
+The sample bounds their size, and so what is broadcast. A text is given the language of the
 lowest cross-entropy per character. A part of the sample is kept from the counts: it sets how
 far apart two entropies must be for certainty, and the entropy above which a language is
 rejected.
@@ -15,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,10 @@ from trialstats.llm.hashes import SortedHashes, discounts, mix
 
 # Characters in an n-gram, labelled rows per language (about), and one row in so many that calibrates.
 ORDER, SAMPLE_ROWS, HOLD = 5, 1500, 5
-# Most languages of a model, which with SAMPLE_ROWS bounds its size.
-MOST_LANGUAGES = 100
+# The budget that all languages share: rows, as a multiple of those of a language, and characters.
+SAMPLE_SHARES, SAMPLE_CHARACTERS = 100, 16_000_000
+# Languages whose models share their keys; a key takes room for each of them.
+GROUP = 8
 # Fixed value: the answer for a text without letters.
 UNDETERMINED = "und"
 # Share of calibration rows that may lie above the entropy of rejection.
@@ -70,18 +74,37 @@ def gram_keys(points: np.ndarray) -> list[np.ndarray]:
     return keys
 
 
-def _sample(df: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` rows of each language, by a hash of text and language; all where there are fewer."""
-    counts = df.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    share = {r["lang"]: min(1.0, rows / r["n"]) for r in counts}
-    if not share:
+def _level(sizes: list[int], budget: float) -> float:
+    """The most that each may take so that the sum of what they take stays within the budget."""
+    for i, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - i) > budget:
+            return budget / (len(sizes) - i)
+        budget -= size
+    return float("inf")
+
+
+def _sample(df: DataFrame, rows: int, characters: int = SAMPLE_CHARACTERS) -> DataFrame:
+    """About ``rows`` rows of each language, by a hash of text and language; all where there are fewer.
+
+    Where languages are many or texts are long, they share ``SAMPLE_SHARES`` times ``rows`` rows and
+    ``characters`` characters, and small languages leave their part to the others. Each keeps at
+    least the row of the least hash; a text is cut at the part of its language.
+    """
+    draw = F.pmod(F.xxhash64("text", "lang", F.lit(1)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = df.select("lang", "text", draw.alias("draw"))
+    counts = drawn.groupBy("lang").agg(
+        F.count("*").alias("n"), F.sum(F.char_length("text")).alias("size"), F.min("draw").alias("least")
+    ).collect()  # one row per language
+    if not counts:
         return df.limit(0).selectExpr("lang", "text", "false AS held")
-    wanted = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    draw = F.pmod(F.xxhash64("text", "lang", F.lit(1)), F.lit(1 << 20)) / F.lit(1 << 20)
+    most = min(rows, _level([r["n"] for r in counts], SAMPLE_SHARES * rows))
+    room = _level([r["size"] for r in counts], characters)
+    limit = int(min(max(1, room), 2**31 - 1))
+    shares = [(r["lang"], max(r["least"], min(1.0, most / r["n"], room / max(1, r["size"])))) for r in counts]
+    wanted = df.sparkSession.createDataFrame(shares, "lang string, share double")
     held = F.pmod(F.xxhash64("text", "lang", F.lit(2)), F.lit(HOLD)) == 0
-    return df.where(draw < wanted).select("lang", "text", held.alias("held"))
+    chosen = drawn.join(F.broadcast(wanted), "lang").where("draw <= share").withColumn("held", held)
+    return chosen.select("lang", F.expr(f"left(text, {limit})").alias("text"), "held")
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -115,10 +138,27 @@ def _counts(sample: DataFrame) -> DataFrame:
 
 
 class Models:
-    """Interpolated models of all languages: per order the sorted hashes, the logarithms of the
-    probabilities and, for the n-gram as a context, of the mass left to the lower order."""
+    """The models of all languages, in groups of ``GROUP`` that share their keys."""
 
     def __init__(self, counts: pa.Table):
+        self.langs = sorted(pc.unique(counts["lang"]).to_pylist())
+        symbols = len(pc.unique(counts.filter(pc.equal(counts["n"], 1))["key"])) + 1
+        groups = [self.langs[i:i + GROUP] for i in range(0, len(self.langs), GROUP)]
+        self.groups = [GroupModels(counts.filter(pc.is_in(counts["lang"], pa.array(g))), symbols) for g in groups]
+
+    def entropies(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Cross-entropy per character of every text under every language."""
+        return np.hstack([g.entropies(texts) for g in self.groups])
+
+    def _log_p(self, keys: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        return np.hstack([g._log_p(keys, at) for g in self.groups])
+
+
+class GroupModels:
+    """Interpolated models of some languages: per order the sorted hashes, the logarithms of the
+    probabilities and, for the n-gram as a context, of the mass left to the lower order."""
+
+    def __init__(self, counts: pa.Table, symbols: int):
         self.langs = sorted(set(counts["lang"].to_pylist()))
         number = {x: i for i, x in enumerate(self.langs)}
         lang = np.array([number[x] for x in counts["lang"].to_pylist()], np.int64)
@@ -127,7 +167,6 @@ class Models:
         size = len(self.langs)
         self.index: list[SortedHashes] = [SortedHashes(np.zeros(1, np.uint64))]
         self.index += [SortedHashes(np.unique(key[n == k])) for k in range(1, ORDER + 1)]
-        symbols = len(self.index[1].keys) + 1
         lower = np.full((1, size), 1.0 / symbols)
         self.log_p, self.log_left = [np.log(lower).astype(np.float32)], []
         for k in range(1, ORDER + 1):
