@@ -87,3 +87,9 @@ def test_without_training_or_rows(spark):
     out = lm.scores(spark.createDataFrame([(i, "a b") for i in ids], SCHEMA)).collect()
     assert [(r.score, r.n_known, r.train_tokens) for r in out] == [(0.0, 0, 0)] * 3
     assert lm.scores(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_uses_context_beyond_one_word(spark, tmp_path):
+    docs = [(i, "a b c\nx b d\n" * 3) for i in range(20)] + [(100, "a b d")]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    same(catalog.op4_lm(spark, str(tmp_path)).collect(), plain(docs, 3))

@@ -24,19 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
+from zstandard import ZstdCompressor, ZstdDecompressor
 
+from trialstats.llm.common import as_bytes, by_batch
 from trialstats.llm.hashes import discounts, mapped, mix, pack, unpack
 
 # Words in an n-gram, and the bytes of text in a block (and of n-grams in a shard, about).
-ORDER, BLOCK_BYTES = 2, 5_000_000
+ORDER, BLOCK_BYTES = 3, 5_000_000
 # Held-out documents: crc32 of the id is 1 modulo this.
 FOLDS = 5
 
 # Tokens that no word hashes to by intent: the end of a text, and what stands before its first word.
 _END, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _TURN = np.uint64(0x165667B19E3779F9)
-# What is summed per n-gram: continuations, then as a context the total and the types counted once, twice and more.
-_FIELDS = ["count", "total", "once", "twice", "more"]
+# What is summed per n-gram: continuations, then as a context the types counted once, twice and more, and
+# what the total has above 1, 2 and 3 for each of these, which is mostly zero.
+_FIELDS = ["count", "rest", "once", "twice", "more"]
 # Statistics of a shard: types with counts 1 to 4, then the sum of counts and, of words, training tokens and types.
 _STATS = 7
 
@@ -59,7 +62,8 @@ class Block:
     def __init__(self, table: pa.Table, order: int):
         table = table.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
         self.table, self.order = table.drop_columns("text"), order
-        texts = (t or b"" for t in table["text"].cast(pa.binary()).to_pylist())
+        plain = ZstdDecompressor()
+        texts = (plain.decompress(t) if t else b"" for t in table["text"].to_pylist())
         parts, lengths = [], []
         pad = np.full(order - 1, _START)
         for t in texts:
@@ -195,6 +199,7 @@ def _ask_shorter(level: int, order: int, shards: int):
         values[1] += np.bincount(context, weights=count, minlength=len(asked)).astype(np.int64)
         for row, kind in ((2, count == 1), (3, count == 2), (4, count > 2)):
             values[row] += np.bincount(context[kind], minlength=len(asked))
+        values[1] -= values[2] + 2 * values[3] + 3 * values[4]
         if level == 1:  # occurrences of words, for the unigram baseline
             values[-1] += np.bincount(number[block.places[block.training]], minlength=len(asked))
         return _send(key[0].as_py(), asked, values.astype(np.uint64), shards)
@@ -226,7 +231,8 @@ def _score(order: int, shards: int):
                 p = np.where(seen, share + left * p, p)
             if level < order:  # as contexts of the next order
                 at = number[block.places - 1]
-                _, total_of, once, twice, more = (got[i][at].astype(np.float64) for i in range(len(_FIELDS)))
+                _, rest, once, twice, more = (got[i][at].astype(np.float64) for i in range(len(_FIELDS)))
+                total_of = rest + once + 2 * twice + 3 * more
                 e = discounts(_next_stats(answers, level + 1)[:4])
                 left = np.where(total_of > 0, (e[1] * once + e[2] * twice + e[3] * more) / np.where(total_of > 0, total_of, 1), 1)
         docs = len(block.lengths)
@@ -255,6 +261,18 @@ def _types(stats: np.ndarray) -> float:
     return stats[6]
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each text compressed, so that less is shuffled and held."""
+    schema = docs.withColumn("text", F.col("text").cast("binary")).schema
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        small = ZstdCompressor(level=3)
+        texts = pa.array([small.compress(t) if t else None for t in as_bytes(batch.column("text"))], pa.binary())
+        return pa.RecordBatch.from_arrays([texts if n == "text" else batch.column(n) for n in batch.schema.names], batch.schema.names)
+
+    return docs.mapInArrow(by_batch(run), schema)
+
+
 def scores(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, block_bytes: int = BLOCK_BYTES, folds: int = FOLDS
 ) -> DataFrame:
@@ -273,15 +291,13 @@ def scores(
         f"`{doc_id}` AS doc_id", f"CAST(`{text}` AS string) AS text", f"{held} AS held_out",
         f"xxhash64(`{doc_id}`, `{text}`) AS mark",
     ).selectExpr("*", f"CAST(pmod(mark, {blocks}) AS int) AS block")
-    by_block = docs.groupBy("block")
-    answered: DataFrame | None = None
-    for level in range(order, 0, -1):
-        if answered is None:
-            asked = by_block.applyInArrow(_ask_longest(order, blocks), _ASKED)
-        else:
-            asked = by_block.cogroup(answered.groupBy("block")).applyInArrow(_ask_shorter(level, order, blocks), _ASKED)
+    by_block = _packed(docs).groupBy("block")
+    asked = by_block.applyInArrow(_ask_longest(order, blocks), _ASKED)
+    answered = answer = asked.groupBy("shard").applyInArrow(_merge(order, order), _ANSWER)
+    for level in range(order - 1, 0, -1):
+        asked = by_block.cogroup(answer.groupBy("block")).applyInArrow(_ask_shorter(level, order, blocks), _ASKED)
         answer = asked.groupBy("shard").applyInArrow(_merge(level, order), _ANSWER)
-        answered = answer if answered is None else answered.unionByName(answer)
+        answered = answered.unionByName(answer)
     out = "doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return by_block.cogroup(answered.groupBy("block")).applyInArrow(
         _score(order, blocks), out.format(df.schema[doc_id].dataType.simpleString())
