@@ -79,3 +79,8 @@ def test_many_languages_share_the_budget(spark, monkeypatch):
     short = language_id._sample(df, 10, characters=60000).collect()
     assert len({r.lang for r in short}) == 301 and sum(len(r.text) for r in short) < 90000
     assert language_id._level([1, 5, 100, 100], 50) == 22 and language_id._level([1, 2], 3) == float("inf")
+
+
+def test_a_language_of_one_text_is_learned(spark):
+    df = spark.createDataFrame([(f"one text {i}", f"l{i}") for i in range(40)], "text string, lang string")
+    assert language_id._sample(df, 10).where("NOT held").count() == 40

@@ -88,7 +88,7 @@ def _sample(df: DataFrame, rows: int, characters: int = SAMPLE_CHARACTERS) -> Da
 
     Where languages are many or texts are long, they share ``SAMPLE_SHARES`` times ``rows`` rows and
     ``characters`` characters, and small languages leave their part to the others. Each keeps at
-    least the row of the least hash; a text is cut at the part of its language.
+    least the row of the least hash, which is counted; a text is cut at the part of its language.
     """
     draw = F.pmod(F.xxhash64("text", "lang", F.lit(1)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = df.select("lang", "text", draw.alias("draw"))
@@ -100,9 +100,9 @@ def _sample(df: DataFrame, rows: int, characters: int = SAMPLE_CHARACTERS) -> Da
     most = min(rows, _level([r["n"] for r in counts], SAMPLE_SHARES * rows))
     room = _level([r["size"] for r in counts], characters)
     limit = int(min(max(1, room), 2**31 - 1))
-    shares = [(r["lang"], max(r["least"], min(1.0, most / r["n"], room / max(1, r["size"])))) for r in counts]
-    wanted = df.sparkSession.createDataFrame(shares, "lang string, share double")
-    held = F.pmod(F.xxhash64("text", "lang", F.lit(2)), F.lit(HOLD)) == 0
+    shares = [(r["lang"], r["least"], max(r["least"], min(1.0, most / r["n"], room / max(1, r["size"])))) for r in counts]
+    wanted = df.sparkSession.createDataFrame(shares, "lang string, least double, share double")
+    held = (F.pmod(F.xxhash64("text", "lang", F.lit(2)), F.lit(HOLD)) == 0) & (F.col("draw") > F.col("least"))
     chosen = drawn.join(F.broadcast(wanted), "lang").where("draw <= share").withColumn("held", held)
     return chosen.select("lang", F.expr(f"left(text, {limit})").alias("text"), "held")
 
