@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialstats.llm import ann, bpe, jaccard, language_id, lm, mixing, quality, secrets, sharding, token_counts
+from trialstats.llm import (
+    ann, bpe, collocations, jaccard, language_id, lm, mixing, packing, quality, secrets, sharding, spelling, token_counts,
+)
 from trialstats.llm.common import documents, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,9 +55,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(documents(spark, sf_dir))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(documents(spark, sf_dir), TOKENIZER)
+
+
+_QUERIES = [
+    op1_bpe, op2_language_id, op3_token_counts, op4_lm, op5_sharding, op6_ann, op7_secrets, op8_ngram_jaccard, op9_mixing,
+    op10_quality, op11_spelling, op12_collocations, op13_packing,
+]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage by name."""
-    return {f.__name__: f for f in (op1_bpe, op2_language_id, op3_token_counts, op4_lm, op5_sharding, op6_ann, op7_secrets, op8_ngram_jaccard, op9_mixing, op10_quality)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
