@@ -28,6 +28,8 @@ SLACK = 1 / 8192
 SLOT_ROWS = 50_000
 # Bits of the hash that settles ties.
 TIE_BITS = 62
+# Of these, the first that tell labels apart whose first seven bytes are alike.
+LABEL_BITS = 24
 
 
 def _code(name: str) -> str:
@@ -37,22 +39,34 @@ def _code(name: str) -> str:
 
 
 def _points(rows: DataFrame, total: int, leaves: int) -> tuple[DataFrame, DataFrame]:
-    """The rows with their ``piece``, and one weighted point per piece of a group."""
+    """The rows with their ``piece``, and one weighted point per piece of a group.
+
+    Pieces are dealt by the id; copies under one id (or none) that are too large for a piece are dealt
+    by the number of their row. Labels that begin alike are kept apart by the first bits of the tie.
+    """
     limit = max(1, total // (leaves * PIECES))
     # Groups above the limit: at most PIECES per shard, as their bytes add up to the total.
     giant = rows.groupBy("key").agg(F.sum("size").alias("b")).where(F.col("b") > limit)
     giant = settle(giant.selectExpr("key AS giant", f"CAST(ceil(b / {limit}) AS int) AS pieces"))
-    dealt = rows.join(F.broadcast(giant), F.expr("key = giant"), "left").selectExpr(
-        *rows.columns, "coalesce(CAST(pmod(xxhash64(doc_id), pieces) AS int), 0) AS piece"
+    giants = rows.join(F.broadcast(giant), F.expr("key = giant"), "left")
+    # Ids above the limit: bounded like the giants.
+    alike = giants.where("pieces IS NOT NULL").groupBy("key", "doc_id").agg(F.sum("size").alias("b")).where(F.col("b") > limit)
+    alike = settle(alike.selectExpr("struct(key, doc_id) AS hot"))
+    dealt = giants.withColumn("own", F.expr("struct(key, doc_id)")).join(F.broadcast(alike), F.expr("own = hot"), "left").selectExpr(
+        *rows.columns, "coalesce(CAST(pmod(IF(hot IS NULL, xxhash64(doc_id), xxhash64(row)), pieces) AS int), 0) AS piece"
     )
     points = dealt.groupBy("key", "piece").agg(
-        F.sum("size").alias("bytes"),
-        F.max("size").alias("d0"),
-        F.min(F.expr(_code("source"))).alias("d1"),
-        F.min(F.expr(_code("lang"))).alias("d2"),
+        F.sum("size").alias("bytes"), F.max("size").alias("d0"), F.min("source").alias("source"), F.min("lang").alias("lang"),
     )
-    tie = f"shiftrightunsigned(xxhash64(key, piece), {64 - TIE_BITS}) AS tie"
-    return dealt, settle(points.selectExpr("key", "piece", "bytes", "d0", "d1", "d2", tie))
+    tie = f"shiftrightunsigned(xxhash64(key, piece), {64 - TIE_BITS})"
+
+    def after(label: str) -> str:
+        return f"(shiftrightunsigned(xxhash64({label}), {64 - LABEL_BITS}) << {TIE_BITS - LABEL_BITS}) + shiftright({tie}, {LABEL_BITS})"
+
+    return dealt, settle(points.selectExpr(
+        "key", "piece", "bytes", "d0", f"{_code('source')} AS d1", f"{_code('lang')} AS d2",
+        f"{tie} AS t0", f"{after('source')} AS t1", f"{after('lang')} AS t2",
+    ))
 
 
 def _widths(row, spans: list[tuple[float, float]]) -> list[float]:
@@ -86,10 +100,13 @@ class _Cut:
         self.left -= digit_bits
         for digit in sorted(bins):
             if self.below + bins[digit] > self.goal or digit == max(bins):
-                near_low, near_high = self.goal - self.below, self.below + bins[digit] - self.goal
+                above = self.below + bins[digit]
+                near_low, near_high = self.goal - self.below, abs(above - self.goal)
                 at_end = not self.left
-                if min(near_low, abs(near_high)) <= self.weight * SLACK or at_end:
-                    self.prefix = (self.prefix << digit_bits) + digit + (abs(near_high) < near_low)
+                if min(near_low, near_high) <= self.weight * SLACK or at_end:
+                    # Neither side stays empty if there is something for both.
+                    into = near_high < near_low if 0 < self.below and above < self.weight else above < self.weight
+                    self.prefix = (self.prefix << digit_bits) + digit + into
                     self.done = True
                 else:
                     self.prefix = (self.prefix << digit_bits) + digit
@@ -103,6 +120,7 @@ class _Cut:
 
 
 _AT = "CASE dim WHEN 0 THEN d0 WHEN 1 THEN d1 ELSE d2 END"
+_TIE = "CASE dim WHEN 0 THEN t0 WHEN 1 THEN t1 ELSE t2 END"
 
 
 def _search(points: DataFrame, cuts: list[_Cut]) -> None:
@@ -123,8 +141,8 @@ def _search(points: DataFrame, cuts: list[_Cut]) -> None:
         names = "node int, dim int, low bigint, above int, known bigint, in_tie boolean, shift int, tie_known bigint, mask bigint"
         asked = F.broadcast(spark.createDataFrame(params, names))  # one row per node
         at = f"({_AT} - low)"
-        fits = f"shiftright({at}, above) = known AND (NOT in_tie OR shiftright(tie, shift) div (mask + 1) = tie_known)"
-        digit = f"shiftright(IF(in_tie, tie, {at}), shift) & mask"
+        fits = f"shiftright({at}, above) = known AND (NOT in_tie OR shiftright({_TIE}, shift) div (mask + 1) = tie_known)"
+        digit = f"shiftright(IF(in_tie, {_TIE}, {at}), shift) & mask"
         bins = points.join(asked, "node").where(fits).selectExpr("node", f"{digit} AS digit", "bytes")
         found: dict[int, dict[int, int]] = defaultdict(dict)
         for r in bins.groupBy("node", "digit").agg(F.sum("bytes").alias("b")).collect():  # at most 2^BINS rows
@@ -140,31 +158,30 @@ def kd_leaves(points: DataFrame, leaves: int) -> DataFrame:
     sizes = {0: leaves}
     ends = [e for d in range(3) for e in (F.min(f"d{d}").alias(f"lo{d}"), F.max(f"d{d}").alias(f"hi{d}"))]
     spans = None
-    while any(n > 1 for n in sizes.values()):
-        # One row per node.
+    while True:
+        # One row per node that has points; the leaves of a node without any stay empty.
         nodes = {r["node"]: r for r in points.groupBy("node").agg(F.sum("bytes").alias("bytes"), *ends).collect()}
-        if not nodes:
-            break
+        if all(sizes[node] == 1 for node in nodes):
+            return points
         spans = spans or [(nodes[0][f"lo{d}"], nodes[0][f"hi{d}"]) for d in range(3)]
         cuts = []
         for node, row in nodes.items():
             if sizes[node] > 1:
                 widths = _widths(row, spans)
-                dim = widths.index(max(widths))
+                dim = widths.index(max(widths)) if max(widths) > 0 else 1  # labels may still differ behind their first bytes
                 share = sizes[node] // 2 / sizes[node]
                 cuts.append(_Cut(node, dim, row[f"lo{dim}"], row[f"hi{dim}"], row["bytes"], share))
         _search(points, cuts)
         # Nodes are numbered by their first leaf, so a left child keeps its number.
         table = [(c.node, c.dim, *c.bound(), c.node + sizes[c.node] // 2) for c in cuts]
         bounds = F.broadcast(spark.createDataFrame(table, "node int, dim int, c bigint, t bigint, right int"))
-        goes_left = f"dim IS NULL OR {_AT} < c OR ({_AT} = c AND tie < t)"
+        goes_left = f"dim IS NULL OR {_AT} < c OR ({_AT} = c AND {_TIE} < t)"
         points = settle(points.join(bounds, "node", "left").selectExpr(
             *[x for x in points.columns if x != "node"], f"IF({goes_left}, node, right) AS node"
         ))
         for c in cuts:
             n = sizes[c.node]
             sizes[c.node], sizes[c.node + n // 2] = n // 2, n - n // 2
-    return points
 
 
 def shards(
@@ -181,11 +198,13 @@ def shards(
 
     ``count`` shards, or as many as ``target_bytes`` asks for. A size is the UTF-8 bytes of the
     text (null: none) plus 1. Equal texts share a shard unless their group is dealt in pieces
-    or shares a cut. Every row has a place: null texts are a group, repeated rows are rows.
-    An empty table gives no rows.
+    or shares a cut. Every row has a place: null texts are a group, repeated rows are rows, texts of
+    any length are points of their size. With fewer points than shards some shards stay empty, and
+    an empty table gives no rows.
     """
     value = F.col(f"`{text}`").cast("string")
     light = settle(df.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(f"`{doc_id}`").alias("doc_id"),
         (F.coalesce(F.octet_length(value), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.coalesce(F.crc32(value), F.lit(0)).alias("text_crc32"),
