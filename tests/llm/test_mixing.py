@@ -71,6 +71,39 @@ def test_rounding_keeps_expectations():
     assert np.abs(total / 20000 - shares).max() < 0.02
 
 
+def test_reserve_keeps_expectations_and_words():
+    rng = np.random.default_rng(5)
+    sizes = np.array([40, 30, 22, 9, 8, 8, 5, 3, 2, 1])
+    wanted = np.array([0.3, 1.7, 0.5, 1.4, 1.0, 2.2, 1.5, 0.6, 1.5, 1.5])
+    total = np.zeros(len(sizes))
+    for _ in range(20000):
+        copies = mixing.settle_reserve(sizes, wanted, 3, rng)
+        assert set(copies) <= {0.0, 1.0, 2.0, 3.0} and abs((copies - wanted) @ sizes) <= 2
+        total += copies
+    missed = np.abs(total / 20000 - wanted)
+    assert missed[:-3].max() < 0.03 and missed.max() < 0.15  # the last ones have little room to pass words on to
+    # One document that the others can't make up for: the nearer end.
+    assert mixing.settle_reserve(np.array([100, 1]), np.array([0.4, 0.4]), 3, rng)[0] == 0
+
+
+def test_every_source_is_near_its_target(spark):
+    docs = {d.doc_id: d.source for d in catalog.documents(spark, "/root/testdata/sf0.01").collect()}
+    taken, target = {}, {}
+    for r in catalog.op9_mixing(spark, "/root/testdata/sf0.01").collect():
+        taken[docs[r.doc_id]] = taken.get(docs[r.doc_id], 0) + r.taken
+        target[docs[r.doc_id]] = r.target
+    assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] for s in target)
+
+
+@pytest.mark.parametrize("part_docs,fan,reserve", [(7, 2, 5), (50, 1024, 20)])
+def test_rounds_before_the_reserve(spark, part_docs, fan, reserve):
+    df = rows(spark, {"a": 900, "b": 400, "c": 60})
+    out = mixing.mix(df, part_docs=part_docs, fan=fan, reserve=reserve).collect()
+    for s in "abc":
+        own = [r for r in out if r.row.source == s]
+        assert abs(sum(r.size * r.copies for r in own) - own[0].target) <= 60 and max(r.copies for r in own) <= 3
+
+
 def test_whole_table_and_edges(spark):
     out = catalog.op9_mixing(spark, "/root/testdata/sf0.01").collect()
     docs = catalog.documents(spark, "/root/testdata/sf0.01").collect()

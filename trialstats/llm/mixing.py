@@ -6,7 +6,11 @@ words, moves from one document to the other, in a direction drawn so that no exp
 changes, until one of the two is certain. The words of a source thus stay what they should
 be. Sources are dealt into parts of bounded size; each part leaves one open document
 at most, and a tree of further rounds pairs those, part by part, until one is left per
-source, which is drawn. The words taken differ from the target by less than that document.
+source. In a pair the smaller document ends first, so the one that is left is large. A
+reserve of documents, chosen by a hash, is therefore kept out of the rounds: from the large
+to the small, each document left is drawn and what it takes too much or too little
+is passed on to all smaller ones in the reserve. The words taken differ from the target by about
+the smallest document of the reserve.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from trialstats.llm.common import WORD, settle
 WEIGHTS, MAX_COPIES = (5, 2, 1), 3
 # Documents in a part, and parts whose open documents meet in the next round.
 PART_DOCS, FAN = 4000, 1024
+# Documents of a source in its reserve, about.
+RESERVE = 512
 
 
 def word_count(text: str) -> str:
@@ -92,19 +98,60 @@ def pivotal(sizes: np.ndarray, shares: np.ndarray, rng: np.random.Generator) ->
     return np.array(p, float), held
 
 
-def _round(rows: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
-    """One round: settle the shares inside each ``(source, part)``; the last one draws what is open."""
+def settle_reserve(sizes: np.ndarray, wanted: np.ndarray, most: float, rng: np.random.Generator) -> np.ndarray:
+    """Whole copies (0 to ``most``) of documents sorted from large to small, whose words add up to those wanted.
+
+    Each document is drawn between the whole numbers around its ``wanted``; the difference in words goes
+    to the smaller ones, in proportion to how far each is from 0 and ``most``, so that a draw moves
+    them up or down alike and no expectation changes. Only where they have too little room for
+    that does it go to those that have some, and if there is none for either, the nearer number is taken.
+    """
+    w = wanted.astype(float)
+    for k, n in enumerate(sizes.tolist()):
+        low = float(np.floor(w[k] + 1e-9))
+        share = w[k] - low
+        if share < 1e-9:
+            w[k] = low
+            continue
+        rest, words = w[k + 1:], sizes[k + 1:]
+        room = np.minimum(rest, most - rest)
+        mass = float(room @ words)
+        taken = low + float(rng.random() < share)
+        if n and n * max(share, 1 - share) > mass:
+            room_of = {low: float((most - rest) @ words), low + 1: float(rest @ words)}
+            missed = {c: max(0.0, abs(w[k] - c) * n - r) for c, r in room_of.items()}
+            if missed[taken] > min(missed.values()):
+                taken = min(missed, key=missed.get)
+            room = most - rest if taken == low else rest
+            mass = float(room @ words)
+        if n and mass > 0:
+            moved = (w[k] - taken) * n
+            w[k + 1:] = np.clip(rest + room * max(-1.0, min(1.0, moved / mass)), 0, most)
+        w[k] = taken
+    return w
+
+
+def _round(rows: DataFrame, level: int, seed: int, most: int | None) -> DataFrame:
+    """One round: settle the shares inside each ``(source, part)``; with ``most``, the last one, settle all that is left."""
 
     def run(table: pa.Table) -> pa.Table:
-        order = [("size", "descending"), ("tie", "ascending"), ("share", "ascending")]  # the open one ends up small
+        order = [("size", "descending"), ("tie", "ascending"), ("share", "ascending"), ("whole", "ascending")]
         table = table.sort_by(order)
         source, part = table["source"][0].as_py(), table["part"][0].as_py()
         stamp = 0 if source is None else zlib.crc32(source.encode("utf-8")) + 1
         rng = np.random.default_rng([seed, stamp, part, level])
-        shares, held = pivotal(table["size"].to_numpy(), table["share"].to_numpy(), rng)
-        if last and held >= 0:
-            shares[held] = float(rng.random() < shares[held])
-        return table.set_column(table.column_names.index("share"), "share", pa.array(shares))
+        sizes, shares, whole = (table[c].to_numpy() for c in ("size", "share", "whole"))
+        kept = table["reserve"].to_numpy()
+        outside = np.flatnonzero(~kept)
+        shares = shares.copy()
+        shares[outside], held = pivotal(sizes[outside], shares[outside], rng)
+        if most is not None:
+            left = np.flatnonzero(kept | ((shares > 0) & (shares < 1)))
+            copies = settle_reserve(sizes[left], whole[left] + shares[left], most, rng)
+            whole = whole.copy()
+            whole[left], shares[left] = copies.astype(np.int32), 0.0
+        table = table.set_column(table.column_names.index("share"), "share", pa.array(shares))
+        return table.set_column(table.column_names.index("whole"), "whole", pa.array(whole, pa.int32()))
 
     return rows.groupBy("source", "part").applyInArrow(run, rows.schema)
 
@@ -119,6 +166,7 @@ def mix(
     seed: int = 9,
     part_docs: int = PART_DOCS,
     fan: int = FAN,
+    reserve: int = RESERVE,
 ) -> DataFrame:
     """Rows ``(row, size, source_size, target, copies)`` for every row of ``df``.
 
@@ -136,25 +184,25 @@ def mix(
         F.expr(f"xxhash64({hashed})").alias("tie"),
     )
     targets = settle(source_targets(rows.select("source", "size"), weights, most))
-    parts = targets.selectExpr("source AS s", "source_size", "target", f"CAST(ceil(source_docs / {part_docs}) AS bigint) AS parts")
+    parts = targets.selectExpr("source AS s", "source_size", "source_docs", "target", f"CAST(ceil(source_docs / {part_docs}) AS bigint) AS parts")
     shared = rows.join(parts, F.expr("source <=> s")).selectExpr(
         "row", "source", "size", "source_size", "target", "tie",
         f"least({most}D, coalesce(target / nullif(source_size, 0), 0)) AS wanted", "parts",
+        f"pmod(xxhash64(tie), source_docs) < {reserve} AS reserve",
     ).selectExpr(
-        "row", "source", "size", "source_size", "target", "tie", "CAST(pmod(tie, parts) AS bigint) AS part",
+        "row", "source", "size", "source_size", "target", "tie", "IF(reserve, 0L, CAST(pmod(tie, parts) AS bigint)) AS part", "reserve",
         "CAST(floor(wanted) AS int) AS whole", "wanted - floor(wanted) AS share",
     )
     left = parts.agg(F.max("parts")).first()[0] or 1
+    held = shared.where("reserve")  # about ``reserve`` rows of each source
     level, done = 0, []
-    open_rows = shared
-    while True:
-        last = left <= 1
-        settled = settle(_round(open_rows, level, seed, last))
+    open_rows = shared.where("NOT reserve")
+    while left > 1:
+        settled = settle(_round(open_rows, level, seed, None))
         done.append(settled.where("share <= 0 OR share >= 1"))
-        if last:
-            break
         open_rows = settled.where("share > 0 AND share < 1").withColumn("part", F.expr(f"part div {fan}"))
         left, level = -(-left // fan), level + 1
+    done.append(settle(_round(open_rows.unionByName(held), level, seed, most)))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
