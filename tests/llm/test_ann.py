@@ -59,12 +59,38 @@ def test_few_or_no_rows(spark):
     assert results(ann.search(one, "vec_id = 0").collect()) == {0: [(1, 2.0)]}
 
 
-def test_codes_estimate_within_bounds():
+def test_codes_estimate_within_bounds(monkeypatch):
+    """Over many rotations the estimates are unbiased, and their errors stay within the bounds."""
     rng = np.random.default_rng(2)
-    vectors, queries = rng.standard_normal((2000, 48)) + 1, rng.standard_normal((20, 48)) + 1
-    centre = vectors.mean(axis=0)
-    codes, norm, fit = ann.encode(vectors, centre)
-    assert codes.shape == (2000, 6)
-    middle, bound = ann.estimates(codes, norm, fit, centre, queries)
-    error = np.abs(middle - vectors @ queries.T)
-    assert (error <= bound).mean() > 0.99 and abs((middle - vectors @ queries.T).mean()) < 0.05
+    vectors, queries = rng.standard_normal((200, 48)) + 1, rng.standard_normal((10, 48)) + 1
+    centre, truth = vectors.mean(axis=0), vectors @ queries.T
+    errors, within = [], []
+    for seed in range(150):
+        q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((48, 48)))
+        monkeypatch.setattr(ann, "rotation", lambda dims, m=(q * np.sign(np.diag(r))).astype(np.float32): m)
+        codes, norm, fit = ann.encode(vectors, centre)
+        assert codes.shape == (200, 6)
+        middle, bound = ann.estimates(codes, norm, fit, centre, queries)
+        errors.append(middle - truth)
+        within.append(np.abs(middle - truth) <= bound)
+    errors = np.array(errors)
+    z = errors.mean(axis=0) / (errors.std(axis=0) / np.sqrt(len(errors)))
+    assert np.mean(within) > 0.99
+    assert np.abs(z).max() < 5 and abs(z.mean()) < 0.5 and abs(z.std() - 1) < 0.2
+
+
+def test_rows_of_one_id_are_different_vectors(spark):
+    data = [(20, [1.0, 0.0]), (1, [5.0, 0.0]), (1, [9.0, 0.0]), (2, [-3.0, 1.0]), (20, [2.0, 0.0])]
+    out = ann.search(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), "vec_id = 20", k=3).collect()
+    answers = sorted((r.rank, r.vec_id, r.score) for r in out)
+    assert answers == [(1, 1, 9.0), (1, 1, 18.0), (2, 1, 5.0), (2, 1, 10.0), (3, 20, 2.0), (3, 20, 2.0)]
+
+
+def test_all_products_negative(spark):
+    rng = np.random.default_rng(3)
+    data = [(i, (np.abs(rng.standard_normal(8)) * (1 if i % 20 == 0 else -1)).tolist()) for i in range(400) if i % 20 or i == 20]
+    out = ann.search(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), "vec_id = 20", k=5, block_vectors=50).collect()
+    ids, vectors = np.array([i for i, _ in data]), np.array([v for _, v in data])
+    got = results(out)[20]
+    want = brute(ids, vectors, 20, 5)
+    assert [i for i, _ in got] == [i for i, _ in want] and max(s for _, s in got) < 0

@@ -62,21 +62,24 @@ def estimates(codes: np.ndarray, norm: np.ndarray, fit: np.ndarray, centre: np.n
     return middle, np.outer(spread, np.linalg.norm(queries, axis=1)).astype(np.float32)
 
 
-def nearest(index: dict, ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query the places and exact inner products of its k nearest vectors of a block, nearest first."""
+def nearest(index: dict, rows: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per query the places and exact inner products of its k nearest vectors of a block, nearest first.
+
+    ``rows`` are the numbers of the queries' own rows, which are no candidates.
+    """
     out = []
-    for lo in range(0, len(ids), 64):
+    for lo in range(0, len(rows), 64):
         part = queries[lo:lo + 64]
         middle, bound = estimates(index["codes"], index["norm"], index["fit"], index["centre"], part)
         for j, query in enumerate(part):
-            usable = index["ids"] != ids[lo + j]
+            usable = index["rows"] != rows[lo + j]
             est = np.where(usable, middle[:, j], -np.inf)
             n = min(FIRST * k, len(est))
             first = np.argpartition(-est, n - 1)[:n]
             exact = index["vectors"][first] @ query
             exact = exact[usable[first]]
             reach = np.partition(exact, -k)[-k] if len(exact) >= k else -np.inf
-            asked = np.flatnonzero(usable & (middle[:, j] + bound[:, j] >= reach * (1 - 1e-6) - 1e-6))
+            asked = np.flatnonzero(usable & (middle[:, j] + bound[:, j] >= reach - 1e-6 * abs(reach) - 1e-6))
             asked = np.union1d(asked, first[usable[first]])
             score = (index["vectors"][asked] * query).sum(axis=1)
             best = np.lexsort((index["ids"][asked], -score))[:k]
@@ -85,8 +88,10 @@ def nearest(index: dict, ids: np.ndarray, queries: np.ndarray, k: int) -> list[t
 
 
 def usable_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """``(vec_id, v)`` of the rows that take part: no null, empty, zero or non-finite vector, no null id."""
-    rows = df.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    """``(vec_id, v, row)`` of the rows that take part: no null, empty, zero or non-finite vector, no null id."""
+    rows = df.select(
+        F.col(f"`{vec_id}`").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row")
+    )
     finite = "forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
     return rows.where(f"vec_id IS NOT NULL AND size(v) > 0 AND {finite} AND exists(v, x -> x <> 0)")
 
@@ -96,10 +101,7 @@ def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
 
 
 def build_index(rows: DataFrame, blocks: int) -> DataFrame:
-    """The index: a row per block with ids, codes, correction scalars and vectors.
-
-    Rows of one id in a block are one vector, the smallest by components.
-    """
+    """The index: a row per block with ids, rows, codes, correction scalars and vectors."""
     total = rows.count()
     draw = f"pmod(xxhash64(vec_id, {SEED}), 1000000) < 1000000D * {CENTRE_SAMPLE} / {max(1, total)}"
     sums = (
@@ -111,21 +113,18 @@ def build_index(rows: DataFrame, blocks: int) -> DataFrame:
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dims, block = key[0].as_py(), key[1].as_py()
-        vectors, ids = _matrix(table["v"], dims), table["vec_id"].to_numpy()
-        order = np.lexsort((*vectors.T[::-1], ids))
-        ids, vectors = ids[order], vectors[order]
-        own = np.append(True, ids[1:] != ids[:-1])
-        ids, vectors = ids[own], np.ascontiguousarray(vectors[own])
+        table = table.sort_by([("vec_id", "ascending"), ("row", "ascending")])
+        vectors, ids, own = _matrix(table["v"], dims), table["vec_id"].to_numpy(), table["row"].to_numpy()
         centre = np.array(centres.get(dims) or np.zeros(dims))
         codes, norm, fit = encode(vectors, centre)
-        blobs = [x.tobytes() for x in (ids.astype(np.int64), codes, norm, fit, centre, vectors)]
+        blobs = [x.tobytes() for x in (ids.astype(np.int64), own, codes, norm, fit, centre, vectors)]
         return pa.table({"dims": [dims], "block": [block]} | dict(zip(_BLOBS, ([b] for b in blobs), strict=True)))
 
-    keyed = rows.selectExpr("CAST(size(v) AS bigint) AS dims", f"pmod(xxhash64(vec_id), {blocks}) AS block", "vec_id", "v")
+    keyed = rows.selectExpr("CAST(size(v) AS bigint) AS dims", f"pmod(xxhash64(row), {blocks}) AS block", "vec_id", "v", "row")
     return keyed.groupBy("dims", "block").applyInArrow(run, "dims bigint, block bigint, " + ", ".join(f"{b} binary" for b in _BLOBS))
 
 
-_BLOBS = ["ids", "codes", "norm", "fit", "centre", "vectors"]
+_BLOBS = ["ids", "rows", "codes", "norm", "fit", "centre", "vectors"]
 
 
 def search(
@@ -135,8 +134,9 @@ def search(
     """The k nearest other vectors of every query: ``(query_id, rank, vec_id, score)``.
 
     ``is_query`` is an expression over ``vec_id``. Nearest first, ties to the smaller id; fewer
-    than k where there are fewer. Vectors of different lengths don't meet. An empty table, or one
-    without queries, gives no rows.
+    than k where there are fewer. Rows that share an id are different vectors: each is a candidate of
+    the others, and each that is a query has answers of its own. Vectors of different lengths don't
+    meet. An empty table, or one without queries, gives no rows.
     """
     rows = settle(usable_vectors(df, vec_id, vector))
     total = rows.count()
@@ -146,40 +146,39 @@ def search(
 
     def packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dims = key[0].as_py()
-        ids, vectors = table["vec_id"].to_numpy(), _matrix(table["v"], dims)
-        order = np.lexsort((*vectors.T[::-1], ids))
-        own = order[np.append(True, ids[order][1:] != ids[order][:-1])]
         return pa.table({
-            "dims": [dims], "part": [key[1].as_py()],
-            "q_ids": [ids[own].astype(np.int64).tobytes()], "q_vectors": [np.ascontiguousarray(vectors[own]).tobytes()],
+            "dims": [dims], "part": [key[1].as_py()], "q_ids": [table["vec_id"].to_numpy().astype(np.int64).tobytes()],
+            "q_rows": [table["row"].to_numpy().tobytes()], "q_vectors": [np.ascontiguousarray(_matrix(table["v"], dims)).tobytes()],
         })
 
-    asked = rows.where(is_query).selectExpr("CAST(size(v) AS bigint) AS dims", f"pmod(xxhash64(vec_id), {query_blocks}) AS part", "vec_id", "v")
-    queries = asked.groupBy("dims", "part").applyInArrow(packed, "dims bigint, part bigint, q_ids binary, q_vectors binary")
+    asked = rows.where(is_query).selectExpr("CAST(size(v) AS bigint) AS dims", f"pmod(xxhash64(row), {query_blocks}) AS part", "vec_id", "v", "row")
+    queries = asked.groupBy("dims", "part").applyInArrow(packed, "dims bigint, part bigint, q_ids binary, q_rows binary, q_vectors binary")
     # A block of queries goes to every block of vectors.
     spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found: list[list] = [[], [], []]
+        found: list[list] = [[], [], [], []]
         for r in batch.to_pylist():
             dims = r["dims"]
             part = {
-                "ids": np.frombuffer(r["ids"], np.int64), "norm": np.frombuffer(r["norm"]), "fit": np.frombuffer(r["fit"]),
+                "ids": np.frombuffer(r["ids"], np.int64), "rows": np.frombuffer(r["rows"], np.int64), "norm": np.frombuffer(r["norm"]), "fit": np.frombuffer(r["fit"]),
                 "centre": np.frombuffer(r["centre"]), "vectors": np.frombuffer(r["vectors"]).reshape(-1, dims),
                 "codes": np.frombuffer(r["codes"], np.uint8).reshape(-1, -(-dims // 8)),
             }
-            ids, vectors = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_vectors"]).reshape(-1, dims)
-            for own, (places, scores) in zip(ids, nearest(part, ids, vectors, k), strict=True):
-                found[0].append(int(own))
-                found[1].append(part["ids"][places].tolist())
-                found[2].append(scores.tolist())
-        arrays = [pa.array(found[0], pa.int64()), pa.array(found[1], pa.list_(pa.int64())), pa.array(found[2], pa.list_(pa.float64()))]
-        return pa.RecordBatch.from_arrays(arrays, ["query_id", "ids", "scores"])
+            ids, own = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_rows"], np.int64)
+            vectors = np.frombuffer(r["q_vectors"]).reshape(-1, dims)
+            for q, row, (places, scores) in zip(ids, own, nearest(part, own, vectors, k), strict=True):
+                found[0].append(int(q))
+                found[1].append(int(row))
+                found[2].append(part["ids"][places].tolist())
+                found[3].append(scores.tolist())
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(found, kinds, strict=True)], ["query_id", "query_row", "ids", "scores"])
 
     lists = index.join(spread, ["dims", "block"]).repartition(F.col("block"), F.col("part")).mapInArrow(
-        by_batch(run), "query_id bigint, ids array<bigint>, scores array<double>"
+        by_batch(run), "query_id bigint, query_row bigint, ids array<bigint>, scores array<double>"
     )
-    flat = lists.select("query_id", F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    flat = lists.select("query_id", "query_row", F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = flat.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
