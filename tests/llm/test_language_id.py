@@ -1,8 +1,11 @@
 """Language identification: held-out accuracy, normalised models, rejection and edges."""
 
+from collections import Counter
+
 import numpy as np
 
 from trialstats.llm import catalog, language_id
+from trialstats.llm.hashes import discounts
 
 SCHEMA = "doc_id bigint, text string, lang string"
 
@@ -84,3 +87,40 @@ def test_many_languages_share_the_budget(spark, monkeypatch):
 def test_a_language_of_one_text_is_learned(spark):
     df = spark.createDataFrame([(f"one text {i}", f"l{i}") for i in range(40)], "text string, lang string")
     assert language_id._sample(df, 10).where("NOT held").count() == 40
+
+
+def plain_model(texts, order, symbols):
+    """Interpolated modified Kneser-Ney by dictionaries: the probability of a character behind a string."""
+    pad = " " * (order - 1)
+    counts = {order: Counter((pad + t)[i:i + order] for t in texts for i in range(len(t)))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    d = {n: discounts(np.array([sum(c == k for c in cs.values()) for k in (1, 2, 3, 4)])) for n, cs in counts.items()}
+
+    def p(context, c, n=order):
+        if n == 0:
+            return 1 / symbols
+        own = context[len(context) - n + 1:]
+        follow = {g: x for g, x in counts[n].items() if g[:-1] == own}
+        total = sum(follow.values())
+        if not total:
+            return p(context, c, n - 1)
+        left = sum(d[n][min(x, 3)] for x in follow.values())
+        x = follow.get(own + c, 0)
+        return (x - d[n][min(x, 3)] + left * p(context, c, n - 1)) / total
+
+    return lambda text: [p((pad + text)[i:i + order - 1], text[i]) for i in range(len(text))]
+
+
+def test_probabilities_equal_a_plain_model(spark):
+    docs = [(t, lang) for _, t, lang in rows(spark)[::7]] + [("a", "en"), ("ab ab", "en"), ("the the", "de")]
+    counts = language_id._counts(spark.createDataFrame(docs, "text string, lang string")).toArrow()
+    models = language_id.Models(counts)
+    clean = {x: ["".join(map(chr, language_id.characters(t)[0])) for t, own in docs if own == x] for x in models.langs}
+    symbols = len({c for texts in clean.values() for t in texts for c in t}) + 1
+    plain = [plain_model(clean[x], language_id.ORDER, symbols) for x in models.langs]
+    for text in ("the quick", "a", "der hund", "zebra fox", "ab the fuchs", "qq"):
+        points, begins = language_id._joined([language_id.characters(text)[0]])
+        at = np.arange(begins[0], begins[0] + len(text))
+        got = np.exp(models._log_p(language_id.gram_keys(points), at))
+        assert np.allclose(got, np.array([m(text) for m in plain]).T, rtol=1e-4), text

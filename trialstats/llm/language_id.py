@@ -166,7 +166,9 @@ class GroupModels:
         key, context, suffix = (np.ascontiguousarray(counts[c].to_numpy()).view(np.uint64) for c in ("key", "context", "suffix"))
         size = len(self.langs)
         self.index: list[SortedHashes] = [SortedHashes(np.zeros(1, np.uint64))]
-        self.index += [SortedHashes(np.unique(key[n == k])) for k in range(1, ORDER + 1)]
+        # What stands before the first character is a context, too, though nothing predicts it.
+        start = gram_keys(_joined([np.zeros(0, np.uint32)])[0])
+        self.index += [SortedHashes(np.unique(np.append(key[n == k], start[k][-1:] if k < ORDER else key[:0]))) for k in range(1, ORDER + 1)]
         lower = np.full((1, size), 1.0 / symbols)
         self.log_p, self.log_left = [np.log(lower).astype(np.float32)], []
         for k in range(1, ORDER + 1):
@@ -180,8 +182,13 @@ class GroupModels:
                 np.add.at(adjusted, (self.index[k].find(suffix[longer]), lang[longer]), 1)
             before = np.zeros(len(adjusted), np.int64)
             before[at] = self.index[k - 1].find(context[rows])
+            if (before[at] < 0).any():
+                raise AssertionError("a context of the training texts is missing")
             after = np.zeros(len(adjusted), np.int64)
             after[at] = self.index[k - 1].find(suffix[rows])
+            if 1 < k < ORDER:  # the start backs off to a shorter one
+                place = self.index[k].find(start[k][-1:])
+                before[place] = after[place] = self.index[k - 1].find(start[k - 1][-1:])
             total = np.zeros((len(self.index[k - 1].keys), size))
             left = np.zeros_like(total)
             off = np.zeros_like(adjusted)
