@@ -76,3 +76,15 @@ def test_clashing_names_repeats_and_empty(spark):
     out = quality.judge(df).collect()
     assert len(out) == 3 and not any(r.kept for r in out)
     assert quality.judge(df.limit(0)).count() == 0
+
+
+def test_repeated_words_can_reject_alone(spark):
+    rng = random.Random(9)
+    words = [f"{chr(97 + i % 26)}ord{i:03}x" for i in range(900)]
+    texts = [" ".join(rng.sample(words, 120)) for _ in range(200)]
+    passage = " ".join(rng.sample(words, 10))
+    odd = " ".join([*rng.sample(words, 60), passage, *rng.sample(words, 45), passage])
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate([*texts, odd])], SCHEMA)
+    got = {r.doc_id: r for r in quality.verdicts(df).collect()}
+    assert (got[200].base_failed, got[200].kept, got[200].failed) == (False, False, "repeat_share")
+    assert all(got[i].kept for i in range(200))

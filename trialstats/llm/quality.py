@@ -28,11 +28,12 @@ GROUP_DOCS = 100
 REACH = 4.0
 # Rules: the measure, and the least distance of its fences from the middle half. Lower fences
 # exist where a small value is bad, too. The mean of fewer than 20 word lengths says too little.
+# Repeated words have a fence well below the cutoff of the base rule, so that it can act.
 RULES = {
     "word_length": ("IF(n_words >= 20, word_chars / n_words, NULL)", 1.5, True),
     "symbol_share": ("n_symbols / n_words", 0.1, False),
     "dup_line_share": ("n_dup_lines / n_lines", 0.4, False),
-    "repeat_share": ("n_repeat_words / n_words", 0.2, False),
+    "repeat_share": ("n_repeat_words / n_words", 0.12, False),
     "upper_share": ("n_upper / word_chars", 0.25, False),
 }
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
@@ -105,7 +106,8 @@ def fences(measures: DataFrame, group_docs: int = GROUP_DOCS, reach: float = REA
     """
     sketched = [F.expr(f"kll_sketch_agg_double(CAST({e} AS double)) AS {r}") for r, (e, _, _) in RULES.items()]
     merged = [F.expr(f"kll_merge_agg_double({r}) AS {r}") for r in RULES]
-    groups = measures.where("n_words > 0").groupBy("lang", "source").agg(F.count("*").alias("n"), *sketched)
+    # Written once, as the sketches are merged and read: the texts are measured once for them.
+    groups = settle(measures.where("n_words > 0").groupBy("lang", "source").agg(F.count("*").alias("n"), *sketched))
     langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
     everything = langs.groupBy().agg(*merged)
 
