@@ -48,9 +48,21 @@ def test_plan_stays_distributed(spark, name):
             assert ", []," not in line
 
 
-@pytest.mark.parametrize("name,tables", [("describe_by_trial", 1), ("describe_cut", 1), ("levene_cut", 1), ("trial_construct_duration", 2)])
+@pytest.mark.parametrize("name,tables", [("describe_by_trial", 1), ("describe_cut", 1), ("levene_cut", 1), ("describe_with_total", 1), ("trial_construct_duration", 2)])
 def test_input_is_read_once(spark, name, tables):
     df = queries()[name](spark, SF)
     df.collect()
     executed = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert executed.count("Scan parquet") == tables
+
+
+def test_totals_are_counted_from_frequencies(spark):
+    df = queries()["describe_with_total"](spark, SF)
+    df.collect()
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["warmup_trim", "warmup_trim_long"])
+def test_warmup_sends_n_starts_of_a_group(spark, name):
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

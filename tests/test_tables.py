@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from trialstats.plans import driver, experiment, trial
 from trialstats.sources.schemas import schema, tables
-from trialstats.sources.tables import read_table, settle, write_table, write_tables
+from trialstats.sources import tables as stored_tables
+from trialstats.sources.tables import finish_write, read_table, settle, write_table, write_tables
 from workload import bindings
 
 SF = "/root/testdata/sf0.001"
@@ -118,6 +120,125 @@ def test_key_slice_prunes_directories(spark, tmp_path):
     assert "PartitionFilters" in plan and "trial_id" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+SIZES = "trial_byte_size"
+
+
+def sizes_of(spark, root):
+    return sorted((str(r["trial_id"]), r["size"]) for r in read_table(spark, root, SIZES).collect())
+
+
+def test_write_that_dies_midway_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    """The second write loses a directory, replaces another and dies; the rerun has every row."""
+    root = str(tmp_path)
+    rows = [("e", f"t{i}", i) for i in range(6)] + [("e", None, 9)]
+    frame = lambda data: spark.createDataFrame(data, schema(SIZES))
+    write_table(frame(rows), root, SIZES, key=["experiment_id", "trial_id", "size"])
+    update = frame([("e", f"t{i}", 10 + i) for i in range(4)] + [("e", None, 99)])
+    replace = stored_tables._replace
+
+    def dies(df, path, by):
+        replace(df.where("trial_id = 't0'"), path, by)
+        files, at = stored_tables._files(spark, f"{path}/experiment_id=e/trial_id=t1")
+        assert files.delete(at, True)
+        raise OSError("the driver is lost")
+
+    monkeypatch.setattr(stored_tables, "_replace", dies)
+    with pytest.raises(OSError):
+        write_table(update, root, SIZES, key=["experiment_id", "trial_id", "size"])
+    assert ("t1", 1) not in sizes_of(spark, root)
+    monkeypatch.undo()
+    write_table(update, root, SIZES, key=["experiment_id", "trial_id", "size"])
+    want = [(str(t), n) for _, t, n in rows] + [(f"t{i}", 10 + i) for i in range(4)] + [("None", 99)]
+    assert sizes_of(spark, root) == sorted(want)
+    assert not finish_write(spark, root, SIZES)
+
+
+def test_write_that_dies_before_it_is_prepared_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([("e", "t1", 1), ("e", "t2", 2)], schema(SIZES))
+    write_table(rows, root, SIZES)
+    spark.createDataFrame([("e", "t1", 7)], schema(SIZES)).write.partitionBy("experiment_id", "trial_id").parquet(f"{root}/_pending/{SIZES}")
+    (tmp_path / "_pending" / SIZES / "_SUCCESS").unlink()
+    write_table(spark.createDataFrame([("e", "t2", 20)], schema(SIZES)), root, SIZES)
+    assert sizes_of(spark, root) == [("t1", 1), ("t2", 20)]
+
+
+def test_finished_by_hand(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    write_table(spark.createDataFrame([("e", "t1", 1), ("e", "t2", 2)], schema(SIZES)), root, SIZES)
+    replace, calls = stored_tables._replace, []
+    monkeypatch.setattr(stored_tables, "_replace", lambda *a: calls.append(a))
+    write_table(spark.createDataFrame([("e", "t2", 20)], schema(SIZES)), root, SIZES)
+    assert len(calls) == 1 and sizes_of(spark, root) == [("t1", 1), ("t2", 2)]
+    monkeypatch.setattr(stored_tables, "_replace", replace)
+    assert not finish_write(spark, root, SIZES)  # it was taken for done
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_table_of_slices_prunes_directories_at_run_time(spark, tmp_path):
+    rows = spark.createDataFrame([("e", f"t{i}", i) for i in range(40)] + [("e", None, 99)], schema(SIZES))
+    write_table(rows, str(tmp_path), SIZES)
+    wanted = spark.createDataFrame([("e", "t3"), ("e", "t7"), ("e", "t7"), ("x", "t9"), ("e", None)], "experiment_id string, trial_id string")
+    part = read_table(spark, str(tmp_path), SIZES, slices=wanted)
+    assert "dynamicpruning" in executed(part)
+    scan = next(n for n in _nodes(part._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan parquet"))
+    assert scan.metrics().apply("numPartitions").value() == 3  # of 41: pruning goes by each column, the join by all
+    assert sorted(r["size"] for r in part.collect()) == [3, 7]
+    only = read_table(spark, str(tmp_path), SIZES, slices=wanted.select("trial_id").where("trial_id = 't9'"))
+    assert [r["size"] for r in only.collect()] == [9]
+    assert read_table(spark, str(tmp_path), SIZES, slices=wanted.limit(0)).count() == 0
+
+
+def _nodes(plan):
+    """All nodes of an executed plan, through adaptive parts and query stages."""
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        yield node
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+
+
+def test_large_tables_of_slices_are_not_broadcast(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("e", f"t{i}", i) for i in range(9)], schema(SIZES))
+    write_table(rows, str(tmp_path), SIZES)
+    monkeypatch.setattr(stored_tables, "MAX_SLICES", 1)
+    wanted = spark.createDataFrame([("e", "t3"), ("e", "t7")], "experiment_id string, trial_id string")
+    part = read_table(spark, str(tmp_path), SIZES, slices=wanted)
+    assert "rightHint=(strategy=broadcast)" not in part._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["size"] for r in part.collect()) == [3, 7]
+
+
+def test_results_of_a_job_share_one_scan(spark):
+    """No plan of a result reads the input again: it is evaluated once, when the counts are settled."""
+    readings, hosts, containers = bindings.environment_data(spark, SF), bindings.host_properties(spark, SF), bindings.container_properties(spark, SF)
+    process, construct, details = bindings.process(spark, SF), bindings.construct(spark, SF), bindings.faban_details(spark, SF)
+    pairs = {
+        "trial_process_duration": (trial.trial_process_duration_results(process), trial.trial_process_duration(process)),
+        "trial_process_duration_modes": (trial.trial_process_duration_results(process), trial.trial_process_duration_modes(process)),
+        "trial_construct_duration": (trial.trial_construct_duration_results(construct), trial.trial_construct_duration(construct)),
+        "trial_ram_modes": (trial.trial_ram_results(readings, containers, hosts), trial.trial_ram_modes(readings)),
+        "trial_faban_details": (trial.trial_driver_details_results(details), None),
+        "trial_faban_details_modes": (trial.trial_driver_details_results(details), None),
+        "exp_faban_ops_custom_stats_target_absolute": (driver.custom_stats(bindings.faban_driver_custom_stats(spark, SF)), None),
+        "exp_faban_ops_custom_stats_target_statistic": (driver.custom_stats(bindings.faban_driver_custom_stats(spark, SF)), None),
+    }
+    for name, (results, alone) in pairs.items():
+        assert "Scan parquet" not in executed(results[name]), name
+        if alone is not None:
+            assert results[name].select(alone.columns).exceptAll(alone).count() == 0
+            assert results[name].count() == alone.count()
+
+
 def test_two_results_of_one_job_and_the_next_level(spark, tmp_path):
     root = str(tmp_path)
     process = bindings.process(spark, SF)

@@ -50,7 +50,7 @@ def test_against_brute_force(spark):
         (f"t{rng.integers(3)}", f"p{min(rng.integers(6), 3)}", f"i{i:04d}", int(rng.integers(60))) for i in range(600)
     ]
     for n in (1, 5, 40, 10_000):
-        left = trim_warmup(spark.createDataFrame(rows, SCHEMA), n, ["trial_id"], slice_rows=20).collect()
+        left = trim_warmup(spark.createDataFrame(rows, SCHEMA), n, ["trial_id"]).collect()
         assert sorted(tuple(r) for r in left) == brute(rows, n), n
 
 
@@ -64,7 +64,7 @@ def test_nanosecond_starts_are_exact(spark):
     rows = [("t", "p", f"i{i:05d}", 1_458_302_465_517_955_063 + i) for i in range(1500)]
     df = spark.createDataFrame(rows, SCHEMA)
     for n in (1000, 1001):
-        assert trim_warmup(df, n, ["trial_id"], slice_rows=100).count() == 1500 - n
+        assert trim_warmup(df, n, ["trial_id"]).count() == 1500 - n
 
 
 def test_null_definition_and_trial_count(spark):

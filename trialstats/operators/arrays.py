@@ -26,12 +26,29 @@ def describe_cores(
     order: Column | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Summary per ``keys`` and ``core`` (0-based position); null arrays are skipped."""
+    """Summary per ``keys`` and ``core`` (0-based position); null arrays are skipped.
+
+    Every reading has a cell for each core, and all cells are shuffled. They carry two hashes of
+    their keys (128 bits together) instead of the keys themselves, which one small aggregation of
+    the readings gives back at the end.
+    """
     at = [order.alias("at")] if order is not None else []
-    cells = df.where(F.col(array).isNotNull()).select(*keys, *at, F.posexplode(array).alias("core", "usage"))
-    return describe(
-        cells, [*keys, "core"], "usage", F.col("at") if at else None, slice_rows=slice_rows
-    )
+    present = df.where(F.col(array).isNotNull())
+    coded = present.select(*keys, *[F.expr(f"{e} AS {n}") for n, e in _codes(keys).items()], *at, F.col(array).alias("cells"))
+    cells = coded.select(*CODES, *["at" for _ in at], F.posexplode("cells").alias("core", "usage"))
+    stats = describe(cells, [*CODES, "core"], "usage", F.col("at") if at else None, slice_rows=slice_rows)
+    names = coded.groupBy(*CODES).agg(F.min(F.struct(*keys)).alias("named"))
+    return stats.join(names, CODES).select("named.*", *[c for c in stats.columns if c not in CODES])
+
+
+# Columns that stand for the keys of a reading.
+CODES = ["code_a", "code_b"]
+
+
+def _codes(keys: Sequence[str]) -> dict[str, str]:
+    """Two independent hashes of the keys; a null part counts as one, and not as if it weren't there."""
+    parts = ", ".join(f"{k} IS NULL, {k}" for k in keys)
+    return {name: f"xxhash64({seed}, {parts})" for seed, name in enumerate(CODES)}
 
 
 def assemble_cores(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import SLICE_ROWS, frequencies, ranked, with_part_totals
+from trialstats.operators.ranking import SLICE_ROWS, frequencies, rank, with_part_totals
 
 # Name of each reported quantile and its index in the percentile array.
 QUANTILES = {"q1": 25, "q2": 50, "q3": 75, "p90": 90, "p95": 95, "p99": 99}
@@ -115,8 +115,13 @@ def describe(
     frequency of the most frequent values; ``mode_rows`` has them all.
     ``total_of`` adds a row over those keys, labelled ``all``.
     """
-    rows = ranked(df, keys, value, order, total_of, slice_rows)
-    return summarise(rows, modes, order is not None).select("g.*", *_names(modes, order is not None))
+    return summary_of(frequencies(df, keys, value, order, total_of), modes, slice_rows)
+
+
+def summary_of(freq: DataFrame, modes: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The summary of ``describe`` from ``frequencies``, which ``modes_of`` can share once they are settled."""
+    integral = "first_at" in freq.columns
+    return summarise(rank(freq, slice_rows), modes, integral).select("g.*", *_names(modes, integral))
 
 
 def _names(modes: bool, integral: bool) -> list[str]:
@@ -166,9 +171,13 @@ def mode_rows(
     Frequencies are joined to the largest one of their group over value-hashed parts of the
     group, so a group in which every value ties is never gathered.
     """
-    freq = frequencies(df, keys, value, total_of=total_of).where(F.col("v").isNotNull())
-    freq = freq.withColumn("part", F.expr("pmod(xxhash64(v), 256)"))
-    rows = with_part_totals(freq, ["max(cnt) AS part_max"], {"max_cnt": "max(part_max) OVER w"})
+    return modes_of(frequencies(df, keys, value, total_of=total_of))
+
+
+def modes_of(freq: DataFrame) -> DataFrame:
+    """The rows of ``mode_rows`` from ``frequencies``."""
+    present = freq.where(F.col("v").isNotNull()).withColumn("part", F.expr("pmod(xxhash64(v), 256)"))
+    rows = with_part_totals(present, ["max(cnt) AS part_max"], {"max_cnt": "max(part_max) OVER w"})
     return rows.where(_IS_MODE).selectExpr("g.*", "v AS mode", "cnt AS mode_freq")
 
 

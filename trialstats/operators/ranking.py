@@ -86,11 +86,17 @@ def frequencies(
 
     labels = list(total_of)
     outer = [k for k in keys if k not in labels]
-    grouped = source.groupingSets(
-        [[*outer, *labels, "v"], [*outer, "v"]], *outer, *labels, "v"
-    ).agg(*counted, F.expr(f"grouping({labels[0]}) AS is_total"))
-    named = ", ".join(f"'{k}', {total_or(k) if k in labels else k}" for k in keys)
-    return grouped.where(keep_total_label(labels)).selectExpr(f"named_struct({named}) AS g", "v", *kept)
+    own = source.groupBy(*keys, "v").agg(*counted)
+    # The total is counted from the frequencies, not from the readings. Both parts read all of their columns,
+    # and the filter looks at a count, so that they share one shuffle.
+    everywhere = own.where("cnt >= 0 AND pick IS NOT NULL" + (" AND coalesce(first_at <= last_at, true)" if order is not None else ""))
+    again = [F.expr("sum(cnt) AS cnt"), F.expr(f"min(xxhash64({', '.join([*outer, 'v'])})) AS pick")]
+    again += [F.expr(f"{fn}({c}) AS {c}") for fn, c in (("min", "first_at"), ("max", "last_at")) if c in kept]
+    total = everywhere.groupBy(*outer, "v").agg(*again)
+    named = ", ".join(f"'{k}', {f"'{TOTAL}'" if k in labels else k}" for k in keys)
+    is_reserved = " AND ".join(f"{label} <=> '{TOTAL}'" for label in labels)
+    groups = own.where(f"IF(cnt >= 0, NOT ({is_reserved}), false)").selectExpr(pack(keys), "v", *kept)
+    return groups.unionByName(total.selectExpr(f"named_struct({named}) AS g", "v", *kept))
 
 
 def total_or(label: str) -> str:
@@ -168,22 +174,14 @@ def with_totals(rows: DataFrame, totals: Totals, before: Totals | None = None) -
     )
 
 
-def ranked(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str | Column,
-    order: Column | None = None,
-    total_of: Sequence[str] = (),
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """One row per (group, value) with its rank and the totals of its group.
+def rank(freq: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """One row per (group, value) of ``frequencies`` with its rank and the totals of its group.
 
     Columns: ``g`` (keys as a struct), ``slice``, ``big``, ``v``, ``cnt``, ``below``
     (readings of the group before this value), ``n``, ``mean``, ``max_cnt``, ``n_values``
-    and, with ``order``, ``is_first`` / ``is_last`` (the value was read first / last; when
-    several values were, all are marked).
+    and, if the frequencies have an order, ``is_first`` / ``is_last`` (the value was read first /
+    last; when several values were, all are marked).
     """
-    freq = sliced(frequencies(df, keys, value, order, total_of), slice_rows)
     totals = {
         "n": ("sum", "cnt"),
         "total": ("sum", "CAST(v AS double) * cnt"),
@@ -191,17 +189,29 @@ def ranked(
         "n_values": ("sum", "IF(v IS NULL, 0, 1)"),
     }
     ends = []
-    if order is not None:
+    if "first_at" in freq.columns:
         totals |= {"g_first": ("min", "first_at"), "g_last": ("max", "last_at")}
         ends = ["first_at = g_first AS is_first", "last_at = g_last AS is_last"]
     running = f"sum(cnt) OVER (PARTITION BY {SLICE} ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    rows = with_totals(freq.selectExpr("*", f"{running} AS inside"), totals, {"base": ("sum", "cnt")})
+    rows = with_totals(sliced(freq, slice_rows).selectExpr("*", f"{running} AS inside"), totals, {"base": ("sum", "cnt")})
     return rows.selectExpr(
         "g", "slice", "big", "v", "cnt", "coalesce(inside, 0) + coalesce(base, 0) AS below", "n",
         "total / nullif(n, 0) AS mean", "max_cnt", "n_values", *ends,
     )
 
 
+def ranked(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str | Column,
+    order: Column | None = None,
+    total_of: Sequence[str] = (),
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """``rank`` of the frequencies of ``value`` per ``keys``."""
+    return rank(frequencies(df, keys, value, order, total_of), slice_rows)
+
+
 def with_part_totals(rows: DataFrame, partial: Sequence[str], total: Mapping[str, str]) -> DataFrame:
     """Attach statistics of the group ``g`` to rows that are spread over hashed parts.
 

@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialstats.operators.ranking import SLICE_ROWS, join_on, ranked
+from trialstats.operators.ranking import join_on
 
 # Instances of one trial are spread over this many parts.
 PARTS = 64
 
 
-def _nth_starts(
-    df: DataFrame, keys: Sequence[str], definition: str, start: Column, n: int, slice_rows: int
-) -> DataFrame:
-    """Start of the n-th earliest instance per definition that has one, as ``nth``."""
+def _nth_starts(df: DataFrame, keys: Sequence[str], definition: str, start: Column, n: int) -> DataFrame:
+    """Start of the n-th earliest instance per definition that has one, as ``nth``.
+
+    A limited window: every task sends the ``n`` earliest starts of a definition at most, as Spark cuts the
+    groups of ``row_number() <= n`` before the shuffle (for an ``n`` up to the threshold in ``SETTINGS``).
+    """
     named = [*keys, definition]
-    # The ranking of a group works for any n, in whole microseconds or in the numbers given.
-    rows = df.select(*named, start.alias("started")).where(F.col("started").isNotNull())
-    timed = dict(rows.dtypes)["started"] == "timestamp"
-    holds = (F.col("below") < n) & (F.col("below") + F.col("cnt") >= n) & (F.col("cnt") > 0)
-    at = F.unix_micros("started") if timed else F.col("started")
-    nth = ranked(rows.withColumn("at", at), named, "at", slice_rows=slice_rows).where(holds)
-    return nth.select("g.*", (F.timestamp_micros("v") if timed else F.col("v")).alias("nth"))
+    rows = df.select(*named, start.alias("nth")).where(F.col("nth").isNotNull())
+    earliest = Window.partitionBy(*named).orderBy("nth")
+    return rows.withColumn("no", F.row_number().over(earliest)).where(F.col("no") <= n).where(F.col("no") == n).drop("no")
 
 
 def trim_warmup(
@@ -34,7 +32,6 @@ def trim_warmup(
     definition: str = "process_definition_id",
     instance: str = "source_process_instance_id",
     start: str = "start_time",
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Drop the start of each trial until every definition has run ``n`` times.
 
@@ -44,7 +41,7 @@ def trim_warmup(
     (start, id), goes. A trial in which no definition has ``n`` instances stays as it is.
     """
     time = F.col(start).cast("timestamp") if dict(df.dtypes)[start].startswith("timestamp") else F.col(start)
-    nth = _nth_starts(df, keys, definition, time, n, slice_rows)
+    nth = _nth_starts(df, keys, definition, time, n)
     latest = nth.groupBy(*keys).agg(F.max("nth").alias("cut_time"))
     last_definitions = join_on(nth, latest, keys).where(F.col("nth") == F.col("cut_time"))
     # Joining on the instant as well spreads a definition that owns most instances.

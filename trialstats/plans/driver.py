@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialstats.operators.describe import describe, describe_measures, mode_rows, prefixed
+from trialstats.operators.describe import describe, describe_measures, mode_rows, modes_of, prefixed, summary_of
 from trialstats.operators.groups import every
-from trialstats.operators.ranking import join_on
+from trialstats.operators.ranking import frequencies, join_on
 from trialstats.plans.experiment import measure_modes
+from trialstats.sources.tables import settle
 
 # Fixed value: the target that marks a custom statistic as an absolute figure.
 ABSOLUTE = "absolute"
@@ -126,8 +127,20 @@ def custom_statistic(stats: DataFrame) -> DataFrame:
 
 
 def custom_stats(stats: DataFrame) -> dict[str, DataFrame]:
-    """Both results of the custom statistics under the names of their tables."""
+    """The results of the custom statistics under the names of their tables, from one scan.
+
+    Readings are counted once per statistic, value and whether the target is absolute; the settled
+    counts are routed to the summary and modes of the absolute ones and to the ends of the others.
+    """
+    rows = _custom(stats).withColumn("is_absolute", F.col("target").eqNullSafe(ABSOLUTE))
+    counted = settle(frequencies(rows, [*CUSTOM, "is_absolute"], "result"))
+    keys = f"struct({', '.join(f'g.{c}' for c in CUSTOM)}) AS g"
+    absolute = counted.where("g.is_absolute").withColumn("g", F.expr(keys.removesuffix(" AS g")))
+    others = counted.where("NOT g.is_absolute").groupBy(F.expr(keys)).agg(
+        F.min("v").alias("faban_stat_min"), F.max("v").alias("faban_stat_max")
+    )
     return {
-        "exp_faban_ops_custom_stats_target_absolute": custom_absolute(stats),
-        "exp_faban_ops_custom_stats_target_statistic": custom_statistic(stats),
+        "exp_faban_ops_custom_stats_target_absolute": prefixed(summary_of(absolute, modes=True), CUSTOM, "faban_stat"),
+        "exp_faban_ops_custom_stats_target_absolute_modes": modes_of(absolute),
+        "exp_faban_ops_custom_stats_target_statistic": others.select("g.*", "faban_stat_min", "faban_stat_max"),
     }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trialstats.functions.parsing import byte_size, cpu_set_size, reading_order
 from trialstats.operators.arrays import TRIAL_CORE, assemble_cores, describe_cores
-from trialstats.operators.describe import MODES, SUMMARY, describe, mode_rows, prefixed
+from trialstats.operators.describe import MODES, SUMMARY, describe, mode_rows, modes_of, prefixed, summary_of
 from trialstats.operators.groups import (
     TOTAL,
     count_with_total,
@@ -22,7 +22,8 @@ from trialstats.operators.groups import (
     throughput,
     with_total,
 )
-from trialstats.operators.ranking import join_on
+from trialstats.operators.ranking import frequencies, join_on
+from trialstats.sources.tables import settle
 
 TRIAL = ["experiment_id", "trial_id"]
 CONTAINER = [*TRIAL, "container_id", "container_name", "host_id"]
@@ -62,17 +63,21 @@ def _efficiency(prefix: str, capacity: Column) -> Column:
     return F.col(f"{prefix}_integral") / F.nullif(full, F.lit(0.0))
 
 
-def _usage(data: DataFrame, measure: str, prefix: str, modes: bool) -> DataFrame:
+def _readings(data: DataFrame, measure: str) -> DataFrame:
+    """Frequencies of a usage measure per container, with the order of the readings."""
     present = data.where(F.col(measure).isNotNull())
-    stats = describe(present, CONTAINER, measure, reading_order(F.col("read_time")), modes=modes)
-    return prefixed(stats, CONTAINER, prefix).withColumn(
+    return frequencies(present, CONTAINER, measure, reading_order(F.col("read_time")))
+
+
+def _usage(readings: DataFrame, prefix: str, modes: bool) -> DataFrame:
+    return prefixed(summary_of(readings, modes), CONTAINER, prefix).withColumn(
         "relative_efficency", _efficiency(prefix, F.col(f"{prefix}_max"))
     )
 
 
 def trial_cpu(environment: DataFrame, containers: DataFrame, hosts: DataFrame) -> DataFrame:
     """CPU usage per container and trial, with efficiency against the peak and against 100 %."""
-    stats = _usage(environment, "cpu_percent_usage", "cpu", modes=False)
+    stats = _usage(_readings(environment, "cpu_percent_usage"), "cpu", modes=False)
     names = [f"cpu_{s}" for s in [*SUMMARY, "integral"]]
     return _with_properties(stats, containers, hosts).select(
         *CONTAINER,
@@ -106,7 +111,17 @@ def trial_cpu_core(environment: DataFrame, containers: DataFrame, hosts: DataFra
 
 def trial_ram(environment: DataFrame, containers: DataFrame, hosts: DataFrame) -> DataFrame:
     """Memory usage per container and trial, with efficiency against peak and capacity."""
-    stats = _usage(environment, "memory_usage", "ram", modes=True)
+    return _ram(_readings(environment, "memory_usage"), containers, hosts)
+
+
+def trial_ram_results(environment: DataFrame, containers: DataFrame, hosts: DataFrame) -> dict[str, DataFrame]:
+    """Summary and modes of the memory usage under the names of their tables, from one scan of the readings."""
+    readings = settle(_readings(environment, "memory_usage"))
+    return {"trial_ram": _ram(readings, containers, hosts), "trial_ram_modes": modes_of(readings)}
+
+
+def _ram(readings: DataFrame, containers: DataFrame, hosts: DataFrame) -> DataFrame:
+    stats = _usage(readings, "ram", modes=True)
     names = [f"ram_{s}" for s in [*SUMMARY, *MODES, "integral"]]
     return _with_properties(stats, containers, hosts).select(
         *CONTAINER,
@@ -164,6 +179,15 @@ def trial_process_duration_modes(process: DataFrame) -> DataFrame:
     return mode_rows(_processes(process), PROCESS, "duration", total_of=["process_definition_id"])
 
 
+def trial_process_duration_results(process: DataFrame) -> dict[str, DataFrame]:
+    """Summary and modes of the durations under the names of their tables, from one scan of the instances."""
+    freq = settle(frequencies(_processes(process), PROCESS, "duration", total_of=["process_definition_id"]))
+    return {
+        "trial_process_duration": prefixed(summary_of(freq, modes=True), PROCESS, "process_duration"),
+        "trial_process_duration_modes": modes_of(freq),
+    }
+
+
 def trial_throughput(execution_time: DataFrame, instances: DataFrame) -> DataFrame:
     """Instances per second of overall execution time, from the two trial tables."""
     return throughput(
@@ -211,6 +235,15 @@ def trial_construct_duration_modes(construct: DataFrame) -> DataFrame:
     return mode_rows(_constructs(construct), CONSTRUCT, "duration", total_of=["construct_type", "construct_name"])
 
 
+def trial_construct_duration_results(construct: DataFrame) -> dict[str, DataFrame]:
+    """Summary and modes of the durations under the names of their tables, from one scan of the instances."""
+    freq = settle(frequencies(_constructs(construct), CONSTRUCT, "duration", total_of=["construct_type", "construct_name"]))
+    return {
+        "trial_construct_duration": prefixed(summary_of(freq, modes=True), CONSTRUCT, "construct_duration"),
+        "trial_construct_duration_modes": modes_of(freq),
+    }
+
+
 def trial_number_of_construct_instances(construct: DataFrame) -> DataFrame:
     """Instances per construct type and name and for ``all``."""
     return count_with_total(
@@ -218,19 +251,35 @@ def trial_number_of_construct_instances(construct: DataFrame) -> DataFrame:
     )
 
 
+CELL = [*TRIAL, "host", "section", "op_name"]
+
+
 def _driver_cells(details: DataFrame) -> DataFrame:
-    """Readings of the load driver under the section that they belong to."""
+    """Settled frequencies of the load driver's readings per cell, from one evaluation of the details.
+
+    A reading counts under every section that its own contains, and one without any under none, so
+    that the hosts and operations of all readings are there.
+    """
     matching = F.filter(
         F.array(*[F.lit(s) for s in SECTIONS]), lambda s: F.col("reported").contains(s)
     )
-    reported = details.withColumnRenamed("section", "reported")
-    return reported.withColumn("section", F.explode(matching)).where(F.col("value").isNotNull())
+    cells = details.withColumnRenamed("section", "reported").withColumn("section", F.explode_outer(matching))
+    value = F.when(F.col("section").isNotNull(), F.col("value"))
+    return settle(frequencies(cells, CELL, value, reading_order(F.col("time"))))
+
+
+def _in_sections(cells: DataFrame) -> DataFrame:
+    """Frequencies of the cells that have readings."""
+    return cells.where("g.section IS NOT NULL AND v IS NOT NULL")
+
+
+def _named_cells(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed({c: f"faban_details_{c}" for c in ("host", "section", "op_name")})
 
 
 def trial_driver_details_modes(details: DataFrame) -> DataFrame:
     """Every most frequent value of each cell that has readings."""
-    rows = mode_rows(_driver_cells(details), [*TRIAL, "host", "section", "op_name"], "value")
-    return rows.withColumnsRenamed({c: f"faban_details_{c}" for c in ("host", "section", "op_name")})
+    return trial_driver_details_results(details)["trial_faban_details_modes"]
 
 
 def trial_driver_details(details: DataFrame) -> DataFrame:
@@ -241,18 +290,27 @@ def trial_driver_details(details: DataFrame) -> DataFrame:
     ``aggregate`` covers the rows whose host carries that name. Sections match by substring.
     Summary and modes are both taken over the rows of the cell.
     """
-    keys = [*TRIAL, "host", "section", "op_name"]
-    stats = describe(_driver_cells(details), keys, "value", reading_order(F.col("time")), modes=True)
+    return trial_driver_details_results(details)["trial_faban_details"]
+
+
+def trial_driver_details_results(details: DataFrame) -> dict[str, DataFrame]:
+    """Summary and modes of the time series under the names of their tables, from one evaluation of the details.
+
+    The hosts and operations of the grid are taken from the aggregated cells.
+    """
+    cells = _driver_cells(details)
+    stats = summary_of(_in_sections(cells), modes=True)
 
     # Hosts and operations are dimensions: few per trial, and their product is the result.
-    hosts = details.select(*TRIAL, F.explode(F.array("host", F.lit(AGGREGATE))).alias("host")).distinct()
-    operations = details.select(*TRIAL, "op_name").distinct()
-    grid = hosts.join(operations, TRIAL).withColumn(
+    named = cells.selectExpr(*[f"g.{c}" for c in TRIAL], "g.host", "g.op_name").distinct()
+    hosts = named.select(*TRIAL, F.explode(F.array("host", F.lit(AGGREGATE))).alias("host")).distinct()
+    operations = named.select(*TRIAL, "op_name").distinct()
+    grid = join_on(hosts, operations, TRIAL).withColumn(
         "section", F.explode(F.array(*[F.lit(s) for s in SECTIONS]))
     )
     counts = ["num_data_points", "mode_ties"]
     names = [*SUMMARY, *MODES, "integral"]
-    return join_on(grid, stats, keys, "left").select(
+    dense = join_on(grid, stats, CELL, "left").select(
         *TRIAL,
         *[F.col(c).alias(f"faban_details_{c}") for c in ("host", "section", "op_name")],
         *[
@@ -260,3 +318,4 @@ def trial_driver_details(details: DataFrame) -> DataFrame:
             for c in names
         ],
     )
+    return {"trial_faban_details": dense, "trial_faban_details_modes": _named_cells(modes_of(_in_sections(cells)))}

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Fixed values. Adaptive execution sizes and splits shuffle partitions at run time; the
+# Fixed values. Windows that ask for the first n rows of a group are cut before their shuffle for
+# n up to the threshold. Adaptive execution sizes and splits shuffle partitions at run time; the
 # session zone makes text times and zone-less timestamps mean the same everywhere.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from trialstats.functions.parsing import reading_order
 from trialstats.operators import arrays, describe, groups, levene, rollup, warmup
+from trialstats.operators.ranking import join_on
 from trialstats.plans import driver, experiment, trial
 from trialstats.sources.session import configure
-from trialstats.sources.tables import settle
+from trialstats.sources.tables import read_table, settle, shared_folder, write_table, write_tables
 from workload import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,10 +125,48 @@ def mode_cut(spark, sf):
     return report(stats.select(*USAGE, *describe.MODES))
 
 
+def _stored(spark: SparkSession, rows: DataFrame, table: str, key: list[str]) -> str:
+    """A new folder of the shared one, with ``rows`` as a stored table."""
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    write_table(rows, root, table, key)
+    return root
+
+
 def trial_slice(spark, sf):
-    """One key slice as it is read for a single trial."""
-    rows = b.process(spark, sf).where("experiment_id = 'p1' AND trial_id = 'p1_2'")
-    return report(trial.trial_execution_time(rows))
+    """The slice of one trial, read from the stored instances by a table of keys."""
+    rows = b.process(spark, sf)
+    root = _stored(spark, rows, "process", [*USAGE, "source_process_instance_id"])
+    wanted = rows.where("experiment_id = 'p1' AND trial_id = 'p1_2'").select(*USAGE)
+    return report(trial.trial_execution_time(read_table(spark, root, "process", slices=wanted)))
+
+
+def upsert_by_key(spark, sf):
+    """Two writes to one table: the second replaces the rows of its keys, in some of the directories."""
+    counters = settle(trial.trial_io(b.io_data(spark, sf)))
+    first = counters.selectExpr("* EXCEPT (reads, writes, total)", "-1L AS reads", "writes", "NULL AS total")
+    root = _stored(spark, first.withColumn("total", F.col("total").cast("bigint")), "trial_io", None)
+    write_table(counters.where("device <> 'R' AND trial_id <> 'F_3'"), root, "trial_io")
+    return read_table(spark, root, "trial_io").select(*counters.columns)
+
+
+def ram_results(spark, sf):
+    """Summary and modes of a job, written to their two tables from one scan and read back together."""
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    write_tables(trial.trial_ram_results(b.environment_data(spark, sf), b.container_properties(spark, sf), b.host_properties(spark, sf)), root)
+    stats = read_table(spark, root, "trial_ram").select(*trial.CONTAINER, "ram_num_data_points", "ram_mean", "ram_q2", "ram_mode_ties")
+    both = join_on(stats, read_table(spark, root, "trial_ram_modes"), trial.CONTAINER)
+    scaled = {c: F.col(c) / MEBI for c in ("ram_mean", "ram_q2", "mode")}
+    return report(both.withColumns(scaled))
+
+
+def custom_results(spark, sf):
+    """Absolute figures and statistics, written to their tables from one scan and read back together."""
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    write_tables(driver.custom_stats(b.faban_driver_custom_stats(spark, sf)), root)
+    name = "exp_faban_ops_custom_stats_target"
+    absolute = read_table(spark, root, f"{name}_absolute").select(*driver.CUSTOM, "faban_stat_min", "faban_stat_max", F.lit("absolute").alias("target"))
+    others = read_table(spark, root, f"{name}_statistic").select(*driver.CUSTOM, "faban_stat_min", "faban_stat_max", F.lit("statistic").alias("target"))
+    return report(absolute.unionByName(others))
 
 
 def mode_min_max(spark, sf):
@@ -397,7 +437,7 @@ def exp_byte_size_modes(spark, sf):
 
 
 def exp_throughput_modes(spark, sf):
-    totals = trial.trial_process_totals(b.process(spark, sf)).withColumn("throughput", F.round("throughput", 9))
+    totals = trial.trial_process_totals(b.process(spark, sf))
     return report(experiment.value_modes(totals, experiment.PROCESS, "throughput"), 9)
 
 
@@ -435,6 +475,7 @@ OPERATORS = [
     describe_with_total, count_with_total, trial_ranking, experiment_rollup, combined_variance,
     integral_describe, core_describe, core_rollup, levene_statistics, levene_p_values,
     levene_order_lines, warmup_trim, active_cores, describe_cut, levene_cut, mode_cut, trial_slice, warmup_trim_long,
+    upsert_by_key, ram_results, custom_results,
 ]
 JOBS = [
     job_trial_cpu, job_trial_cpu_core, job_trial_ram, job_trial_io, job_trial_byte_size,

@@ -559,7 +559,7 @@ FROM custom WHERE faban_stat_name <> 'O' GROUP BY ALL""",
         "exp_construct_duration_ranking": ranked([CONSTRUCT], "construct_all", CONSTRUCT_KEYS, [single, "construct_type", "construct_name"]),
         "exp_io_modes": measure_modes([IO], "trial_io", [*usage_keys, "device"], ["reads", "writes", "total"]),
         "exp_byte_size_modes": modes([SIZES], "trial_size", [single], "size"),
-        "exp_throughput_modes": modes([PROCESS, EXECUTION], "throughput", [single, "process_definition_id"], "round(throughput, 9)", digits=9),
+        "exp_throughput_modes": modes([PROCESS, EXECUTION], "throughput", [single, "process_definition_id"], "throughput", digits=9),
         "exp_number_of_process_instances_modes": modes([PROCESS, EXECUTION], "execution", [single, "process_definition_id"], "instances"),
         "exp_number_of_construct_instances_modes": modes(
             [CONSTRUCT, CONSTRUCT_COUNT], "construct_count", [single, "construct_type", "construct_name"], "instances"),
@@ -567,6 +567,18 @@ FROM custom WHERE faban_stat_name <> 'O' GROUP BY ALL""",
         "exp_driver_custom_absolute_modes": modes(
             [DRIVER, custom, "absolute AS (SELECT * FROM custom WHERE faban_stat_name = 'O')"], "absolute", custom_keys),
     }
+    same = " AND ".join(f"m.{k} IS NOT DISTINCT FROM s.{k}" for k in CONTAINER)
+    shown_ram = ", ".join(f"s.{c}" for c in [*CONTAINER, "ram_num_data_points", "ram_mean", "ram_q2", "ram_mode_ties"])
+    absolute, others = out["exp_driver_custom_absolute"], out["exp_driver_custom_statistic"]
+    out |= {
+        "upsert_by_key": _with(IO) + f"""SELECT {_list(CONTAINER)}, device,
+  CASE WHEN device <> 'R' AND trial_id <> 'F_3' THEN reads ELSE -1 END AS reads, writes,
+  CASE WHEN device <> 'R' AND trial_id <> 'F_3' THEN total END AS total FROM trial_io""",
+        "ram_results": f"""SELECT {shown_ram}, m.mode, m.mode_freq
+FROM ({out["trial_ram"].replace(", 8) AS ram_", f", {DIGITS}) AS ram_")}) s JOIN ({out["trial_ram_modes"]}) m ON {same}""",
+        "custom_results": f"""SELECT {_list(custom_keys)}, faban_stat_min, faban_stat_max, 'absolute' AS target FROM ({absolute})
+UNION ALL SELECT {_list(custom_keys)}, faban_stat_min, faban_stat_max, 'statistic' AS target FROM ({others})""",
+    }
     run_rows = """runs AS (
   SELECT experiment_id, host AS faban_host, floor(l_quantity) AS duration, l_extendedprice AS metric_value FROM driver)"""
     out["exp_driver_run_info_modes"] = measure_modes([DRIVER, run_rows], "runs", ["experiment_id", "faban_host"], ["duration", "metric_value"])
