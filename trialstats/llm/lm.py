@@ -1,8 +1,9 @@
 """Scores under an interpolated modified Kneser-Ney model of words, counted and asked in Spark.
 
 Neither the texts nor the model fit one machine, so both are cut: documents into blocks, and
-the n-grams of each order into shards, which are ranges of their 64-bit hashes. For each order,
-from the longest down,
+the n-grams of each order into shards, which are ranges of their 64-bit hashes. A block is stored as
+the numbers of its words and the sorted hashes that they stand for, so texts are read and cut into words
+once. For each order, from the longest down,
 
 1. a block sends every shard its distinct n-grams in that range, sorted, with what it knows of
    them: occurrences in training documents for the longest, and for a shorter one the
@@ -13,20 +14,27 @@ from the longest down,
 3. finally a block has, for each of its n-grams, the counts, the context sums and the
    discounts of every order, and adds up the probabilities of its documents.
 
-Blocks and shards grow in number with the text. A frequent n-gram is one entry per block, and
-a long text is cut nowhere. All stages are one plan: the shuffle of the documents is reused.
+Blocks and shards grow in number with the text, and a row goes from one to another only where there
+are n-grams. The totals of an order are summed once. A frequent n-gram is one entry per block, and
+a long text is cut nowhere. The answers of an order are written to the shared folder, which
+survives lost executors, and what was shuffled for them can go.
 """
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh3_64_intdigest
 from zstandard import ZstdCompressor, ZstdDecompressor
 
-from trialstats.llm.common import as_bytes, by_batch
+from trialstats.llm.common import as_bytes, by_batch, settle
 from trialstats.llm.hashes import discounts, mapped, mix, pack, unpack
 
 # Words in an n-gram, and the bytes of text in a block (and of n-grams in a shard, about).
@@ -43,8 +51,11 @@ _FIELDS = ["count", "rest", "once", "twice", "more"]
 # Statistics of a shard: types with counts 1 to 4, then the sum of counts and, of words, training tokens and types.
 _STATS = 7
 
+_BLOCK = "block int, docs binary, lengths binary, vocabulary binary, words binary"
 _ASKED = "shard int, block int, keys binary, values binary"
 _ANSWER = "block int, shard int, level int, values binary, stats array<double>"
+# The block number of a row that holds the statistics of a shard.
+_TOTALS = -1
 
 
 def tokens(text: bytes) -> np.ndarray:
@@ -56,27 +67,37 @@ def tokens(text: bytes) -> np.ndarray:
     return out
 
 
+def _stored(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The row of a block: its documents in a fixed order, and their words as numbers of a vocabulary."""
+    table = table.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
+    plain = ZstdDecompressor()
+    parts = [tokens(plain.decompress(t) if t else b"") for t in table["text"].to_pylist()]
+    vocabulary, words = np.unique(np.concatenate(parts), return_inverse=True)
+    docs = table.select(["doc_id", "held_out"]).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema) as writer:
+        writer.write_table(docs)
+    row = {
+        "block": key[0].as_py(), "docs": ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes()),
+        "lengths": pack(np.array([len(p) for p in parts], np.int32)),
+        "vocabulary": pack(vocabulary, sort_gaps=True), "words": pack(words.astype(np.uint32)),
+    }
+    return pa.table({k: pa.array([v], pa.int32() if k == "block" else pa.binary()) for k, v in row.items()})
+
+
 class Block:
     """The n-grams of the documents of a block: for each order their hashes by place."""
 
-    def __init__(self, table: pa.Table, order: int):
-        table = table.sort_by([("mark", "ascending"), ("doc_id", "ascending")])
-        self.table, self.order = table.drop_columns("text"), order
-        plain = ZstdDecompressor()
-        texts = (plain.decompress(t) if t else b"" for t in table["text"].to_pylist())
-        parts, lengths = [], []
-        pad = np.full(order - 1, _START)
-        for t in texts:
-            own = tokens(t)
-            parts += [pad, own]
-            lengths.append(len(own))
-        words = np.concatenate(parts)
-        del parts
-        self.lengths = np.array(lengths)
+    def __init__(self, row: dict, order: int):
+        self.table, self.order = pa.ipc.open_stream(ZstdDecompressor().decompress(row["docs"])).read_all(), order
+        self.lengths = unpack(row["lengths"], "<i4").astype(np.int64)
         ends = np.cumsum(self.lengths + order - 1)
-        self.places = np.concatenate([np.arange(e - n, e) for e, n in zip(ends, lengths, strict=True)])
-        self.owner = np.repeat(np.arange(len(lengths), dtype=np.int32), self.lengths)
-        training = ~np.array(table["held_out"].to_pylist(), bool)
+        first = np.cumsum(self.lengths) - self.lengths
+        self.owner = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
+        self.places = np.arange(self.lengths.sum()) + (ends - self.lengths - first)[self.owner]
+        words = np.full(ends[-1], _START)
+        words[self.places] = unpack(row["vocabulary"], "<u8", sort_gaps=True)[unpack(row["words"], "<u4")]
+        training = ~np.array(self.table["held_out"].to_pylist(), bool)
         self.training = training[self.owner]
         # keys[m][i]: the m words that end at place i; the context of an (m+1)-gram ends one place before.
         self.keys = [np.zeros(len(words), np.uint64), words]
@@ -106,14 +127,14 @@ def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _send(block: int, keys: np.ndarray, values: np.ndarray, shards: int) -> pa.Table:
-    """A row for every shard, also where there is nothing to ask: its statistics are needed all the same."""
+    """A row for every shard that there are n-grams for."""
     cuts = _cuts(keys, shards)
-    pairs = list(zip(cuts[:-1], cuts[1:], strict=True))
+    pairs = [(s, a, b) for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if a < b]
     return pa.table({
-        "shard": pa.array(range(shards), pa.int32()),
-        "block": pa.array([block] * shards, pa.int32()),
-        "keys": [pack(keys[a:b], sort_gaps=True) for a, b in pairs],
-        "values": [pack(np.ascontiguousarray(values[:, a:b]).reshape(-1)) for a, b in pairs],
+        "shard": pa.array([s for s, _, _ in pairs], pa.int32()),
+        "block": pa.array([block] * len(pairs), pa.int32()),
+        "keys": pa.array([pack(keys[a:b], sort_gaps=True) for _, a, b in pairs], pa.binary()),
+        "values": pa.array([pack(np.ascontiguousarray(values[:, a:b]).reshape(-1)) for _, a, b in pairs], pa.binary()),
     })
 
 
@@ -124,7 +145,7 @@ def _merge(level: int, order: int):
         table = table.sort_by("block")
         blocks = table["block"].to_pylist()
         keys = [unpack(k, "<u8", sort_gaps=True) for k in table["keys"].to_pylist()]
-        values = [unpack(v, "<u8").reshape(-1, len(k)) if len(k) else None for v, k in zip(table["values"].to_pylist(), keys, strict=True)]
+        values = [unpack(v, "<u8").reshape(-1, len(k)) for v, k in zip(table["values"].to_pylist(), keys, strict=True)]
         types = mapped(np.unique(np.concatenate(keys)))
         width = 1 if level == order else len(_FIELDS) + (level == 1)
         sums = np.zeros((width, len(types)), np.uint64)
@@ -133,10 +154,9 @@ def _merge(level: int, order: int):
         for k, v in zip(keys, values, strict=True):
             place = np.searchsorted(types, k)  # both are sorted, so this walks through memory
             at.append(place)
-            if v is not None:
-                sums[:, place] += v  # the keys of a block are distinct
-                first = place[(owner[place] < 0) & (v[0] > 0)]
-                owner[first] = len(at) - 1
+            sums[:, place] += v  # the keys of a block are distinct
+            first = place[(owner[place] < 0) & (v[0] > 0)]
+            owner[first] = len(at) - 1
         counts = sums[0]
         stats = np.zeros(_STATS)
         stats[:4] = [(counts == c).sum() for c in (1, 2, 3, 4)]
@@ -148,33 +168,32 @@ def _merge(level: int, order: int):
             got = sums[:, place]
             own = (owner[place] == number).astype(np.uint64)
             answers.append(pack(np.concatenate([got, own[None]]).astype(np.uint64).reshape(-1)))
+        shard, n = table["shard"][0].as_py(), len(blocks)
         return pa.table({
-            "block": pa.array(blocks, pa.int32()), "shard": table["shard"], "level": pa.array([level] * len(blocks), pa.int32()),
-            "values": pa.array(answers, pa.binary()), "stats": pa.array([stats.tolist()] * len(blocks), pa.list_(pa.float64())),
+            "block": pa.array([*blocks, _TOTALS], pa.int32()), "shard": pa.array([shard] * (n + 1), pa.int32()),
+            "level": pa.array([level] * (n + 1), pa.int32()), "values": pa.array([*answers, None], pa.binary()),
+            "stats": pa.array([*[None] * n, stats.tolist()], pa.list_(pa.float64())),
         })
 
     return run
 
 
-def _answers(table: pa.Table, level: int, asked: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The values of the asked n-grams of an order, from the rows of all shards, and the summed statistics."""
+def _answers(table: pa.Table, level: int, asked: np.ndarray, shards: int) -> np.ndarray:
+    """The values of the asked n-grams of an order, from the rows of all shards."""
     cuts = _cuts(asked, shards)
-    parts: dict[int, np.ndarray] = {}
-    stats = np.zeros(_STATS)
-    for r in table.to_pylist():
-        if r["level"] == level:
-            n = int(cuts[r["shard"] + 1] - cuts[r["shard"]])
-            parts[r["shard"]] = unpack(r["values"], "<u8").reshape(-1, n) if n else np.zeros((0, 0))
-            stats += r["stats"]
-    return np.concatenate([p for _, p in sorted(parts.items()) if p.size], axis=1), stats
+    parts = {r["shard"]: r["values"] for r in table.to_pylist() if r["level"] == level}
+    return np.concatenate([unpack(v, "<u8").reshape(-1, int(cuts[s + 1] - cuts[s])) for s, v in sorted(parts.items())], axis=1)
 
 
 def _ask_longest(order: int, shards: int):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        block = Block(table, order)
-        keys, number = block.types(order)
-        seen = np.bincount(number[block.places[block.training]], minlength=len(keys)).astype(np.uint64)
-        return _send(key[0].as_py(), keys, seen[None], shards)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                block = Block(row, order)
+                keys, number = block.types(order)
+                seen = np.bincount(number[block.places[block.training]], minlength=len(keys)).astype(np.uint64)
+                yield from _send(row["block"], keys, seen[None], shards).to_batches()
 
     return run
 
@@ -183,9 +202,11 @@ def _ask_shorter(level: int, order: int, shards: int):
     """Ask for the n-grams of an order, with what the owned types of the next longer order add to them."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(table, order)
+        if not table.num_rows:
+            return _send(0, np.zeros(0, np.uint64), np.zeros((1, 0), np.uint64), shards)
+        block = Block(table.to_pylist()[0], order)
         longer, number = block.types(level + 1)
-        got, _ = _answers(answers, level + 1, longer, shards)
+        got = _answers(answers, level + 1, longer, shards)
         # A place where each owned type ends gives its suffix, and the place before its context.
         ends = np.zeros(len(longer), np.int64)
         ends[number[block.places]] = block.places
@@ -207,13 +228,17 @@ def _ask_shorter(level: int, order: int, shards: int):
     return run
 
 
-def _score(order: int, shards: int):
+def _score(order: int, shards: int, totals: dict[int, np.ndarray], schema: pa.Schema):
+    """``totals`` holds the summed statistics of each order."""
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(table, order)
+        if not table.num_rows:
+            return schema.empty_table()
+        block = Block(table.to_pylist()[0], order)
         p = None
         for level in range(1, order + 1):
             asked, number = block.types(level)
-            got, stats = _answers(answers, level, asked, shards)
+            got, stats = _answers(answers, level, asked, shards), totals[level]
             place = number[block.places]
             d = discounts(stats[:4])
             count = got[0][place].astype(np.float64)
@@ -233,7 +258,7 @@ def _score(order: int, shards: int):
                 at = number[block.places - 1]
                 _, rest, once, twice, more = (got[i][at].astype(np.float64) for i in range(len(_FIELDS)))
                 total_of = rest + once + 2 * twice + 3 * more
-                e = discounts(_next_stats(answers, level + 1)[:4])
+                e = discounts(totals[level + 1][:4])
                 left = np.where(total_of > 0, (e[1] * once + e[2] * twice + e[3] * more) / np.where(total_of > 0, total_of, 1), 1)
         docs = len(block.lengths)
 
@@ -251,11 +276,6 @@ def _score(order: int, shards: int):
     return run
 
 
-def _next_stats(answers: pa.Table, level: int) -> np.ndarray:
-    """Summed statistics of an order."""
-    return sum((np.array(r["stats"]) for r in answers.select(["level", "stats"]).to_pylist() if r["level"] == level), np.zeros(_STATS))
-
-
 def _types(stats: np.ndarray) -> float:
     """Types of the lowest order with a continuation: every training word, as each has something before it."""
     return stats[6]
@@ -291,17 +311,35 @@ def scores(
         f"`{doc_id}` AS doc_id", f"CAST(`{text}` AS string) AS text", f"{held} AS held_out",
         f"xxhash64(`{doc_id}`, `{text}`) AS mark",
     ).selectExpr("*", f"CAST(pmod(mark, {blocks}) AS int) AS block")
-    by_block = _packed(docs).groupBy("block")
-    asked = by_block.applyInArrow(_ask_longest(order, blocks), _ASKED)
-    answered = answer = asked.groupBy("shard").applyInArrow(_merge(order, order), _ANSWER)
-    for level in range(order - 1, 0, -1):
-        asked = by_block.cogroup(answer.groupBy("block")).applyInArrow(_ask_shorter(level, order, blocks), _ASKED)
-        answer = asked.groupBy("shard").applyInArrow(_merge(level, order), _ANSWER)
-        answered = answered.unionByName(answer)
-    out = "doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return by_block.cogroup(answered.groupBy("block")).applyInArrow(
-        _score(order, blocks), out.format(df.schema[doc_id].dataType.simpleString())
+    stored = settle(_packed(docs).groupBy("block").applyInArrow(_stored, _BLOCK))
+    shards = blocks
+    totals, answered = {}, None
+    for level in range(order, 0, -1):
+        _release(df.sparkSession)
+        if answered is None:
+            asked = stored.mapInArrow(_ask_longest(order, shards), _ASKED)
+        else:
+            before = answered.where(f"level = {level + 1}")
+            asked = stored.groupBy("block").cogroup(before.groupBy("block")).applyInArrow(_ask_shorter(level, order, shards), _ASKED)
+        merged = settle(asked.groupBy("shard").applyInArrow(_merge(level, order), _ANSWER))
+        sums = [F.sum(F.get("stats", F.lit(i))).alias(f"s{i}") for i in range(_STATS)]
+        # One row of a few numbers.
+        totals[level] = np.array([x or 0.0 for x in merged.where(f"block = {_TOTALS}").agg(*sums).first()])
+        answers = merged.where(f"block <> {_TOTALS}").drop("stats")
+        answered = answers if answered is None else answered.unionByName(answers)
+        del asked
+    _release(df.sparkSession)
+    out = f"doc_id {df.schema[doc_id].dataType.simpleString()}, " + (
+        "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
+    empty = to_arrow_schema(T.StructType.fromDDL(out))
+    return stored.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_score(order, shards, totals, empty), out)
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that are done: it does so when their objects are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def perplexities(scored: DataFrame) -> DataFrame:
