@@ -35,7 +35,7 @@ MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 # A candidate goes if this share (percent) of it lies inside one longer candidate.
 SUBSUMED = 50
 # Bytes of text that a worker counts at a time.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 16_000_000
 # The filter: bits a phrase, and the most bits altogether (16 MB).
 FILTER_BITS, MOST_BITS = 16, 1 << 27
 # A prefix with more than this part of all words has its stripes cut.
@@ -66,16 +66,15 @@ class _Chunk:
     """The words of some texts as numbers, with the language of each and the hash of each different word."""
 
     def __init__(self, texts: list[bytes], langs: list[str]):
-        ids, names, flat, lengths = _Ids({b"": _NONE, b"\n": _END}), _Ids(), [], []
+        ids, names, parts = _Ids({b"": _NONE, b"\n": _END}), _Ids(), []
         for text in texts:
             words = text.translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
             words.append(b"\n")
-            flat += words
-            lengths.append(len(words))
-        lang = np.repeat(np.fromiter(map(names.__getitem__, langs), np.int64, len(langs)), lengths)
-        tokens = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
-        there = tokens != _NONE
-        self.tokens, self.lang = tokens[there], lang[there]
+            tokens = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
+            parts.append(tokens[tokens != _NONE])
+        lang = np.fromiter(map(names.__getitem__, langs), np.int64, len(langs))
+        self.lang = np.repeat(lang, [len(p) for p in parts])
+        self.tokens = np.concatenate(parts).astype(np.int64)
         self.size = len(ids)
         self.words = pa.array(list(ids), pa.binary()).cast(pa.string())
         self.langs = pa.array(list(names), pa.string())
