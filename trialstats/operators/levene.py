@@ -18,10 +18,13 @@ TRIM = 0.05
 # Readings of a value that are left after cutting the share from both ends.
 _CUT = f"floor({TRIM}D * n)"
 _KEPT = f"greatest(0, least(below + cnt, n - {_CUT}) - greatest(below, {_CUT}))"
+# Readings of a value among the lower and the upper half of its trial; a middle one is in neither.
+_LOWER = "greatest(0, least(below + cnt, n div 2) - below)"
+_UPPER = "greatest(0, below + cnt - greatest(below, n - n div 2))"
 
 
 def _at_rank(rank: str) -> str:
-    return f"IF(below <= {rank} AND {rank} < below + cnt, CAST(v AS double), NULL)"
+    return f"max(IF(below <= {rank} AND {rank} < below + cnt, d, NULL))"
 
 
 def trial_deviations(
@@ -31,36 +34,30 @@ def trial_deviations(
 
     The trimmed centre works on the trimmed sample throughout, so its count is smaller.
     Missing readings are skipped and a trial without readings is left out.
+
+    Values are taken relative to the mean of their trial. The distances to the median follow from
+    the ranks: the upper half of the readings less the lower half; the squares around any centre
+    follow from those around the mean. Only the sum of distances to the trimmed mean needs that
+    mean at every value, so its two sums are all that is attached to the ranked rows.
     """
     rows = ranked(df, [*keys, trial], value, slice_rows=slice_rows).where("v IS NOT NULL")
     rows = with_totals(
-        rows.selectExpr("*", f"{_KEPT} AS kept"),
-        {
-            "mid_low": ("max", _at_rank("floor((n - 1) / 2)")),
-            "mid_high": ("max", _at_rank("floor(n / 2)")),
-            "kept_sum": ("sum", "kept * CAST(v AS double)"),
-            "kept_cnt": ("sum", "kept"),
-        },
-    ).selectExpr(
-        "*",
-        "abs(v - mean) AS d_mean",
-        "abs(v - (mid_low + mid_high) / 2) AS d_median",
-        "abs(v - kept_sum / kept_cnt) AS d_trimmed",
+        rows.selectExpr("*", "CAST(v AS double) - mean AS d", f"{_KEPT} AS kept"),
+        {"kept_sum": ("sum", "kept * d"), "kept_cnt": ("sum", "kept")},
     )
-    weights = {c: "kept" if c == "trimmed" else "cnt" for c in CENTRES}
-    sums = [
-        F.expr(e)
-        for c, w in weights.items()
-        for e in (
-            f"sum({w}) AS n_{c}",
-            f"sum({w} * d_{c}) / sum({w}) AS z_{c}",
-            f"sum({w} * d_{c} * d_{c}) AS square_{c}",
-        )
-    ]
-    return rows.groupBy("g").agg(*sums).selectExpr(
+    sums = {
+        "n_mean": "sum(cnt)", "s": "sum(cnt * d)", "s2": "sum(cnt * d * d)", "abs_mean": "sum(cnt * abs(d))",
+        "abs_median": f"sum({_UPPER} * d) - sum({_LOWER} * d)",
+        "median": f"({_at_rank('(n - 1) div 2')} + {_at_rank('n div 2')}) / 2",
+        "n_trimmed": "sum(kept)", "t": "sum(kept * d)", "t2": "sum(kept * d * d)", "abs_trimmed": "sum(kept * abs(d - kept_sum / kept_cnt))",
+    }
+    groups = rows.groupBy("g").agg(*[F.expr(e).alias(name) for name, e in sums.items()])
+    squares = {"mean": "s2", "median": "s2 - 2 * median * s + n_mean * median * median", "trimmed": "t2 - t * t / n_trimmed"}
+    counts = {c: "n_trimmed" if c == "trimmed" else "n_mean" for c in CENTRES}
+    return groups.selectExpr(
         "g.*",
-        *[f"{p}_{c}" for c in CENTRES for p in ("n", "z")],
-        *[f"square_{c} - n_{c} * z_{c} * z_{c} AS ss_{c}" for c in CENTRES],
+        *[e for c in CENTRES for e in (f"{counts[c]} AS n_{c}", f"abs_{c} / {counts[c]} AS z_{c}")],
+        *[f"{squares[c]} - abs_{c} * abs_{c} / {counts[c]} AS ss_{c}" for c in CENTRES],
     )
 
 
