@@ -69,9 +69,8 @@ def frequencies(
     measure = F.col(value) if isinstance(value, str) else value
     columns = [*keys, measure.alias("v")]
     # The measure is a grouping column too, so the counts look at a second copy of it.
-    # The hash that picks splitters is an aggregate, so that a filter on it stays behind the shuffle.
-    counted = [F.expr("count(x) AS cnt"), F.expr(f"min(xxhash64({', '.join(keys)}, x)) AS pick")]
-    kept = ["cnt", "pick"]
+    counted = [F.expr("count(x) AS cnt")]
+    kept = ["cnt"]
     if order is not None:
         columns.append(order.alias("at"))
         counted += [
@@ -89,8 +88,8 @@ def frequencies(
     own = source.groupBy(*keys, "v").agg(*counted)
     # The total is counted from the frequencies, not from the readings. Both parts read all of their columns,
     # and the filter looks at a count, so that they share one shuffle.
-    everywhere = own.where("cnt >= 0 AND pick IS NOT NULL" + (" AND coalesce(first_at <= last_at, true)" if order is not None else ""))
-    again = [F.expr("sum(cnt) AS cnt"), F.expr(f"min(xxhash64({', '.join([*outer, 'v'])})) AS pick")]
+    everywhere = own.where(_whole(kept))
+    again = [F.expr("sum(cnt) AS cnt")]
     again += [F.expr(f"{fn}({c}) AS {c}") for fn, c in (("min", "first_at"), ("max", "last_at")) if c in kept]
     total = everywhere.groupBy(*outer, "v").agg(*again)
     named = ", ".join(f"'{k}', {f"'{TOTAL}'" if k in labels else k}" for k in keys)
@@ -99,6 +98,16 @@ def frequencies(
     return groups.unionByName(total.selectExpr(f"named_struct({named}) AS g", "v", *kept))
 
 
+def _whole(columns: Sequence[str]) -> str:
+    """True for every row of frequencies; it reads all that is counted, so that uses of one table share a shuffle."""
+    return "cnt >= 0" + (" AND coalesce(first_at <= last_at, true)" if "first_at" in columns else "")
+
+
+# The hash that picks splitters follows from the group and the value; naming a count in it keeps a filter
+# on it behind the shuffle without shuffling the hash.
+_PICK = "xxhash64(g, v, cnt < 0)"
+
+
 def total_or(label: str) -> str:
     """The key of a grouping-sets row, or the label of the total."""
     return f"CASE WHEN is_total = 1 THEN '{TOTAL}' ELSE {label} END"
@@ -115,11 +124,9 @@ def _splitters(freq: DataFrame, slice_rows: int) -> DataFrame:
     The count of the values and the choice read every column of ``freq``, so that they and the
     rows themselves come from one shuffle of one scan.
     """
-    whole = "cnt >= 0 AND pick IS NOT NULL"  # true for every row, and in the order of the aggregates
-    if "first_at" in freq.columns:
-        whole += " AND coalesce(first_at <= last_at, true)"
+    whole = _whole(freq.columns)
     step = freq.select(F.expr(f"greatest({slice_rows}L, ceil(count_if({whole}) * 2 / {MAX_SPLITTERS}))")).scalar()
-    picked = freq.where(F.expr(whole) & (F.pmod("pick", step) == 0))
+    picked = freq.where(F.expr(whole) & (F.pmod(F.expr(_PICK), step) == 0))
     splitters = picked.groupBy("g").agg(F.expr("array_sort(collect_set(v)) AS splitters"))
     return splitters.where("size(splitters) > 0")
 
@@ -137,8 +144,7 @@ def sliced(freq: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     ``big``, whether the group is cut at all."""
     cut = _splitters(freq, slice_rows)
     return freq.join(F.broadcast(cut), "g", "left").selectExpr(
-        # ``pick`` is never null; naming it here keeps this branch on the shuffle that the splitters use.
-        *[c for c in freq.columns if c != "pick"], f"IF(pick IS NULL, NULL, {_slice_of()}) AS slice", "splitters IS NOT NULL AS big"
+        *freq.columns, f"{_slice_of()} AS slice", "splitters IS NOT NULL AS big"
     )
 
 
