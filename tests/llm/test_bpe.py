@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -120,3 +121,20 @@ def test_token_counts_against_brute_force(spark, library):
     found = {r.share: r.n_tokens for r in token_counts.quantiles(sums, shares).collect()}
     for s in shares:
         assert found[s] == next(x for i, x in enumerate(lengths) if (i + 1) / len(lengths) >= s)
+
+
+def test_registered_token_counts_cover_the_whole_table(spark, library):
+    sf = "/root/testdata/sf0.01"
+    lengths = sorted(len(library.encode(d.text or "", add_special_tokens=False).ids) for d in catalog.documents(spark, sf).collect())
+    out = catalog.op3_token_counts(spark, sf).collect()
+    assert {r.n_tokens: r.n_docs for r in out} == Counter(lengths)
+    for r in out:
+        longer = [n for n in lengths if n >= r.n_tokens]
+        assert (r.docs_at_least, r.tokens_at_least, r.total_tokens) == (len(longer), sum(longer), sum(lengths))
+        assert r.truncated_tokens == sum(min(n, r.n_tokens) for n in lengths)
+
+
+def test_repeated_and_long_texts_are_counted(spark, library):
+    texts = ["same text"] * 5 + [None, "", "long words " * 30000]
+    out = {r.n_tokens: r.n_docs for r in token_counts.length_histogram(rows(spark, texts), PATH).collect()}
+    assert out == Counter(len(library.encode(t or "", add_special_tokens=False).ids) for t in texts)

@@ -132,3 +132,13 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50 + i) for i in range(50)] + [(7, 7), (300, 301), (301, 300)]
     out = dict(map(tuple, components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert out == {i: 0 for i in range(41)} | {i: 50 for i in range(50, 101)} | {300: 300, 301: 300}
+
+
+def test_one_per_class_keeps_columns_of_any_name(spark):
+    words = [f"w{i}" for i in range(40)]
+    docs = [(1, " ".join(words)), (2, " ".join([*words[:-1], "x"])), (3, "another text of its own here"), (4, None), (4, None), (5, " ")]
+    df = spark.createDataFrame(docs, SCHEMA).selectExpr(
+        "*", "doc_id AS row", "1 AS id", "2 AS mark", "3 AS no", "4 AS blank", "5 AS key", "6 AS __key", "7 AS __row", "8 AS __no")
+    out = jaccard.one_per_class(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id, r.row) for r in out.collect()) == [(1, 1), (3, 3), (4, 4), (4, 4), (5, 5)]

@@ -102,3 +102,10 @@ def test_labels_alike_in_seven_bytes_stay_together(spark):
     out = sharding.shards(spark.createDataFrame(data, SCHEMA), count=2).collect()
     check(out, 400, 2, 400)
     assert len({(r.shard, r.doc_id % 2) for r in out}) <= 3
+
+
+def test_very_long_and_repeated_rows(spark):
+    data = [(i, "w" * 1000, "s", "en") for i in range(4000)] + [(9000, "long " * 200_000, "s", "en")] + [(9001, "twice " * 300, None, None)] * 2
+    out = sharding.shards(spark.createDataFrame(data, SCHEMA), count=4).collect()
+    check(out, len(data), 4, 0.06 * sum(r.size for r in out) / 4)
+    assert max(r.size for r in out) == 1_000_001 and sum(r.doc_id == 9001 for r in out) == 2

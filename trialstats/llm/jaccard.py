@@ -229,17 +229,19 @@ def one_per_class(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     Rows whose text is null or has no words all stay.
     """
     found = near_duplicates(df, doc_id, text, **options)
-    blank = f"`{text}` IS NULL OR NOT regexp_like(CAST(`{text}` AS string), r'[^\\x20\\x09-\\x0D]')"
+    packed = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+        F.col(f"`{text}`").cast("string").alias("text"),
+    ).withColumn("blank", F.expr(r"text IS NULL OR NOT regexp_like(text, r'[^\x20\x09-\x0D]')"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     first = found.where("class_key IS NOT NULL").groupBy("class_key").agg(F.min(order).alias("first"))
-    row_key = "md5(concat_ws('|', coalesce(CAST({} AS string), 'null'), hex({})))"
-    first = settle(first.selectExpr(f"{row_key.format('first.doc_id', 'first.key')} AS __row"))
-    keyed = df.where(f"NOT ({blank})").withColumn("__key", text_key(F.col(f"`{text}`").cast("string")))
-    keyed = keyed.withColumn("__row", F.expr(row_key.format(f"`{doc_id}`", "__key")))
+    mark = "md5(concat_ws('|', coalesce(CAST({} AS string), 'null'), hex({}))) AS mark"
+    first = settle(first.selectExpr(mark.format("first.doc_id", "first.key")))
+    keyed = packed.where("NOT blank").withColumn("key", text_key("text")).selectExpr("row", mark.format("id", "key"))
     # The join has dealt the rows by the key of the window; a repeated row is cut to one before it.
-    chosen = keyed.join(first, "__row", "left_semi")
-    once = chosen.withColumn("__no", F.row_number().over(Window.partitionBy("__row").orderBy("__row"))).where("__no = 1")
-    return once.select(*df.columns).unionByName(df.where(blank))
+    chosen = keyed.join(first, "mark", "left_semi")
+    once = chosen.withColumn("no", F.row_number().over(Window.partitionBy("mark").orderBy("mark"))).where("no = 1")
+    return once.select("row.*").unionByName(packed.where("blank").select("row.*"))
 
 
 def document_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -322,7 +322,10 @@ def identify(df: DataFrame, trained, kept: list[str], text: str = "text") -> Dat
 def predictions(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per document ``(doc_id, held_out, lang_pred, score, rejected)``, learned from the documents not held out.
 
-    A document is held out if crc32 of its id is 1 modulo 3; a null id isn't.
+    A document is held out if crc32 of its id is 1 modulo 3; a null id isn't. Every row has an answer
+    of its own, also where ids or whole rows repeat. Of languages that fit equally the first in code
+    point order is named. Texts of any length are scored whole (a long text of the sample is cut at the
+    part of its language); null and empty texts are ``und``, and an empty table gives no rows.
     """
     light = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     light = light.withColumn("held_out", F.expr("coalesce(crc32(CAST(doc_id AS string)) % 3 = 1, false)"))

@@ -33,7 +33,11 @@ def encoded_lengths(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def length_histogram(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``(n_tokens, n_docs)`` over all rows."""
+    """``(n_tokens, n_docs)`` over all rows.
+
+    Repeated rows count as often as they are there, texts of any length are encoded whole, null and
+    empty ones have length 0, and an empty table gives no rows.
+    """
     return encoded_lengths(df, path, text).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
 
 
