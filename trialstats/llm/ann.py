@@ -4,9 +4,11 @@ Vectors are centred, rotated at random and reduced to the signs of their coordin
 into bits, with two correction scalars each. The bits give an unbiased estimate of every inner
 product and a bound of its error. In a block of vectors the best estimates are computed exactly
 first; then every vector whose estimate plus error bound reaches the k-th of those is computed
-as well, so the codes only decide what is left out. All rows are indexed. Blocks of vectors
-meet blocks of queries; a block keeps its k nearest per query, and the lists are merged by a
-limited window, which Spark cuts before the shuffle.
+as well, so the codes only decide what is left out. Queries are quantised to eight bits a coordinate, so
+that an estimate is a sum of population counts over packed words; what that rounds is part of the bound.
+All rows are indexed. Each block of vectors meets each block of queries in a task, both of bounded
+size; a block keeps its k nearest per query, and the lists are merged by a limited window, which
+Spark cuts before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialstats.llm.common import by_batch, settle
+from trialstats.llm.common import settle
 
-# Vectors in a block of the index, queries in a block of queries.
-BLOCK_VECTORS, BLOCK_QUERIES = 16384, 512
+# Vectors in a block of the index at most, and in the small blocks that keep all cores busy; queries in a block.
+BLOCK_VECTORS, SMALL_BLOCK, BLOCK_QUERIES = 65536, 4096, 8192
+# Bits of a quantised coordinate of a query.
+QUERY_BITS = 8
 # Error bounds are this many times the expected size of an error.
 EPSILON = 3.0
 # Estimates that are computed exactly at first, in multiples of k.
@@ -49,17 +53,37 @@ def encode(vectors: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.packbits(turned >= 0, axis=1), norm, np.where(norm > 0, fit, 1.0)
 
 
+def _words(packed: np.ndarray) -> np.ndarray:
+    """Packed bits of each row as 64-bit words."""
+    out = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), np.uint8)
+    out[:, :packed.shape[1]] = packed
+    return out.view(np.uint64)
+
+
 def estimates(codes: np.ndarray, norm: np.ndarray, fit: np.ndarray, centre: np.ndarray, queries: np.ndarray):
-    """Estimated inner products (vectors by queries) and the bounds of their errors."""
+    """Estimated inner products (vectors by queries) and the bounds of their errors, from the packed codes."""
     dims = queries.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=dims).astype(np.float32) * 2 - 1
-    turned = rotation(dims) @ queries.T.astype(np.float32)
-    scale = (norm / (fit * np.sqrt(dims))).astype(np.float32)
-    middle = (signs @ turned) * scale[:, None] + (queries @ centre).astype(np.float32)
+    words = _words(codes)
+    ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+    scale = norm / (fit * np.sqrt(dims))
+    middle = np.empty((len(codes), len(queries)), np.float32)
+    rounded = np.empty(len(queries))
+    for j, turned in enumerate(queries @ rotation(dims).T.astype(np.float64)):
+        low = turned.min()
+        step = (turned.max() - low) / (2**QUERY_BITS - 1) or 1.0
+        level = np.rint((turned - low) / step).astype(np.uint64)
+        planes = _words(np.packbits(level[None, :] >> np.arange(QUERY_BITS, dtype=np.uint64)[:, None] & np.uint64(1) > 0, axis=1))
+        total = np.zeros(len(codes), np.int64)
+        for k, plane in enumerate(planes):
+            for w in range(words.shape[1]):
+                total += np.bitwise_count(words[:, w] & plane[w]).astype(np.int64) << k
+        # Coordinates with a set bit count once, those without against them.
+        middle[:, j] = scale * (2 * (low * ones + step * total) - turned.sum()) + queries[j] @ centre
+        rounded[j] = dims * step / 2
     if dims < 2:
         return middle, np.full_like(middle, np.inf)
     spread = norm * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * EPSILON / np.sqrt(dims - 1)
-    return middle, np.outer(spread, np.linalg.norm(queries, axis=1)).astype(np.float32)
+    return middle, (np.outer(spread, np.linalg.norm(queries, axis=1)) + np.outer(scale, rounded)).astype(np.float32)
 
 
 def nearest(index: dict, rows: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -139,9 +163,10 @@ def search(
     meet. An empty table, or one without queries, gives no rows.
     """
     rows = settle(usable_vectors(df, vec_id, vector))
-    total = rows.count()
-    blocks = max(1, -(-total // block_vectors))
-    query_blocks = max(1, -(-total // (block_queries * 20)))
+    total, n_queries = rows.agg(F.count("*"), F.count_if(F.expr(is_query))).first()
+    cores = 2 * df.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-total // block_vectors), min(cores, total // min(block_vectors, SMALL_BLOCK)))
+    parts = max(1, -(-n_queries // block_queries))
     index = build_index(rows, blocks)
 
     def packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -151,15 +176,15 @@ def search(
             "q_rows": [table["row"].to_numpy().tobytes()], "q_vectors": [np.ascontiguousarray(_matrix(table["v"], dims)).tobytes()],
         })
 
-    asked = rows.where(is_query).selectExpr("CAST(size(v) AS bigint) AS dims", f"pmod(xxhash64(row), {query_blocks}) AS part", "vec_id", "v", "row")
+    asked = rows.where(is_query).selectExpr("CAST(size(v) AS bigint) AS dims", f"pmod(xxhash64(row), {parts}) AS part", "vec_id", "v", "row")
     queries = asked.groupBy("dims", "part").applyInArrow(packed, "dims bigint, part bigint, q_ids binary, q_rows binary, q_vectors binary")
-    # A block of queries goes to every block of vectors.
-    spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    schema = "query_id bigint, query_row bigint, ids array<bigint>, scores array<double>"
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(key: tuple[pa.Scalar, ...], held: pa.Table, wanted: pa.Table) -> pa.Table:
         found: list[list] = [[], [], [], []]
-        for r in batch.to_pylist():
-            dims = r["dims"]
+        dims = key[0].as_py()
+        if held.num_rows and wanted.num_rows:
+            r = held.to_pylist()[0] | wanted.to_pylist()[0]
             part = {
                 "ids": np.frombuffer(r["ids"], np.int64), "rows": np.frombuffer(r["rows"], np.int64), "norm": np.frombuffer(r["norm"]), "fit": np.frombuffer(r["fit"]),
                 "centre": np.frombuffer(r["centre"]), "vectors": np.frombuffer(r["vectors"]).reshape(-1, dims),
@@ -173,11 +198,14 @@ def search(
                 found[2].append(part["ids"][places].tolist())
                 found[3].append(scores.tolist())
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(found, kinds, strict=True)], ["query_id", "query_row", "ids", "scores"])
-
-    lists = index.join(spread, ["dims", "block"]).repartition(F.col("block"), F.col("part")).mapInArrow(
-        by_batch(run), "query_id bigint, query_row bigint, ids array<bigint>, scores array<double>"
-    )
+        names = ["query_id", "query_row", "ids", "scores"]
+        return pa.table({n: pa.array(x, k) for n, x, k in zip(names, found, kinds, strict=True)})
+
+    # Every block of queries goes to every block of vectors: one of each in a task.
+    cell = ["dims", "block", "part"]
+    index = index.withColumn("part", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")))
+    spread = queries.withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
+    lists = index.groupBy(*cell).cogroup(spread.groupBy(*cell)).applyInArrow(run, schema)
     flat = lists.select("query_id", "query_row", F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = flat.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
