@@ -60,11 +60,11 @@ def _curve() -> str:
 def summarise(rows: DataFrame, modes: bool = False, integral: bool = False) -> DataFrame:
     """Reduce ``ranked`` rows to one summary row per group (``g`` plus the statistics)."""
     extra = _percentile_hits()
-    # At most two hits per percentile, so the list is short whatever the group holds.
+    # At most two hits per percentile, so the list is short whatever the group holds; values sort as ranks do.
     aggs = [
         "max(n) AS num_data_points", "CAST(min(v) AS double) AS min", "CAST(max(v) AS double) AS max", "max(mean) AS mean",
         "sum(cnt * (v - mean) * (v - mean)) AS m2",
-        "collect_list(struct(below, CAST(v AS double) AS v, lo, hi)) FILTER (WHERE v IS NOT NULL AND (lo > 0 OR hi > 0)) AS hits",
+        "collect_list(struct(CAST(v AS double) AS v, lo, hi)) FILTER (WHERE v IS NOT NULL AND (lo > 0 OR hi > 0)) AS hits",
     ]
     if modes:
         aggs += [
