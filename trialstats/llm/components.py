@@ -11,10 +11,11 @@ from trialstats.llm.common import settle
 def _stars(edges: DataFrame) -> DataFrame:
     """Hang every neighbour above a node on the least node of its neighbourhood, then those below."""
     both = edges.union(edges.selectExpr("b AS a", "a AS b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    large = both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b").where("a <> b").distinct()
+    # Written by itself, so that the join is not tied to the shuffle of the aggregate and a hub can be split.
+    least = settle(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+    large = settle(both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b").where("a <> b").distinct())
     # Edges now point down; the least of the lower neighbours takes over the others and the node.
-    lower = large.groupBy("a").agg(F.min("b").alias("m"))
+    lower = settle(large.groupBy("a").agg(F.min("b").alias("m")))
     return large.join(lower, "a").selectExpr("IF(b = m, a, b) AS a", "m AS b").where("a <> b").distinct()
 
 

@@ -216,7 +216,8 @@ def near_duplicates(
     info = labelled.join(least, "component").join(links, "digest", "left").selectExpr(
         "digest AS d", "component AS class_key", "copy_id", "class_id", "n_docs - 1 + coalesce(links, 0) AS n_links"
     )
-    return sigs.join(info, F.expr("digest = d"), "left").selectExpr(
+    # Written first: rows of a frequent set are then split by the join.
+    return sigs.join(settle(info), F.expr("digest = d"), "left").selectExpr(
         "doc_id", "key", "class_key", "IF(d IS NULL, doc_id, class_id) AS class_id", "IF(d IS NULL, doc_id, copy_id) AS copy_id",
         "coalesce(n_links, 0) AS n_links",
     )
