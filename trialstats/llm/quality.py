@@ -28,12 +28,12 @@ GROUP_DOCS = 100
 REACH = 4.0
 # Rules: the measure, and the least distance of its fences from the middle half. Lower fences
 # exist where a small value is bad, too. The mean of fewer than 20 word lengths says too little.
-# Repeated words have a fence well below the cutoff of the base rule, so that it can act.
+# Repeated words have a fence below the cutoff of the base rule, so that it can act.
 RULES = {
     "word_length": ("IF(n_words >= 20, word_chars / n_words, NULL)", 1.5, True),
     "symbol_share": ("n_symbols / n_words", 0.1, False),
     "dup_line_share": ("n_dup_lines / n_lines", 0.4, False),
-    "repeat_share": ("n_repeat_words / n_words", 0.12, False),
+    "repeat_share": ("n_repeat_words / n_words", 0.15, False),
     "upper_share": ("n_upper / word_chars", 0.25, False),
 }
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
