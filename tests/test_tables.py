@@ -239,6 +239,21 @@ def test_results_of_a_job_share_one_scan(spark):
             assert results[name].count() == alone.count()
 
 
+def test_results_of_measures_share_one_scan(spark):
+    io, mix = settle(trial.trial_io(bindings.io_data(spark, SF))), bindings.faban_driver_mix(spark, SF)
+    sizes = trial.trial_byte_size(bindings.database_sizes(spark, SF))
+    pairs = [
+        (experiment.exp_io_results(io), {"exp_io": experiment.exp_io(io), "exp_io_modes": experiment.exp_io_modes(io)}),
+        (driver.operation_mix_results(mix), {"exp_faban_mix": driver.operation_mix(mix), "exp_faban_mix_modes": driver.operation_mix_modes(mix)}),
+        (experiment.value_results(sizes, ["experiment_id"], "size", "byte_size"), {"exp_byte_size_modes": experiment.value_modes(sizes, ["experiment_id"], "size")}),
+    ]
+    for results, alone in pairs:
+        for name, df in results.items():
+            assert "Scan parquet" not in executed(df), name
+        for name, df in alone.items():
+            assert results[name].select(df.columns).exceptAll(df).count() == 0 and results[name].count() == df.count(), name
+
+
 def test_two_results_of_one_job_and_the_next_level(spark, tmp_path):
     root = str(tmp_path)
     process = bindings.process(spark, SF)

@@ -143,7 +143,19 @@ def describe_measures(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Summaries of several measures side by side, from one scan and one plan."""
-    stats = describe(long_measures(df, keys, measures), [*keys, "measure_no"], "x", modes=modes, slice_rows=slice_rows)
+    return measures_of(measure_frequencies(df, keys, measures), keys, prefixes, modes, slice_rows)
+
+
+def measure_frequencies(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``frequencies`` of several measures, each under its number, from one scan."""
+    return frequencies(long_measures(df, keys, measures), [*keys, "measure_no"], "x")
+
+
+def measures_of(
+    freq: DataFrame, keys: Sequence[str], prefixes: Sequence[str], modes: bool = False, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """The summaries of ``describe_measures`` from ``measure_frequencies``."""
+    stats = summary_of(freq, modes, slice_rows)
     wide = [
         F.expr(f"max_by({s}, 1) FILTER (WHERE measure_no = {i}) AS {prefix}_{s}")
         for i, prefix in enumerate(prefixes)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trialstats.operators.describe import describe, describe_measures, mode_rows, modes_of, prefixed, summary_of
 from trialstats.operators.groups import every
 from trialstats.operators.ranking import frequencies, join_on
-from trialstats.plans.experiment import measure_modes
+from trialstats.plans.experiment import measure_modes, measure_results
 from trialstats.sources.tables import settle
 
 # Fixed value: the target that marks a custom statistic as an absolute figure.
@@ -28,15 +28,24 @@ def total_operations(summary: DataFrame) -> DataFrame:
     )
 
 
+OPERATION = ["experiment_id", "faban_driver_host", "faban_driver_name", "faban_op_name"]
+MIX = ["successes", "failures", "mix"]
+
+
+def _mix(mix: DataFrame) -> DataFrame:
+    names = {"faban_driver_host": "host", "faban_driver_name": "driver_name", "faban_op_name": "op_name"}
+    return _named(mix, **names, **{m: m for m in MIX})
+
+
 def operation_mix(mix: DataFrame) -> DataFrame:
     """Successes, failures and mix per host, driver and operation."""
-    measures = ["successes", "failures", "mix"]
-    rows = _named(
-        mix, faban_driver_host="host", faban_driver_name="driver_name", faban_op_name="op_name",
-        **{m: m for m in measures},
-    )
-    keys = ["experiment_id", "faban_driver_host", "faban_driver_name", "faban_op_name"]
-    return describe_measures(rows, keys, measures, [f"faban_{m}" for m in measures], modes=True)
+    return describe_measures(_mix(mix), OPERATION, MIX, [f"faban_{m}" for m in MIX], modes=True)
+
+
+def operation_mix_results(mix: DataFrame) -> dict[str, DataFrame]:
+    """Summary and modes of the operation mix under the names of their tables, from one scan."""
+    stats, modes = measure_results(_mix(mix), OPERATION, MIX, [f"faban_{m}" for m in MIX])
+    return {"exp_faban_mix": stats, "exp_faban_mix_modes": modes}
 
 
 def delay_times(delays: DataFrame) -> DataFrame:
@@ -69,12 +78,7 @@ def run_info(runs: DataFrame) -> DataFrame:
 
 def operation_mix_modes(mix: DataFrame) -> DataFrame:
     """Every most frequent value of the three mix measures."""
-    rows = _named(
-        mix, faban_driver_host="host", faban_driver_name="driver_name", faban_op_name="op_name",
-        successes="successes", failures="failures", mix="mix",
-    )
-    keys = ["experiment_id", "faban_driver_host", "faban_driver_name", "faban_op_name"]
-    return measure_modes(rows, keys, ["successes", "failures", "mix"])
+    return measure_modes(_mix(mix), OPERATION, MIX)
 
 
 def run_info_modes(runs: DataFrame) -> DataFrame:

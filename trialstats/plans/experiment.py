@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialstats.operators.arrays import assemble_cores, rollup_cores
-from trialstats.operators.describe import describe, describe_measures, long_measures, mode_rows, prefixed
+from trialstats.operators.describe import (
+    describe, describe_measures, measure_frequencies, measures_of, mode_rows, modes_of, prefixed, summary_of,
+)
 from trialstats.operators.groups import specified
 from trialstats.operators.levene import CENTRES, levene
-from trialstats.operators.ranking import join_on
+from trialstats.operators.ranking import frequencies, join_on
 from trialstats.operators.rollup import rollup, trial_ranking
 from trialstats.sources.schemas import CORE_RESULTS
+from trialstats.sources.tables import settle
 
 CONTAINER = ["experiment_id", "container_name", "host_id"]
 PROCESS = ["experiment_id", "process_definition_id"]
@@ -110,11 +113,38 @@ def exp_construct_duration(trial_construct_duration: DataFrame) -> DataFrame:
 
 def measure_modes(trials: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Every most frequent value of several measures as rows ``(keys, measure, mode, mode_freq)``."""
-    modes = mode_rows(long_measures(trials, keys, measures), [*keys, "measure_no"], "x")
+    return _named_modes(modes_of(measure_frequencies(trials, keys, measures)), keys, measures)
+
+
+def _named_modes(modes: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(m) for m in measures])
     return modes.select(*keys, F.get(names, F.col("measure_no")).alias("measure"), "mode", "mode_freq")
 
 
+def measure_results(
+    trials: DataFrame, keys: Sequence[str], measures: Sequence[str], prefixes: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Summaries and modes of several measures, from one scan."""
+    freq = settle(measure_frequencies(trials, keys, measures))
+    return measures_of(freq, keys, prefixes, modes=True), _named_modes(modes_of(freq), keys, measures)
+
+
+def value_results(trials: DataFrame, keys: Sequence[str], value: str, prefix: str) -> dict[str, DataFrame]:
+    """Summary and modes of one number per trial under the names of their tables, from one scan.
+
+    For the jobs whose table is ``exp_<prefix>``, with that table and the one of its modes.
+    """
+    freq = settle(frequencies(trials.where(F.col(value).isNotNull()), keys, value))
+    return {f"exp_{prefix}": prefixed(summary_of(freq, modes=True), keys, prefix), f"exp_{prefix}_modes": modes_of(freq)}
+
+
+def exp_io_results(trial_io: DataFrame) -> dict[str, DataFrame]:
+    """Summary and modes of the device figures under the names of their tables, from one scan."""
+    measures = ["reads", "writes", "total"]
+    stats, modes = measure_results(trial_io, [*CONTAINER, "device"], measures, measures)
+    return {"exp_io": stats, "exp_io_modes": modes}
+
+
 def exp_io_modes(trial_io: DataFrame) -> DataFrame:
     """Every most frequent figure per device."""
     return measure_modes(trial_io, [*CONTAINER, "device"], ["reads", "writes", "total"])
