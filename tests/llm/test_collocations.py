@@ -82,3 +82,16 @@ def test_large_numbers_are_exact(spark):
     a, left, right = 3 * 10**12 + 7, 4 * 10**12 + 1, 10**13 + 3
     row = spark.range(1).selectExpr(f"{a}L AS a", f"{left}L AS l", f"{right}L AS r").selectExpr(f"{collocations.SCORE} AS s").first()
     assert row.s == 10**6 * a * a // (left * right)
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 20])
+def test_words_are_cut_alike_in_slices_of_any_size(monkeypatch, size):
+    monkeypatch.setattr(collocations, "SLICE_BYTES", size)
+    texts = ["", "A bc\tD.", "x" * 50 + " y", "  ", "one, two;three\n\nfour", "é È", "end"]
+    chunk = collocations._Chunk([t.encode() for t in texts], ["a", "b", "a", "a", "c", "b", "a"])
+    got = list(zip(chunk.langs.take(chunk.lang).to_pylist(), chunk.words.take(chunk.tokens).to_pylist()))
+    want = []
+    for t, lang in zip(texts, "abaacba"):
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in t) + "\n"
+        want += [(lang, w if w.strip() else "\n") for w in re.findall(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+", lower) for w in [re.sub(r"[.,;:!?\x0B-\x0D]", "\n", w)]]
+    assert got == want

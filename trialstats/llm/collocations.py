@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -36,6 +37,8 @@ MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 SUBSUMED = 50
 # Bytes of text that a worker counts at a time.
 CHUNK_BYTES = 16_000_000
+# Bytes that are cut into words at a time.
+SLICE_BYTES = 1 << 20
 # The filter: bits a phrase, and the most bits altogether (16 MB).
 FILTER_BITS, MOST_BITS = 16, 1 << 27
 # A prefix with more than this part of all words has its stripes cut.
@@ -62,23 +65,65 @@ class _Ids(dict):
         return number
 
 
+def _slices(data: bytes) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``SLICE_BYTES`` that end behind a space or an end; ``data`` ends with an end."""
+    lo = 0
+    while lo < len(data):
+        hi = min(lo + SLICE_BYTES, len(data))
+        if hi < len(data):
+            cut = max(data.rfind(b" ", lo, hi), data.rfind(b"\n", lo, hi))
+            hi = 1 + (cut if cut >= 0 else min(x for x in (data.find(b" ", hi), data.find(b"\n", hi)) if x >= 0))
+        yield lo, hi
+        lo = hi
+
+
+def _split(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and ends in bytes, in order: a hash (0 for an end), and where each begins and ends."""
+    end = data == 0x0A
+    inside = ~(end | (data == 0x20))
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    at, first = np.flatnonzero(inside), np.flatnonzero(start)
+    token = np.flatnonzero(start | end)
+    is_word = start[token]
+    value, stop = np.zeros(len(token), np.uint64), token + 1
+    if len(first):
+        starts = np.flatnonzero(start[at])
+        place = (at - np.repeat(first, np.diff(starts, append=len(at)))).astype(np.uint64)
+        sums = np.add.reduceat(mix((place << np.uint64(8)) + data[at] + np.uint64(1)), starts)
+        value[is_word] = np.maximum(mix(sums), np.uint64(1))
+        stop[is_word] = first + np.diff(starts, append=len(at))
+    return value, token, stop
+
+
 class _Chunk:
     """The words of some texts as numbers, with the language of each and the hash of each different word."""
 
     def __init__(self, texts: list[bytes], langs: list[str]):
-        ids, names, parts = _Ids({b"": _NONE, b"\n": _END}), _Ids(), []
-        for text in texts:
-            words = text.translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-            words.append(b"\n")
-            tokens = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
-            parts.append(tokens[tokens != _NONE])
+        names = _Ids()
         lang = np.fromiter(map(names.__getitem__, langs), np.int64, len(langs))
-        self.lang = np.repeat(lang, [len(p) for p in parts])
-        self.tokens = np.concatenate(parts).astype(np.int64)
-        self.size = len(ids)
-        self.words = pa.array(list(ids), pa.binary()).cast(pa.string())
+        translated = [t.translate(_TABLE) for t in texts]
+        doc_ends = np.cumsum([len(t) + 1 for t in translated])
+        data = b"\n".join([*translated, b""])
+        del translated
+        parts = []
+        for lo, hi in _slices(data):
+            value, begin, end = _split(np.frombuffer(data, np.uint8, hi - lo, lo))
+            parts.append((value, (begin + lo).astype(np.uint32), (end + lo).astype(np.uint32)))
+        value, begin, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        # Numbers go by first appearance; an end in front gives ends theirs, right behind the empty word.
+        number, different = pd.factorize(np.append(np.uint64(0), value))
+        number = number[1:]
+        first = np.zeros(len(different), np.int64)
+        first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
+        words = [b"", b"\n", *(data[a:b] for a, b in zip(begin[first[1:]].tolist(), end[first[1:]].tolist(), strict=True))]
+        self.tokens = number + _END
+        self.lang = lang[np.searchsorted(doc_ends, begin, "right")]
+        self.size = len(words)
+        self.words = pa.array(words, pa.binary()).cast(pa.string())
         self.langs = pa.array(list(names), pa.string())
-        self.hashes = np.fromiter(map(xxh3_64_intdigest, ids), np.uint64, len(ids))
+        self.hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
         self.lang_hashes = np.array([xxh3_64_intdigest(n.encode()) for n in names], np.uint64)
 
     def at(self, shift: int) -> np.ndarray:
@@ -184,15 +229,23 @@ def _chunk_stripes(chunk: _Chunk, n: int, known: _Known) -> pa.RecordBatch | Non
     start = np.flatnonzero(frequent)
     if not len(start):
         return None
-    code = chunk.lang[start]
-    for j in range(n):
-        code = np.unique(code * chunk.size + chunk.at(j)[start], return_inverse=True)[1]
+    # Prefixes as numbers: made dense only where the next word would not fit beside them.
+    code, most = chunk.lang[start], len(chunk.langs)
+    for j in range(n + 1):
+        if most * chunk.size >= 1 << 62:
+            code, most = np.unique(code, return_inverse=True)[1], len(start)
+        if j < n:
+            code, most = code * chunk.size + chunk.at(j)[start], most * chunk.size
     follows = np.append(frequent[1:], False)[start]
     follow = np.where(follows, chunk.at(n)[start], _NONE)
     key, first, count = np.unique(code * chunk.size + follow, return_index=True, return_counts=True)
     code, follow, first = key // chunk.size, key % chunk.size, start[first]
-    part = (chunk.hashes[follow] % known.parts(h[first])).astype(np.int64)
-    order = np.lexsort((part, code))
+    parts = known.parts(h[first])
+    part = (chunk.hashes[follow] % parts).astype(np.int64)
+    # Entries come by prefix; only those of cut prefixes have to be put in order by their part.
+    cut = np.flatnonzero(parts > 1)
+    order = np.arange(len(key))
+    order[cut] = cut[np.lexsort((part[cut], code[cut]))]
     code, follow, first, part, count = code[order], follow[order], first[order], part[order], count[order]
     row = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (part[1:] != part[:-1])))
     offsets = pa.array(np.append(row, len(code)).astype(np.int32))
