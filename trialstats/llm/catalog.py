@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from trialstats.llm import (
-    ann, bpe, collocations, jaccard, language_id, lm, mixing, packing, quality, secrets, sharding, spelling, token_counts,
+    ann, bpe, collocations, jaccard, language_id, lm, mixing, oracle, packing, quality, secrets, sharding, spelling, token_counts,
 )
 from trialstats.llm.common import documents, table
 
@@ -80,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {}
+    return oracle.oracle_sql()
