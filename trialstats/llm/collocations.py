@@ -36,7 +36,7 @@ MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 # A candidate goes if this share (percent) of it lies inside one longer candidate.
 SUBSUMED = 50
 # Bytes of text that a worker counts at a time.
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 12_000_000
 # Bytes that are cut into words at a time.
 SLICE_BYTES = 1 << 20
 # The filter: bits a phrase, and the most bits altogether (16 MB).
@@ -101,25 +101,27 @@ class _Chunk:
 
     def __init__(self, texts: list[bytes], langs: list[str]):
         names = _Ids()
-        lang = np.fromiter(map(names.__getitem__, langs), np.int64, len(langs))
+        lang = np.fromiter(map(names.__getitem__, langs), np.int32, len(langs))
         translated = [t.translate(_TABLE) for t in texts]
         doc_ends = np.cumsum([len(t) + 1 for t in translated])
         data = b"\n".join([*translated, b""])
         del translated
-        parts = []
+        values, begins, ends = [np.zeros(1, np.uint64)], [], []  # an end in front
         for lo, hi in _slices(data):
             value, begin, end = _split(np.frombuffer(data, np.uint8, hi - lo, lo))
-            parts.append((value, (begin + lo).astype(np.uint32), (end + lo).astype(np.uint32)))
-        value, begin, end = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts
-        # Numbers go by first appearance; an end in front gives ends theirs, right behind the empty word.
-        number, different = pd.factorize(np.append(np.uint64(0), value))
-        number = number[1:]
+            values.append(value)
+            begins.append((begin + lo).astype(np.uint32))
+            ends.append((end + lo).astype(np.uint32))
+        begin, end = np.concatenate(begins), np.concatenate(ends)
+        # Numbers go by first appearance; the end in front gives ends theirs, right behind the empty word.
+        number, different = pd.factorize(np.concatenate(values))
+        del values, begins, ends
+        number = number[1:].astype(np.int32)
         first = np.zeros(len(different), np.int64)
         first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
         words = [b"", b"\n", *(data[a:b] for a, b in zip(begin[first[1:]].tolist(), end[first[1:]].tolist(), strict=True))]
-        self.tokens = number + _END
-        self.lang = lang[np.searchsorted(doc_ends, begin, "right")]
+        self.tokens = number + np.int32(_END)
+        self.lang = np.repeat(lang, np.diff(np.searchsorted(begin, doc_ends), prepend=0))
         self.size = len(words)
         self.words = pa.array(words, pa.binary()).cast(pa.string())
         self.langs = pa.array(list(names), pa.string())
@@ -128,7 +130,7 @@ class _Chunk:
 
     def at(self, shift: int) -> np.ndarray:
         """The words that stand ``shift`` places further on; ends of pieces beyond the last."""
-        return np.append(self.tokens[shift:], np.full(min(shift, len(self.tokens)), _END))
+        return np.append(self.tokens[shift:], np.full(min(shift, len(self.tokens)), _END, np.int32))
 
     def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Of every place the hash of the n words from there on, and whether they lie in one piece."""
@@ -168,7 +170,7 @@ def word_counts(texts: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):
-            key, n = np.unique((chunk.lang * chunk.size + chunk.tokens)[chunk.tokens != _END], return_counts=True)
+            key, n = np.unique((chunk.lang.astype(np.int64) * chunk.size + chunk.tokens)[chunk.tokens != _END], return_counts=True)
             arrays = [chunk.langs.take(key // chunk.size), chunk.words.take(key % chunk.size), pa.array(n)]
             if len(key):
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", "word", "n"])
@@ -230,7 +232,7 @@ def _chunk_stripes(chunk: _Chunk, n: int, known: _Known) -> pa.RecordBatch | Non
     if not len(start):
         return None
     # Prefixes as numbers: made dense only where the next word would not fit beside them.
-    code, most = chunk.lang[start], len(chunk.langs)
+    code, most = chunk.lang[start].astype(np.int64), len(chunk.langs)
     for j in range(n + 1):
         if most * chunk.size >= 1 << 62:
             code, most = np.unique(code, return_inverse=True)[1], len(start)
@@ -241,10 +243,11 @@ def _chunk_stripes(chunk: _Chunk, n: int, known: _Known) -> pa.RecordBatch | Non
     key, first, count = np.unique(code * chunk.size + follow, return_index=True, return_counts=True)
     code, follow, first = key // chunk.size, key % chunk.size, start[first]
     parts = known.parts(h[first])
+    del h, whole, frequent, follows, start, key
     part = (chunk.hashes[follow] % parts).astype(np.int64)
     # Entries come by prefix; only those of cut prefixes have to be put in order by their part.
     cut = np.flatnonzero(parts > 1)
-    order = np.arange(len(key))
+    order = np.arange(len(code))
     order[cut] = cut[np.lexsort((part[cut], code[cut]))]
     code, follow, first, part, count = code[order], follow[order], first[order], part[order], count[order]
     row = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (part[1:] != part[:-1])))
